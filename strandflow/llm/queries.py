@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, url_filter
+from . import embeddings, mixing, packing, quality_rules, url_filter, warc
 from .common import table
 
 
+def vocabulary() -> dict[str, str]:
+    """The public byte-level vocabulary, in both forms, and its splitting pattern."""
+    import public_tokenizers
+
+    return {"ranks_path": public_tokenizers.path("byte_bpe_50k.tiktoken"), "json_path": public_tokenizers.path("byte_bpe_50k.json"), "pattern": public_tokenizers.PATTERN}
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -22,11 +30,26 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return d.select("page_id", F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to", "complete")
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), **vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_quality_rules, op4_url_filter, op6_mixing)
+    f.__name__: f for f in (op2_warc, op3_quality_rules, op4_url_filter, op6_mixing, op7_embedding_dedup, op10_packing)
 }
 
 ORACLES: dict[str, str] = {
+    "op2_warc": warc.oracle(),
+    "op7_embedding_dedup": embeddings.oracle(),
     "op3_quality_rules": f"SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_stop_words, n_lines, failed_rules FROM ({quality_rules.oracle_measures()})",
     "op4_url_filter": url_filter.oracle(),
     "op6_mixing": f"SELECT doc_id, size, source_size, target, (size * times)::BIGINT AS taken, source, times FROM ({mixing.oracle_copies()})",
