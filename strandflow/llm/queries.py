@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, mixing, packing, quality_rules, url_filter, warc
+from . import embeddings, mixing, packing, pii, quality_classifier, quality_rules, url_filter, warc
 from .common import table
 
 
@@ -26,10 +26,18 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"), url_filter.rule_frame(spark))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = warc.archive_round_trip(table(spark, sf_dir, "pages"))
     return d.select("page_id", F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("kind").alias("record_type"), "refers_to", "complete")
@@ -44,7 +52,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_warc, op3_quality_rules, op4_url_filter, op6_mixing, op7_embedding_dedup, op10_packing)
+    f.__name__: f for f in (op1_quality_classifier, op2_warc, op3_quality_rules, op4_url_filter, op5_pii, op6_mixing, op7_embedding_dedup, op10_packing)
 }
 
 ORACLES: dict[str, str] = {
