@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, minhash, mixing, packing, pii, quality_classifier, quality_rules, url_filter, warc
+from . import embeddings, minhash, mixing, packing, pii, quality_classifier, quality_rules, suffix_dedup, url_filter, warc
 from .common import table
 
 
@@ -47,6 +47,10 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_classifier, op2_warc, op3_quality_rules, op4_url_filter, op5_pii, op6_mixing, op7_embedding_dedup, op9_minhash_dedup, op10_packing)
+    f.__name__: f for f in (op1_quality_classifier, op2_warc, op3_quality_rules, op4_url_filter, op5_pii, op6_mixing, op7_embedding_dedup, op8_suffix_dedup, op9_minhash_dedup, op10_packing)
 }
 
 ORACLES: dict[str, str] = {

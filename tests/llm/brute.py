@@ -35,3 +35,21 @@ def near_duplicate_classes(docs: list[tuple], threshold: float = 0.8) -> dict:
                 a, b = find(i), find(j)
                 up[max(a, b)] = min(a, b)
     return {i: find(i) for i, _ in docs}
+
+
+def repeated_bytes(docs: list[tuple], span: int = 100) -> dict:
+    """doc_id -> (n_bytes, n_removed, n_spans, sha256 of the rest), first occurrences by (doc_id, start)."""
+    import hashlib
+
+    seen, out = set(), {}
+    for i, text in sorted(docs):
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for s in range(len(raw) - span + 1):
+            w = raw[s : s + span]
+            if w in seen:
+                gone[s : s + span] = b"\1" * span
+            seen.add(w)
+        runs = sum(1 for k in range(len(raw)) if gone[k] and (k == 0 or not gone[k - 1]))
+        out[i] = (len(raw), sum(gone), runs, hashlib.sha256(bytes(b for b, g in zip(raw, gone) if not g)).hexdigest())
+    return out
