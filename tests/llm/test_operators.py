@@ -12,7 +12,7 @@ import corpus_pipeline
 from strandflow.llm import embeddings, gbdt, minhash, mixing, packing, pii, quality_classifier, quality_rules, suffix_dedup, url_filter, warc
 from strandflow.llm.queries import vocabulary
 
-PROSE = " ".join(f"word{i % 97} of the plain text number {i}" for i in range(60))
+PROSE = " ".join(f"word{i % 97} of plain{i} text and the number{i}" for i in range(60))
 ODD = [
     (1, PROSE, "src0"), (2, None, None), (3, "", "src1"), (4, " \n\t", "src0"), (5, PROSE, "src0"), (5, PROSE, "src0"), (6, PROSE + " and a few more", "src1"),
     (7, "x" * 30_000, "src0"), (8, "mail a.b@c.de or +1 (743) 555-3824, 10.0.0.1, 4111 1111 1111 1111 é", "src2"), (None, "no id here", "src2"), (9, "a b", "src1"),
