@@ -45,3 +45,24 @@ def in_bins(df: DataFrame, cuts: list[int]) -> DataFrame:
 
 def first_per_position(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("rn = 1").drop("rn")
+
+
+def effective_label(df: DataFrame, neutral: int = 2, most: int = 10) -> DataFrame:
+    """Adds label: the copy number that a call of a periodic event sees.
+
+    Needs overlap, size, period (null or not positive: size) and diff. The difference over the whole event is dealt to
+    the periods that the overlap covers, halves rounded to even both times; without overlap or size it is neutral.
+    """
+    period = F.when(F.col("period") > 0, F.col("period")).otherwise(F.col("size"))
+    covered = F.greatest(F.lit(1.0), F.rint(F.col("overlap") / F.nullif(period, F.lit(0))))
+    diff = F.rint(F.col("diff") * (F.col("size") / F.nullif(period, F.lit(0))) / covered).cast("long")
+    seen = F.greatest(F.lit(0), F.least(F.lit(neutral) + diff, F.lit(most)))
+    return df.withColumn("label", F.when((F.col("overlap") > 0) & (F.col("size") > 0), seen).otherwise(F.lit(neutral)).cast("long"))
+
+
+def in_strata(df: DataFrame, strata: DataFrame) -> DataFrame:
+    """A row for each stratum (stratum, grp, s, e; disjoint within one) that an interval of df lies wholly in, in one pass."""
+    j = overlap_join(df.select("grp", "s", "e", "id"), strata.select("grp", "s", "e", "stratum"))
+    held = j.groupBy("a_id", "b_stratum").agg(F.sum("overlap").alias("within"))
+    held = held.select(F.col("a_id").alias("id"), F.col("b_stratum").alias("stratum"), "within")
+    return df.join(held, "id").filter(F.col("within") >= F.col("e") - F.col("s")).drop("within")

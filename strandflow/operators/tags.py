@@ -26,3 +26,9 @@ def merged(old: Column, new: Column, clear: str | list[str] = "none") -> Column:
 
 def tagged(df: DataFrame, rules: list[Rule], params: dict[str, float | None], column: str = "filter", clear: str | list[str] = "none") -> DataFrame:
     return df.withColumn(column, merged(F.coalesce(F.col(column), F.array().cast("array<string>")), tags(rules, params), clear))
+
+
+def header(old: DataFrame, active: DataFrame, cleared: list[str]) -> DataFrame:
+    """Declared tags (id, description) after a run: the cleared ones go, the active ones are added or replace theirs."""
+    stay = old.filter(~F.col("id").isin(cleared)) if cleared else old
+    return stay.join(active.select("id"), "id", "left_anti").unionByName(active).dropDuplicates(["id"])
