@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -73,8 +73,7 @@ def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None) ->
     d = d.withColumn("able", F.sum(F.coalesce(open_, F.lit(False)).cast("int")).over(counts)).drop("new")
     full = COLUMNS + ", merged boolean, members int"
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["pos", "id"])[names].to_dict("records")
+    def fold(rows: list[dict]) -> list[tuple]:
         for v in rows:
             v |= {"merged": False, "members": 1}
         found = []
@@ -89,7 +88,22 @@ def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None) ->
                     found.append(one)
                     for u in chain:
                         u["merged"] = True
-        return pd.DataFrame(rows + found, columns=[*names, "merged", "members"])
+        return [tuple(v[n] for n in (*names, "merged", "members")) for v in rows + found]
+
+    def folded(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Islands in their order; one that a batch cuts waits for the next."""
+        at, rows = None, []
+        for pdf in parts:
+            out = []
+            for v in pdf.to_dict("records"):
+                key = (v["chrom"], v["island"])
+                if key != at:
+                    out += fold(rows)
+                    at, rows = key, []
+                rows.append(v)
+            yield pd.DataFrame(out, columns=[*names, "merged", "members"])
+        yield pd.DataFrame(fold(rows), columns=[*names, "merged", "members"])
 
     still = d.filter("able < 2").select(*names, F.lit(False).alias("merged"), F.lit(1).alias("members"))
-    return d.filter("able >= 2").groupBy("chrom", "island").applyInPandas(fold, full).unionByName(still)
+    dealt = d.filter("able >= 2").drop("able").repartition("chrom", "island").sortWithinPartitions("chrom", "island", "pos", "id")
+    return dealt.mapInPandas(folded, full).unionByName(still)
