@@ -49,8 +49,9 @@ def haplotypes(gt: Column) -> Column:
 def split_haplotypes(df: DataFrame, keys: list[str]) -> DataFrame:
     """A row per haplotype that carries an allele: keys, hap (0 or 1), ref and its trimmed allele."""
     d = df.select(*keys, "ref", "alt", F.posexplode(haplotypes(F.col("gt"))).alias("hap", "allele"))
-    t = trimmed(F.col("ref"), F.get("alt", F.col("allele") - 1))
-    return d.filter("allele > 0 AND allele <= size(alt)").select(*keys, "hap", t["ref"].alias("ref"), t["alt"].alias("alt"))
+    # in two steps: a column of the lambda named like an output of the same select would be taken for that output
+    d = d.filter("allele > 0 AND allele <= size(alt)").withColumn("cut", trimmed(F.col("ref"), F.get("alt", F.col("allele") - 1)))
+    return d.select(*keys, "hap", "cut.ref", "cut.alt")
 
 
 def patch(v: Column, d: Column, least_quality: int = 20) -> Column:
