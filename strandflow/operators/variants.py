@@ -83,3 +83,23 @@ def precedence(phased: Column, first: Column, second: Column, unphased: Column)
         .when(delta(unphased), F.when(_valid(unphased, "0/0"), "unphased"))
         .when(ok, "phased")
     )
+
+
+def joined(first: Column, second: Column, in_phase: Column) -> Column:
+    """The diploid record of two haplotypes (structs of ref, alt, qual; null: the reference): ref, alts, gt, ac, af, an, qual.
+
+    Null if both are null. Outside a phase block the genotype is unphased, and that of a single allele is 0/1.
+    """
+    both, one = first.isNotNull() & second.isNotNull(), F.coalesce(first, second)
+    same = both & (first["ref"] == second["ref"]) & (first["alt"] == second["alt"])
+    two = padded(first["ref"], first["alt"], second["ref"], second["alt"])
+    apart = both & ~same
+    gt = F.when(same, F.when(in_phase, "1|1").otherwise("1/1")).when(both, F.when(in_phase, "1|2").otherwise("1/2"))
+    gt = gt.when(~in_phase, "0/1").when(first.isNotNull(), "1|0").otherwise("0|1")
+    record = F.struct(
+        F.when(apart, two["ref"]).otherwise(one["ref"]).alias("ref"), F.when(apart, two["alts"]).otherwise(F.array(one["alt"])).alias("alts"), gt.alias("gt"),
+        F.when(same, F.array(F.lit(2))).when(both, F.array(F.lit(1), F.lit(1))).otherwise(F.array(F.lit(1))).alias("ac"),
+        F.when(same, F.array(F.lit(1.0))).when(both, F.array(F.lit(0.5), F.lit(0.5))).otherwise(F.array(F.lit(0.5))).alias("af"),
+        F.lit(2).alias("an"), F.when(both, first["qual"] + second["qual"]).otherwise(one["qual"]).alias("qual"),
+    )
+    return F.when(one.isNotNull(), record)

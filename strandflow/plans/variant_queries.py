@@ -59,6 +59,21 @@ HAPLOTYPE_SPLIT = f"""WITH {RECORDS}, h AS (SELECT *, unnest(CASE gt WHEN '1|2'
 SELECT l_orderkey, k, hap, split_part(cut, '>', 1) AS ref, split_part(cut, '>', 2) AS alt FROM s"""
 
 
+def haplotype_join(spark, sf):
+    m = _streams(spark, sf)[1]
+    side = lambda v: F.when(v.isNotNull(), F.struct(v["ref"].alias("ref"), F.get(v["alt"], F.lit(0)).alias("alt"), v["gq"].alias("qual")))
+    out = m.select("l_orderkey", variants.joined(side(F.col("v1")), side(F.col("v2")), F.coalesce(F.col("v0.delta"), F.lit(False))).alias("j")).filter("j IS NOT NULL")
+    return out.select("l_orderkey", "j.ref", F.array_join("j.alts", ",").alias("alts"), "j.gt", F.array_join("j.ac", ",").alias("ac"), "j.qual")
+
+
+HAPLOTYPE_JOIN = f"""WITH {RECORDS}, s AS (SELECT l_orderkey, max(ref) FILTER (WHERE k = 1) AS r1, max(alt[1]) FILTER (WHERE k = 1) AS a1, max(q) FILTER (WHERE k = 1) AS q1,
+  max(ref) FILTER (WHERE k = 2) AS r2, max(alt[1]) FILTER (WHERE k = 2) AS a2, max(q) FILTER (WHERE k = 2) AS q2, coalesce(bool_or(delta) FILTER (WHERE k = 0), false) AS ps FROM v GROUP BY l_orderkey)
+SELECT l_orderkey, CASE WHEN r2 IS NULL OR length(r1) >= length(r2) THEN r1 ELSE r2 END AS ref,
+  CASE WHEN r1 IS NULL THEN a2 WHEN r2 IS NULL OR (r1 = r2 AND a1 = a2) THEN a1 ELSE a1 || substr(r2, length(r1) + 1) || ',' || a2 || substr(r1, length(r2) + 1) END AS alts,
+  CASE WHEN r1 IS NULL THEN CASE WHEN ps THEN '0|1' ELSE '0/1' END WHEN r2 IS NULL THEN CASE WHEN ps THEN '1|0' ELSE '0/1' END ELSE '1' || CASE WHEN ps THEN '|' ELSE '/' END || CASE WHEN r1 = r2 AND a1 = a2 THEN '1' ELSE '2' END END AS gt,
+  CASE WHEN r1 IS NULL OR r2 IS NULL THEN '1' WHEN r1 = r2 AND a1 = a2 THEN '2' ELSE '1,1' END AS ac, (coalesce(q1, 0) + coalesce(q2, 0))::INT AS qual FROM s WHERE r1 IS NOT NULL OR r2 IS NOT NULL"""
+
+
 def phase_precedence(spark, sf):
     m = _streams(spark, sf)[1]
     return m.select("l_orderkey", variants.precedence(*[F.col(f"v{k}") for k in range(4)]).alias("source"))
@@ -120,5 +135,5 @@ def neighbour_merge(spark, sf):
     return neighbours.merge_neighbours(_neighbours(spark, sf)).select("chrom", "pos", "id", "ref", "alt", "qual", "merged", "members")
 
 
-QUERIES = {f.__name__: f for f in (allele_patch, haplotype_split, phase_precedence, period_label, strata_count, bin_region_lookup, neighbour_merge)}
-ORACLES = {"allele_patch": ALLELE_PATCH, "haplotype_split": HAPLOTYPE_SPLIT, "phase_precedence": PHASE_PRECEDENCE, "period_label": PERIOD_LABEL, "strata_count": STRATA_COUNT, "bin_region_lookup": BIN_REGION_LOOKUP}
+QUERIES = {f.__name__: f for f in (allele_patch, haplotype_split, haplotype_join, phase_precedence, period_label, strata_count, bin_region_lookup, neighbour_merge)}
+ORACLES = {"allele_patch": ALLELE_PATCH, "haplotype_split": HAPLOTYPE_SPLIT, "haplotype_join": HAPLOTYPE_JOIN, "phase_precedence": PHASE_PRECEDENCE, "period_label": PERIOD_LABEL, "strata_count": STRATA_COUNT, "bin_region_lookup": BIN_REGION_LOOKUP}
