@@ -39,7 +39,7 @@ def _joined(chain: list[dict]) -> dict | None:
     while same < min(len(ref), len(alt)) - 1 and ref[same] == alt[same]:
         same += 1
     quals = [v["qual"] for v in chain]
-    return chain[0] | {"pos": chain[0]["pos"] + same, "ref": ref[same:], "alt": alt[same:], "qual": None if any(pd.isna(q) for q in quals) else sum(quals) / len(quals), "members": len(chain)}
+    return chain[0] | {"pos": chain[0]["pos"] + same, "ref": ref[same:], "alt": alt[same:], "qual": None if any(pd.isna(q) for q in quals) else sum(quals) / len(quals), "members": len(chain), "ids": [v["id"] for v in chain]}
 
 
 def _stacks(rows: list[dict], reach: int) -> list[list[dict]]:
@@ -58,24 +58,28 @@ def _stacks(rows: list[dict], reach: int) -> list[list[dict]]:
     return out
 
 
-def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None) -> DataFrame:
-    """All variants (COLUMNS) with merged (became part of another) and members; merged ones are added with members > 1.
+def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None, extra: str = "") -> DataFrame:
+    """All variants (COLUMNS) with merged (became part of another), members and ids; merged ones are added with members > 1, and the ids of their members in order.
+
+    extra declares more columns for the rule to see; a merged variant has those of its first member.
 
     Islands are cut where no chain can cross. Only those with two passing variants of one phase go through Python; an
     island spans as many rows as lie within reach of each other.
     """
-    names = [c.split()[0] for c in COLUMNS.split(", ")]
+    columns = f"{COLUMNS}, {extra}" if extra else COLUMNS
+    names = [c.split()[0] for c in columns.split(", ")]
     w = Window.partitionBy("chrom").orderBy("pos", "id")
     top = F.max(F.col("pos") + F.length("ref") - 1).over(w.rowsBetween(Window.unboundedPreceding, -1))
     d = df.select(*names).withColumn("new", F.coalesce(F.col("pos") - top > reach, F.lit(True)).cast("int")).withColumn("island", F.sum("new").over(w))
     open_ = F.col("passed") & ~F.col("sv") & (F.col("phase") != "")
     counts = Window.partitionBy("chrom", "island")
     d = d.withColumn("able", F.sum(F.coalesce(open_, F.lit(False)).cast("int")).over(counts)).drop("new")
-    full = COLUMNS + ", merged boolean, members int"
+    full = columns + ", merged boolean, members int, ids array<long>"
+    added = ["merged", "members", "ids"]
 
     def fold(rows: list[dict]) -> list[tuple]:
         for v in rows:
-            v |= {"merged": False, "members": 1}
+            v |= {"merged": False, "members": 1, "ids": [v["id"]]}
         found = []
         for stack in _stacks(rows, reach):
             for i, v in enumerate(stack):
@@ -88,7 +92,7 @@ def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None) ->
                     found.append(one)
                     for u in chain:
                         u["merged"] = True
-        return [tuple(v[n] for n in (*names, "merged", "members")) for v in rows + found]
+        return [tuple(v[n] for n in (*names, *added)) for v in rows + found]
 
     def folded(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Islands in their order; one that a batch cuts waits for the next."""
@@ -101,9 +105,52 @@ def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None) ->
                     out += fold(rows)
                     at, rows = key, []
                 rows.append(v)
-            yield pd.DataFrame(out, columns=[*names, "merged", "members"])
-        yield pd.DataFrame(fold(rows), columns=[*names, "merged", "members"])
+            yield pd.DataFrame(out, columns=[*names, *added])
+        yield pd.DataFrame(fold(rows), columns=[*names, *added])
 
-    still = d.filter("able < 2").select(*names, F.lit(False).alias("merged"), F.lit(1).alias("members"))
+    still = d.filter("able < 2").select(*names, F.lit(False).alias("merged"), F.lit(1).alias("members"), F.array("id").alias("ids"))
     dealt = d.filter("able >= 2").drop("able").repartition("chrom", "island").sortWithinPartitions("chrom", "island", "pos", "id")
     return dealt.mapInPandas(folded, full).unionByName(still)
+
+
+def member_means(merged: DataFrame, fields: DataFrame, means: list[str], truncated: list[str] = []) -> DataFrame:  # noqa: B006
+    """chrom, id (of the first member) and the mean over all members for each merged variant.
+
+    fields: chrom, id and the named columns, numbers or arrays of them (mean by element, as many as all members have).
+    Null where a member has none; truncated ones are cut to whole numbers.
+    """
+    part = merged.filter("members > 1").select("chrom", F.col("id").alias("first"), "members", F.explode("ids").alias("id"))
+    j = part.join(fields, ["chrom", "id"], "left")
+    shapes = {c: fields.schema[c].dataType.typeName() == "array" for c in [*means, *truncated]}
+
+    def mean(c: str):
+        if not shapes[c]:
+            out = F.when(F.count(c) == F.first("members"), F.avg(c))
+            return (out.cast("long") if c in truncated else out).alias(c)
+        held = F.collect_list(c)
+        width = F.array_min(F.transform(held, F.size))
+        at = F.when(width > 0, F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        one = lambda i: F.aggregate(F.transform(held, lambda a: F.get(a, i).cast("double")), F.lit(0.0), lambda s, x: s + x) / F.size(held)
+        out = F.transform(at, lambda i: one(i).cast("long") if c in truncated else one(i))
+        return F.when(F.size(held) == F.first("members"), out).alias(c)
+
+    return j.groupBy("chrom", F.col("first").alias("id")).agg(*map(mean, shapes))
+
+
+def with_codons(df: DataFrame, codons: DataFrame) -> DataFrame:
+    """Adds codons, the sorted codons (chrom, pos, codon) that a variant covers: its own place, or those after it that a longer ref spans."""
+    last = F.col("pos") + F.length("ref") - 1
+    places = F.when(F.length("ref") > 1, F.sequence(F.col("pos") + 1, F.greatest(last, F.col("pos") + 1))).otherwise(F.array("pos"))
+    hit = df.select("chrom", "id", F.explode(places).alias("pos")).join(codons.select("chrom", "pos", "codon"), ["chrom", "pos"])
+    held = hit.groupBy("chrom", "id").agg(F.array_sort(F.collect_set("codon")).alias("codons"))
+    return df.join(held, ["chrom", "id"], "left").withColumn("codons", F.coalesce("codons", F.array().cast("array<string>")))
+
+
+def share_codon(ignore_indels: bool = False) -> Rule:
+    """A rule for merge_neighbours with extra "codons array<string>"; indels (any allele longer than a base) may be left out."""
+
+    def rule(a: dict, b: dict) -> bool:
+        long = any(len(v[x]) > 1 for v in (a, b) for x in ("ref", "alt"))
+        return not (ignore_indels and long) and not set(a["codons"]).isdisjoint(b["codons"])
+
+    return rule

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -79,3 +80,63 @@ def region_chunks(index: DataFrame, regions: DataFrame, keys: list[str]) -> Data
     """Chunks (keys, id, s, e) to read for regions (keys, id, s, e, floor): of the bins that meet a region, ending after floor."""
     r = regions.select(*keys, "id", "floor", F.explode(region_bins(F.col("s"), F.col("e"))).alias("bin"))
     return index.filter("bin IS NOT NULL").join(r, [*keys, "bin"]).filter("e > floor").select(*keys, "id", "s", "e")
+
+
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """Blocks of a blocked gzip file in order."""
+    at = 0
+    while at + 18 <= len(data):
+        size = struct.unpack_from("<H", data, at + 16)[0] + 1
+        if at + size > len(data):
+            return
+        yield zlib.decompress(data[at + 18 : at + size - 8], -15)
+        at += size
+
+
+def _contigs(data: bytes) -> list[tuple[int, str, int]] | None:
+    """tid, name, length; None if data ends before the header does."""
+    blocks, held, at = _inflated(data), b"", 0
+
+    def take(n: int) -> bytes:
+        nonlocal held, at
+        while len(held) < at + n:
+            held += next(blocks)
+        at += n
+        return held[at - n : at]
+
+    def count() -> int:
+        return struct.unpack("<I", take(4))[0]
+
+    try:
+        if take(4) != b"BAM\1":
+            raise ValueError("not an alignment file")
+        take(count())
+        return [(tid, take(count())[:-1].decode(), count()) for tid in range(count())]
+    except StopIteration:
+        return None
+
+
+def _opening(spark: SparkSession, path: str, n: int) -> tuple[bytes, bool]:
+    """The first n bytes of a file on any Hadoop file system, and whether that is all of it."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    size = fs.getFileStatus(p).getLen()
+    stream = fs.open(p)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, min(n, size))), n >= size
+    finally:
+        stream.close()
+
+
+def read_bam_header(spark: SparkSession, path: str) -> DataFrame:
+    """tid, name, length of one alignment file's contigs. Reads no more of it than the header fills, a megabyte at least."""
+    n = 1 << 20
+    while True:
+        data, whole = _opening(spark, path, n)
+        rows = _contigs(data)
+        if rows is not None:
+            return spark.createDataFrame(rows, "tid int, name string, length long")
+        if whole:
+            raise ValueError(f"header cut short: {path}")
+        n *= 4

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -38,3 +41,115 @@ def read_codons(spark: SparkSession, path: str) -> DataFrame:
 
 def write_tsv(df: DataFrame, path: str) -> None:
     df.write.option("sep", "\t").option("header", True).csv(path)
+
+
+def read_header(spark: SparkSession, path: str) -> DataFrame:
+    """Declarations of a VCF header: kind (FILTER, INFO, FORMAT, contig, ...), id, number, type, length, description, line."""
+    value = F.col("value")
+    part = lambda key: F.nullif(F.regexp_extract("value", rf"[<,]{key}=([^,>]*)", 1), F.lit(""))
+    return spark.read.text(path).filter(value.rlike("^##[A-Za-z]+=<")).select(
+        F.regexp_extract(value, "^##([A-Za-z]+)=", 1).alias("kind"), part("ID").alias("id"), part("Number").alias("number"), part("Type").alias("type"),
+        part("length").cast("long").alias("length"), F.nullif(F.regexp_extract(value, 'Description="((?:[^"\\\\]|\\\\.)*)"', 1), F.lit("")).alias("description"), value.alias("line"),
+    )
+
+
+def sample_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the samples in column order, from the one line that holds them."""
+    line = spark.read.text(path).filter(F.col("value").startswith("#CHROM")).first()
+    return line.value.split("\t")[9:] if line else []
+
+
+def added_declarations(first: DataFrame, second: DataFrame) -> DataFrame:
+    """Declarations that only the second header has."""
+    return second.join(first, ["kind", "id"], "left_anti")
+
+
+def vcf_lines(df: DataFrame) -> DataFrame:
+    """value, a VCF line for each record of read_vcf's columns, with chrom and pos to sort by.
+
+    Missing values are a dot, an empty filter is PASS, numbers without a fraction lose it. FORMAT lists the keys of the
+    first sample, GT first and the others sorted; samples that lack one get a dot.
+    """
+    dot = lambda c: F.coalesce(c, F.lit("."))
+    listed = lambda c, sep, none: F.when(F.size(c) > 0, F.array_join(c, sep, ".")).otherwise(F.lit(none))
+    entries = F.transform(F.array_sort(F.map_entries("info")), lambda e: F.when(e["value"].isNull(), e["key"]).otherwise(F.concat(e["key"], F.lit("="), e["value"])))
+    keys = F.array_sort(F.map_keys(F.get("samples", F.lit(0))))
+    keys = F.concat(F.filter(keys, lambda k: k == "GT"), F.filter(keys, lambda k: k != "GT"))
+    values = F.transform("samples", lambda s: F.array_join(F.transform(keys, lambda k: dot(F.try_element_at(s, k))), ":"))
+    qual = F.when(F.col("qual") == F.floor("qual"), F.col("qual").cast("long").cast("string")).otherwise(F.col("qual").cast("string"))
+    fixed = [F.col("chrom"), (F.col("pos") + 1).cast("string"), dot(F.col("id")), F.col("ref"), listed(F.col("alt"), ",", "."), dot(qual), listed(F.col("filter"), ";", "PASS"), F.when(F.size("info") > 0, F.array_join(entries, ";")).otherwise(F.lit("."))]
+    row = F.when(F.size("samples") > 0, F.concat(F.array(*fixed, F.array_join(keys, ":")), values)).otherwise(F.array(*fixed))
+    return df.select("chrom", "pos", F.array_join(row, "\t").alias("value"))
+
+
+def write_vcf(df: DataFrame, header: list[str], path: str, compression: str | None = None) -> None:
+    """A folder of text files, records ranged over them by chrom and pos; each starts with the header's lines.
+
+    Every file is a VCF by itself; read_vcf reads them all. chrom sorts by name.
+    """
+
+    def headed(parts):
+        for n, pdf in enumerate(parts):
+            yield pdf[["value"]] if n else pd.concat([pd.DataFrame({"value": header}), pdf[["value"]]])
+
+    rows = vcf_lines(df).repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos")
+    rows.mapInPandas(headed, "value string").write.text(path, compression=compression)
+
+
+def read_fasta(spark: SparkSession, path: str, width: int = 1 << 16) -> DataFrame:
+    """chrom, chunk, seq: chunks of width bases, for neighbours.following. Lines may be of any length.
+
+    Files are read by line; the positions of lines come from per-file prefix sums over pieces of the files, so no
+    sequence has to fit into a task.
+    """
+    offset = F.monotonically_increasing_id()
+    d = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), offset.alias("line"), "value").filter("value <> ''")
+    heads = d.filter("value LIKE '>%'").select("path", F.col("line").alias("from"), F.regexp_extract("value", r"^>(\S*)", 1).alias("chrom"))
+    w = Window.partitionBy("path").orderBy("from")
+    heads = heads.withColumn("upto", F.coalesce(F.lead("from").over(w), F.lit((1 << 63) - 1)))
+    # few sequences, each a stretch of lines: an as-of join by the stretch
+    bases = d.filter("value NOT LIKE '>%'").join(heads, "path").filter("line > from AND line < upto").select("path", "chrom", "line", F.upper(F.trim("value")).alias("seq"))
+    block = bases.withColumn("block", F.shiftright("line", 12))
+    sums = block.groupBy("path", "chrom", "block").agg(F.sum(F.length("seq")).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("path", "chrom").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select("path", "chrom", "block", F.coalesce(before, F.lit(0)).alias("base"))
+    inside = F.sum(F.length("seq")).over(Window.partitionBy("path", "chrom", "block").orderBy("line").rowsBetween(Window.unboundedPreceding, 0))
+    placed = block.withColumn("inside", inside - F.length("seq")).join(sums, ["path", "chrom", "block"]).withColumn("at", F.col("base") + F.col("inside"))
+    cut = F.explode(F.sequence(F.floor(F.col("at") / width), F.floor((F.col("at") + F.length("seq") - 1) / width)))
+    pieces = placed.select("chrom", "at", "seq", cut.alias("chunk")).withColumn("lo", F.greatest(F.col("at"), F.col("chunk") * width))
+    hi = F.least(F.col("at") + F.length("seq"), (F.col("chunk") + 1) * width)
+    pieces = pieces.select("chrom", "chunk", "lo", F.col("seq").substr((F.col("lo") - F.col("at") + 1).cast("int"), (hi - F.col("lo")).cast("int")).alias("seq"))
+    ordered = F.array_sort(F.collect_list(F.struct("lo", "seq")))
+    return pieces.groupBy("chrom", "chunk").agg(F.array_join(F.transform(ordered, lambda p: p["seq"]), "").alias("seq"))
+
+
+def read_contigs(spark: SparkSession, path: str) -> DataFrame:
+    """Whole contigs (grp, s, e) of a FASTA index."""
+    c = F.split("value", "\t")
+    return spark.read.text(path).filter(F.size(c) >= 2).select(F.get(c, F.lit(0)).alias("grp"), F.lit(0).cast("long").alias("s"), F.get(c, F.lit(1)).cast("long").alias("e"))
+
+
+def read_sam_header(spark: SparkSession, path: str) -> DataFrame:
+    """Contigs (tid, name, length) of a header's text, numbered in order of the lines."""
+    fields = F.str_to_map(F.regexp_replace("value", r"^@SQ\t", ""), F.lit("\t"), F.lit(":"))
+    d = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line")).filter(F.col("value").startswith("@SQ\t"))
+    d = d.select("line", fields["SN"].alias("name"), fields["LN"].cast("long").alias("length"))
+    # a header holds one line per contig; its lines are numbered in one window
+    return d.select((F.row_number().over(Window.orderBy("line")) - 1).alias("tid"), "name", "length")
+
+
+def read_strata(spark: SparkSession, path: str) -> DataFrame:
+    """stratum, grp, s, e of a list of "name<tab>BED file" lines, files relative to the list; blank lines are skipped."""
+    listed = [r.value.split("\t") for r in spark.read.text(path).filter(F.trim("value") != "").collect()]
+    folder = path.rsplit("/", 1)[0] if "/" in path else "."
+    parts = [read_bed(spark, f if f.startswith("/") or "://" in f else f"{folder}/{f}").withColumn("stratum", F.lit(name)) for name, f in listed]
+    if not parts:
+        return spark.createDataFrame([], "stratum string, grp string, s long, e long")
+    return reduce(lambda a, b: a.unionByName(b), parts).select("stratum", "grp", "s", "e")
+
+
+def regions(spark: SparkSession, text: str) -> DataFrame:
+    """grp, s, e of a region text: "chr1:1-100,chr2:5-9", from 1 and both ends included; a name may hold colons."""
+    d = spark.range(1).select(F.explode(F.split(F.lit(text), ",")).alias("one"))
+    at = lambda g: F.regexp_extract("one", r"^(.*):(\d+)-(\d+)$", g)
+    return d.select(at(1).alias("grp"), (at(2).cast("long") - 1).alias("s"), at(3).cast("long").alias("e"))

@@ -9,10 +9,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandflow.operators import evaluation, neighbours, tags, variants
+from strandflow.plans import record_queries
 from strandflow.plans.variant_queries import ORACLES, QUERIES, _neighbours
 from strandflow.sources import index
 
 SF = "/root/testdata/sf0.001"
+ORACLES, QUERIES = ORACLES | record_queries.ORACLES, QUERIES | record_queries.QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
