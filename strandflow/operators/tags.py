@@ -14,13 +14,13 @@ def tags(rules: list[Rule], params: dict[str, float | None]) -> Column:
     """Sorted tags of the rules that hold; a rule takes part if all its parameters are set, a missing value never tags."""
     active = sorted((r for r in rules if all(params.get(p) is not None for p in r[1])), key=lambda r: r[0])
     found = [F.when(F.coalesce(f(*[F.lit(params[p]) for p in needs]), F.lit(False)), F.lit(name)) for name, needs, f in active]
-    return F.array_compact(F.array(*found)) if found else F.array().cast("array<string>")
+    return F.array_except(F.array(*found), F.array(F.lit(None).cast("string"))) if found else F.array().cast("array<string>")
 
 
 def merged(old: Column, new: Column, clear: str | list[str] = "none") -> Column:
     """old tags without the cleared ones (always without PASS), united with new; PASS if none is left."""
     base = F.array().cast("array<string>") if clear == "all" else F.array_except(old, F.array(*map(F.lit, ["PASS", *(clear if isinstance(clear, list) else [])])))
-    out = F.array_sort(F.array_union(base, new))
+    out = F.sort_array(F.array_union(base, new))
     return F.when(F.size(out) == 0, F.array(F.lit("PASS"))).otherwise(out)
 
 

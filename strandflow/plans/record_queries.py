@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import genotypes, somatic
@@ -20,7 +22,7 @@ EVERY = {"min_depth": 20, "min_tumor_af": 0.3, "max_normal_af": 0.05, "min_qd":
 
 
 def somatic_rules(spark, sf):
-    """Tags of each line under every preset and under the parameters that no preset sets, in one scan."""
+    """Tags of lines under every preset, and under the parameters that no preset sets."""
     text = lambda c: F.col(c).cast("string")
     some = lambda **kv: F.map_filter(F.map_from_arrays(F.array(*map(F.lit, kv)), F.array(*kv.values())), lambda _, v: v.isNotNull())
     q, n = F.col("l_quantity").cast("int"), F.col("l_linenumber")
@@ -32,8 +34,9 @@ def somatic_rules(spark, sf):
         F.array_compact(F.array(F.when(F.col("l_returnflag") == "R", "triallelic_site"), F.when(F.col("l_linestatus") == "F", "old"))).alias("filter"),
     )
     cases = (somatic.PRESETS | {"none": EVERY}).items()
-    each = F.array(*[F.struct(F.lit(p).alias("preset"), F.array_join(tags.merged(F.col("filter"), tags.tags(somatic.RULES, x), x["clear"]), ";").alias("filter")) for p, x in cases])
-    return d.select("l_returnflag", F.explode(each).alias("x")).groupBy("l_returnflag", "x.preset", "x.filter").agg(F.count("*").alias("n"))
+    # a pass for each preset: all rules of all presets in one projection make a method too long for the JVM to compile
+    out = [d.select("l_returnflag", F.array_join(tags.merged(F.col("filter"), tags.tags(somatic.RULES, x), x["clear"]), ";").alias("filter")).groupBy("l_returnflag", "filter").agg(F.count("*").alias("n")).withColumn("preset", F.lit(p)) for p, x in cases]
+    return reduce(lambda a, b: a.unionByName(b), out)
 
 
 def somatic_sql() -> str:
