@@ -107,7 +107,7 @@ def read_fasta(spark: SparkSession, path: str, width: int = 1 << 16) -> DataFram
     heads = d.filter("value LIKE '>%'").select("path", F.col("line").alias("from"), F.regexp_extract("value", r"^>(\S*)", 1).alias("chrom"))
     w = Window.partitionBy("path").orderBy("from")
     heads = heads.withColumn("upto", F.coalesce(F.lead("from").over(w), F.lit((1 << 63) - 1)))
-    # few sequences, each a stretch of lines: an as-of join by the stretch
+    # compares each line with every sequence's stretch in its file: meant for files of few sequences
     bases = d.filter("value NOT LIKE '>%'").join(heads, "path").filter("line > from AND line < upto").select("path", "chrom", "line", F.upper(F.trim("value")).alias("seq"))
     block = bases.withColumn("block", F.shiftright("line", 12))
     sums = block.groupBy("path", "chrom", "block").agg(F.sum(F.length("seq")).alias("n"))
