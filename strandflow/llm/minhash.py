@@ -1,19 +1,18 @@
 """MinHash near-dedup: ProbMinHash signatures, banding, exact verification, components.
 
 A text's elements are its distinct shingles of WORDS words (a text of fewer words is one
-shingle), weighted by 1 + ln(count). Each element sends Poisson arrivals at the rate of
-its weight to random registers; a register keeps the element that arrives first, and an
-element stops once its next arrival is later than every register's. The share of equal
-registers estimates probability Jaccard. Registers are hashed in bands; texts that share
-a band are candidates, and a link is a pair whose Jaccard similarity, counted on 32-bit
-fingerprints of all shingles, is at least THRESHOLD.
+shingle), each of weight 1 however often it occurs. Each element sends Poisson arrivals at
+the rate of its weight to random registers; a register keeps the element that arrives first,
+and an element stops once its next arrival is later than every register's. Two registers are
+equal with the probability of the pair's Jaccard similarity, the measure of links too.
+Registers are hashed in bands; texts that share a band are candidates, and a link is a pair
+whose Jaccard similarity, counted on 32-bit fingerprints of all shingles, is at least
+THRESHOLD.
 
 No bucket's pairs are listed. First each member is checked against the least member of
 its bucket, and components are formed. Buckets that still hold several components are cut
-into tiles of TILE members whose signatures are compared in place; a tile gives only pairs
-across components whose estimate is not clearly below the threshold, in one round the best
-for each member and component, in a last round all that remain. So every candidate pair
-is checked, joined through others, or excluded by its estimate.
+into tiles of TILE members, where every pair across components is counted in place and only
+links come out. So every candidate pair is checked or joined through others.
 
 Equal texts are one class before all that. Defined results: a text without words (null,
 empty, white space) links with nothing; class_id is the least doc_id of the class, nulls
@@ -37,8 +36,6 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
 TILE = 256
-#: Estimates rest on 192 registers: 0.13 is four and a half standard deviations at 0.8.
-MARGIN = 0.13
 SEGMENT = 1 << 20
 BATCH_ELEMENTS = 100_000
 
@@ -121,12 +118,11 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], k: int = BANDS * ROWS)
 
 
 def _sign_batch(ids: list, keys: list, sets: list) -> pd.DataFrame:
-    sig = signatures([(e, 1 + np.log(c)) for e, c in sets])
+    sig = signatures([(e, np.ones(len(e))) for e, _ in sets])
     parts = sig.reshape(len(sets), BANDS, ROWS)
     bands = mix((parts * _PLACES[:ROWS]).sum(axis=2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * _PLACES[11]).view(np.int64)
-    codes = (mix(sig) & np.uint64(255)).astype(np.uint8)
     some = [len(e) > 0 for e, _ in sets]
-    return pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "key": keys, "some": some, "bands": [b if s else b[:0] for b, s in zip(bands, some)], "sig": [c.tobytes() for c in codes]})
+    return pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "key": keys, "some": some, "bands": [b if s else b[:0] for b, s in zip(bands, some)]})
 
 
 def _sign(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -195,22 +191,29 @@ def _runs(parts: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFra
 def _tile_links(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links across components within each tile; a pair counts in the first band that it shares."""
     for pdf in _runs(parts, ["bucket", "p", "q"]):
-        nid, comp, head, chunk, elements = (pdf[c].to_numpy() for c in ("nid", "comp", "head", "chunk", "elements"))
+        nid, comp, head, chunk = (pdf[c].to_numpy() for c in ("nid", "comp", "head", "chunk"))
         comp, bands, out = comp.copy(), np.stack(pdf["bands"].to_numpy()), []
         bucket, p, q = (pdf[c].iloc[0] for c in ("bucket", "p", "q"))
         before = bands[:, : np.flatnonzero(bands[0] == bucket)[0]]
-        sig = np.frombuffer(b"".join(pdf["sig"]), dtype=np.uint8).reshape(len(pdf), -1)
+        size = pdf["elements"].str.len().to_numpy() // 4
+        start = np.cumsum(size) - size
+        # numbers of the tile's distinct elements, so that one member is counted against all others by looking up flags
+        _, number = np.unique(np.frombuffer(b"".join(pdf["elements"]), dtype=np.uint32), return_inverse=True)
+        flag = np.zeros(len(number), dtype=bool)
         left, right = np.flatnonzero(chunk == p), np.flatnonzero(chunk == q)
         for i in left:
             j = right[nid[right] > nid[i]] if p == q else right
             j = j[(comp[j] != comp[i]) & (head[i] != nid[i]) & (head[j] != nid[j])]
+            j = j[np.minimum(size[i], size[j]) >= THRESHOLD * np.maximum(size[i], size[j])]
+            j = j[~(before[j] == before[i]).any(axis=1)]
             if not len(j):
                 continue
-            near = (sig[j] == sig[i]).mean(axis=1)
-            j, near = j[near >= THRESHOLD - MARGIN], near[near >= THRESHOLD - MARGIN]
-            fresh = ~(before[j] == before[i]).any(axis=1)
-            for k in j[fresh][np.argsort(-near[fresh], kind="stable")]:
-                if comp[k] != comp[i] and alike(elements[i], elements[k]):
+            own = number[start[i] : start[i] + size[i]]
+            flag[own] = True
+            both = np.array([np.count_nonzero(flag[number[s : s + n]]) for s, n in zip(start[j], size[j])])
+            flag[own] = False
+            for k in j[both >= THRESHOLD * (size[i] + size[j] - both)]:
+                if comp[k] != comp[i]:
                     out.append((nid[i], nid[k]))
                     comp[comp == comp[k]] = comp[i]
         yield pd.DataFrame(out, columns=["a", "b"])
@@ -222,18 +225,18 @@ def _unsettled(members: DataFrame, labels: DataFrame, classes: DataFrame, elemen
     mixed = m.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
     m = m.join(keep(mixed, "mh-mixed"), "bucket")
     m = m.withColumn("chunks", F.ceil(F.col("size") / TILE).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("nid"), "chunks").cast("int"))
-    m = m.join(classes.select("nid", "sig", "bands"), "nid").join(elements, "nid")
+    m = m.join(classes.select("nid", "bands"), "nid").join(elements, "nid")
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     m = m.withColumns({"p": F.least("chunk", "other"), "q": F.greatest("chunk", "other")})
-    return m.select("bucket", "p", "q", "chunk", "nid", "comp", "head", "sig", "bands", "elements")
+    return m.select("bucket", "p", "q", "chunk", "nid", "comp", "head", "bands", "elements")
 
 
 def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """signed rows (doc_id, key, some) and the class id of each key of a text with words."""
     bounded_batches(docs.sparkSession)
     source = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
-    signed = keep(source.mapInPandas(_sign, "doc_id long, key binary, some boolean, bands array<long>, sig binary"), "mh-signed")
-    classes = signed.filter("some").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    signed = keep(source.mapInPandas(_sign, "doc_id long, key binary, some boolean, bands array<long>"), "mh-signed")
+    classes = signed.filter("some").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = keep(classes.withColumn("nid", F.monotonically_increasing_id()), "mh-classes")
     buckets = classes.select("nid", F.explode("bands").alias("bucket"))
     heads = keep(buckets.groupBy("bucket").agg(F.min("nid").alias("head"), F.count("*").alias("size")).filter("size > 1"), "mh-heads")

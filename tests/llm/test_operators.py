@@ -117,6 +117,16 @@ def test_minhash_equals_brute_force(spark):
     assert {r.doc_id: r.class_id for r in minhash.near_duplicates(d).collect()} == brute.near_duplicate_classes([(r.doc_id, r.text) for r in d.collect()])
 
 
+def test_minhash_repeated_passages(spark):
+    """80 shared shingles and 20 own ones, which occur about 50 times: Jaccard is 0.8 exactly."""
+    rows = []
+    for k in range(40):
+        shared = " ".join(f"s{k}x{i}" for i in range(84))
+        rows += [(2 * k, shared), (2 * k + 1, shared + (" " + " ".join(f"p{k}x{i}" for i in range(16))) * 50)]
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.near_duplicate_classes(rows) == {i: i - i % 2 for i in range(80)}
+
+
 @pytest.mark.parametrize("small", [64, 1])
 def test_suffix_dedup(spark, docs, small):
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(docs.filter("doc_id NOT IN (5)").select((F.col("doc_id") + 10_000).alias("doc_id"), "text"))
