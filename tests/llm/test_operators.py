@@ -135,6 +135,19 @@ def test_suffix_dedup(spark, docs, small):
     assert suffix_dedup.dedup(docs.limit(0)).count() == 0 and suffix_dedup.dedup(docs).count() == len(ODD)
 
 
+@pytest.mark.parametrize("small", [64, 1])
+def test_suffix_dedup_repeated_rows(spark, small):
+    """Repeated rows are one document: a text that occurs nowhere else stays, and both rows share a verdict."""
+    near = "other start " + PROSE[:700] + " another middle " + PROSE[800:]
+    alone = " ".join(f"alone{i}" for i in range(40))
+    once = [(-1, alone), (1, PROSE), (2, near), (3, alone + " " + near[300:])]
+    rows = [(None if i < 0 else i, t) for i, t in once for _ in range(3 if i == 2 else 2)]
+    got = suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), small).collect()
+    want = brute.repeated_bytes(once)
+    assert want[-1][1] == want[1][1] == 0 < want[2][1]
+    assert sorted((-1 if r.doc_id is None else r.doc_id, tuple(r)[1:]) for r in got) == sorted((-1 if i is None else i, want[-1 if i is None else i]) for i, _ in rows)
+
+
 def test_packing(spark, docs, empty):
     from tokenizers import Tokenizer
 
