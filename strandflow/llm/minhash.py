@@ -232,7 +232,7 @@ def _unsettled(members: DataFrame, labels: DataFrame, classes: DataFrame, elemen
 
 
 def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """signed rows (doc_id, key, some) and the class id of each key of a text with words."""
+    """signed rows (doc_id, key, some) and the class of each key of a text with words: its label, and class id or null."""
     bounded_batches(docs.sparkSession)
     source = docs.select("doc_id", text_key(F.col("text")).alias("key"), "text")
     signed = keep(source.mapInPandas(_sign, "doc_id long, key binary, some boolean, bands array<long>"), "mh-signed")
@@ -256,7 +256,7 @@ def text_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     named = classes.select("nid", "key", "rep").join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
     named = keep(named, "mh-labelled")
     names = keep(named.groupBy("label").agg(F.min("rep").alias("class_id")), "mh-names")
-    return signed.select("doc_id", "key", "some"), keep(named.join(names, "label").select("key", "class_id"), "mh-result")
+    return signed.select("doc_id", "key", "some"), keep(named.join(names, "label").select("key", "label", "class_id"), "mh-result")
 
 
 def _verdicts(rows: DataFrame, by_key: DataFrame) -> DataFrame:
@@ -273,9 +273,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The document of each class with the least doc_id, with all its columns."""
+    """One row of each class, with all its columns: the least doc_id, nulls last, then the least key of its text.
+
+    Rows without words stay, but for repeated rows of one doc_id and text. Of repeated rows the
+    one with the least other columns stays.
+    """
     rows, by_key = text_classes(docs)
-    # a row's own key tells texts apart that share a doc_id
-    whole = rows.withColumn("own_key", F.col("key"))
-    chosen = _verdicts(whole, by_key).filter("kept").select(F.col("doc_id").alias("chosen_id"), F.col("own_key").alias("chosen_key"))
-    return docs.join(keep(chosen, "mh-chosen"), docs["doc_id"].eqNullSafe(F.col("chosen_id")) & (text_key(docs["text"]) == F.col("chosen_key")), "left_semi")
+    item = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+    counted = keep(rows.groupBy("doc_id", "key", "some").agg(F.count("*").alias("n")), "mh-counted")
+    least = counted.filter("some").join(by_key, "key").groupBy("label").agg(F.min_by(F.struct("doc_id", "key", "n"), item).alias("x")).select("x.*")
+    # rows without words or id are told apart by nothing, so none of them repeats another
+    wordless = counted.filter("NOT some").withColumn("n", F.when(F.col("doc_id").isNull(), 1).otherwise(F.col("n"))).select("doc_id", "key", "n")
+    chosen = keep(least.unionByName(wordless).select(F.col("doc_id").alias("chosen_id"), F.col("key").alias("chosen_key"), F.col("n").alias("chosen_n")), "mh-chosen")
+    mine = lambda c: docs["doc_id"].eqNullSafe(c["chosen_id"]) & (text_key(docs["text"]) == c["chosen_key"])
+    single, several = chosen.filter("chosen_n = 1"), chosen.filter("chosen_n > 1")
+    out = docs.join(single, mine(single), "left_semi")
+    if several.isEmpty():
+        return out
+    again = docs.join(several, mine(several)).withColumn("row", F.struct(*docs.columns))
+    return out.unionByName(again.groupBy("chosen_id", "chosen_key").agg(F.min("row").alias("row")).select("row.*"))

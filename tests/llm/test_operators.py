@@ -117,6 +117,15 @@ def test_minhash_equals_brute_force(spark):
     assert {r.doc_id: r.class_id for r in minhash.near_duplicates(d).collect()} == brute.near_duplicate_classes([(r.doc_id, r.text) for r in d.collect()])
 
 
+def test_minhash_leaves_one_row_of_each_class(spark):
+    """Classes without ids, repeated rows, and copies that share a doc_id."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(None, a, "s"), (None, a, "r"), (None, a + " more", "s"), (None, b, "s"), (None, b, "s"), (1, c, "s"), (1, c, "r"), (1, c, "s"), (2, d, "s"), (2, d + " more", "s"), (None, d, "s"), (3, "", "s"), (3, "", "r"), (None, "", "s"), (None, "", "s")]
+    got = [tuple(r) for r in minhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()]
+    assert sum(r[0] is None and r[1].startswith("a0") for r in got) == 1 and (None, b, "s") in got and (1, c, "r") in got
+    assert sorted((r[0] or 0, r[1][:1]) for r in got) == [(0, ""), (0, ""), (0, "a"), (0, "b"), (1, "c"), (2, "d"), (3, "")]
+
+
 def test_minhash_repeated_passages(spark):
     """80 shared shingles and 20 own ones, which occur about 50 times: Jaccard is 0.8 exactly."""
     rows = []
