@@ -10,21 +10,12 @@ from pyspark.sql import functions as F
 
 #: Separators of words: space and \t \n \v \f \r.
 SPACES = r"[\x20\x09-\x0D]+"
-#: Rows handed to a Python worker at once; texts may be long.
-BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Lower the number of rows in an Arrow batch, so that a batch of long texts fits in a worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
-
-
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; a temporary folder only where it is unset and the session is local."""
     root = spark.conf.get("spark.checkpoint.dir", None)

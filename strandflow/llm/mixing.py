@@ -3,16 +3,21 @@
 A source's budget is its share of all words by weight, at most EPOCHS times its own words,
 the excess shared again among the others. Whole epochs are taken first; what is left of
 the budget is filled with documents in the order of their exponential keys
--ln(u) / weight, u from a hash of the doc_id, weight from the text's quality. The running
-sum is taken over a histogram of keys (256 buckets per octave, so that no bucket holds
-more than a thousandth of a source whatever the weights) and then sorted row by row within
-the one bucket of each source where the budget ends.
+-ln(u) / weight, u from a hash of the doc_id and the text, weight from the text's quality.
+The running sum is taken over a histogram of keys (256 buckets per octave, so that no
+bucket holds more than a thousandth of a source whatever the weights) and then sorted row
+by row within the one bucket of each source where the budget ends.
+
+Rows that are alike in doc_id and text are told apart by their place in the input, so that
+their keys spread too: a source made of copies, or without ids, meets its target like any
+other. Their places are fixed when the keys are written, once; reruns over the same files
+and splits agree.
 
 Defined results: a null source is one source, ordered last; a null or empty text has
-size 0; documents with equal doc_id and size are taken or left together; a source without
-words has target 0; an empty table gives an empty table. Sources are taken to be few
-enough for one small aggregate (a row each); the plan joins them by broadcast only where
-Spark sees that the table of budgets is small.
+size 0; repeated rows and null ids are rows of their own; a source without words has
+target 0; an empty table gives an empty table. Sources are taken to be few enough for one
+small aggregate (a row each); the plan joins them by broadcast only where Spark sees that
+the table of budgets is small.
 """
 
 from __future__ import annotations
@@ -29,14 +34,23 @@ BUCKETS_PER_OCTAVE = 256
 
 
 def sized(docs: DataFrame, *passed: str) -> DataFrame:
-    """size, key and bucket of each row, beside its source, doc_id and the columns in passed."""
+    """A written table of size, key and bucket of each row, beside its source, doc_id and the columns in passed."""
     text = F.coalesce(F.col("text"), F.lit(""))
     symbols = F.length(text) - F.length(F.translate(text, SYMBOLS, ""))
-    d = docs.select(*passed, F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.size(words(F.col("text"))).cast("long").alias("__size"), symbols.alias("__symbols"))
-    u = (F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col("__id").cast("string"), F.lit("")), F.lit(":mix"))), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+    item = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text))
+    d = docs.select(
+        *passed, F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.size(words(F.col("text"))).cast("long").alias("__size"),
+        symbols.alias("__symbols"), item.alias("__item"), F.monotonically_increasing_id().alias("__place"),
+    )
+    d = keep(d, "mix-items")
+    again = keep(d.groupBy("__item").count().filter("count > 1").select(F.col("__item").alias("__again")), "mix-again")
+    # a left join whose right side has a row per item: Spark may split a hot item's rows, or broadcast few items
+    d = d.join(again, F.col("__item") == F.col("__again"), "left")
+    place = F.when(F.col("__again").isNotNull(), F.concat(F.lit(":"), F.col("__place").cast("string"))).otherwise("")
+    u = (F.conv(F.substring(F.md5(F.concat("__item", F.lit(":mix"), place)), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     weight = 1 / (1 + F.col("__symbols") / F.greatest(F.col("__size"), F.lit(1)))
     d = d.withColumn("__key", -F.log(u) / weight)
-    return d.withColumn("__bucket", F.floor(F.log2("__key") * BUCKETS_PER_OCTAVE)).drop("__symbols")
+    return d.withColumn("__bucket", F.floor(F.log2("__key") * BUCKETS_PER_OCTAVE)).drop("__symbols", "__item", "__again")
 
 
 def budgets(d: DataFrame) -> DataFrame:
@@ -59,7 +73,7 @@ def budgets(d: DataFrame) -> DataFrame:
 
 
 def _order() -> Column:
-    return F.struct("__key", "__id", "__size")
+    return F.struct("__key", "__id", "__size", "__place")
 
 
 def cutoffs(d: DataFrame, plan: DataFrame) -> DataFrame:
@@ -70,8 +84,8 @@ def cutoffs(d: DataFrame, plan: DataFrame) -> DataFrame:
     edge = hist.join(plan.select(F.col("__source").alias("s"), "rest"), F.col("__source").eqNullSafe(F.col("s")))
     edge = edge.filter((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") <= F.col("rest")))
     edge = edge.select(F.col("s"), F.col("__bucket").alias("edge"), (F.col("upto") - F.col("n")).alias("base"), "rest")
-    rows = d.select("__source", "__bucket", "__key", "__id", "__size").join(edge, F.col("__source").eqNullSafe(F.col("s")) & (F.col("__bucket") == F.col("edge")))
-    inside = Window.partitionBy("s").orderBy("__key", "__id", "__size").rowsBetween(Window.unboundedPreceding, 0)
+    rows = d.select("__source", "__bucket", "__key", "__id", "__size", "__place").join(edge, F.col("__source").eqNullSafe(F.col("s")) & (F.col("__bucket") == F.col("edge")))
+    inside = Window.partitionBy("s").orderBy("__key", "__id", "__size", "__place").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("before", F.col("base") + F.sum("__size").over(inside) - F.col("__size"))
     first = rows.groupBy("s", "edge").agg(F.min(F.when(F.col("before") + F.col("__size") / 2 > F.col("rest"), _order())).alias("first_out"))
     return plan.join(first, plan["__source"].eqNullSafe(first["s"]), "left").drop("s", "rest")
@@ -82,12 +96,12 @@ def copies(d: DataFrame, cut: DataFrame) -> DataFrame:
     cut = cut.withColumnRenamed("__source", "s")
     j = d.join(cut, F.col("__source").eqNullSafe(F.col("s")), "left").drop("s")
     more = (F.col("__bucket") < F.col("edge")) | ((F.col("__bucket") == F.col("edge")) & (F.col("first_out").isNull() | (_order() < F.col("first_out"))))
-    return j.withColumn("times", F.col("epochs") + F.coalesce(more, F.lit(False)).cast("long")).drop("epochs", "edge", "first_out", "__bucket", "__key")
+    return j.withColumn("times", F.col("epochs") + F.coalesce(more, F.lit(False)).cast("long")).drop("epochs", "edge", "first_out", "__bucket", "__key", "__place")
 
 
 def mix_plan(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
-    d = keep(sized(docs), "mix-sized")
+    d = sized(docs)
     cut = keep(cutoffs(d, keep(budgets(d), "mix-budgets")), "mix-cutoffs")
     out = copies(d, cut)
     return out.select(F.col("__id").alias("doc_id"), F.col("__size").alias("size"), "source_size", "target", (F.col("__size") * F.col("times")).alias("taken"), F.col("__source").alias("source"), "times")
@@ -95,11 +109,10 @@ def mix_plan(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it, with all its columns."""
-    d = keep(sized(docs), "mix-sized")
-    cut = keep(cutoffs(d, keep(budgets(d), "mix-budgets")), "mix-cutoffs")
     names = [F.col(c).alias(f"__c_{c}") for c in docs.columns]
-    full = sized(docs.select("doc_id", "source", "text", *names), *[f"__c_{c}" for c in docs.columns])
-    out = copies(full, cut).filter("times > 0").withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    d = sized(docs.select("doc_id", "source", "text", *names), *[f"__c_{c}" for c in docs.columns])
+    cut = keep(cutoffs(d, keep(budgets(d), "mix-budgets")), "mix-cutoffs")
+    out = copies(d, cut).filter("times > 0").withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     return out.select(*[F.col(f"__c_{c}").alias(c) for c in docs.columns])
 
 
@@ -111,9 +124,9 @@ def oracle_copies(source: str = "documents") -> str:
       SELECT *, coalesce(bool_or(running - size + size / 2 > rest) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), true) AS cut FROM (
         SELECT d.doc_id, d.size, d.source, d.key, p.source_size, p.target, p.epochs, p.rest,
           sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
-        FROM (SELECT doc_id, source, size, -ln((('0x' || substr(md5(doc_id::VARCHAR || ':mix'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
+        FROM (SELECT doc_id, source, size, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':mix'), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0)
                 / (1 / (1 + symbols / greatest(size, 1)::DOUBLE)) AS key
-              FROM (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+              FROM (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                       length(regexp_replace(coalesce(text, ''), '[^#*$%&|<>]', '', 'g')) AS symbols FROM {source})) d
         JOIN (
           SELECT source, source_size, target, epochs, greatest(target - epochs * source_size, 0) AS rest FROM (

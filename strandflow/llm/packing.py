@@ -10,12 +10,14 @@ the same splits agree.
 
 Defined results: a null or empty text is one piece that holds just the end id; rows are
 packed one by one, so repeated rows and null ids stay; an empty table gives an empty
-table. The strings of special tokens in a text are ordinary text.
+table. A text that spells an added token of the vocabulary file ("<|endoftext|>") gets that
+token's id there, as the file's own library gives it.
 """
 
 from __future__ import annotations
 
 import bisect
+import json
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -26,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, keep
+from .common import keep
 
 WINDOW = 2048
 OPEN = 64
@@ -48,7 +50,9 @@ def tokenizer(ranks_path: str, json_path: str, pattern: str) -> Callable[[str],
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    with open(json_path, encoding="utf-8") as f:
+        added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+    fast = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
     slow = []
 
     def encode(text: str) -> np.ndarray:
@@ -57,9 +61,9 @@ def tokenizer(ranks_path: str, json_path: str, pattern: str) -> Callable[[str],
                 from tokenizers import Tokenizer
 
                 slow.append(Tokenizer.from_file(json_path))
-                slow[0].encode_special_tokens = True
             return np.array(slow[0].encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return np.array(fast.encode_ordinary(text), dtype="<u4")
+        ids = fast.encode(text, allowed_special="all") if any(t in text for t in added) else fast.encode_ordinary(text)
+        return np.array(ids, dtype="<u4")
 
     return encode
 
@@ -147,7 +151,6 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 def pack(docs: DataFrame, ranks_path: str, json_path: str, pattern: str) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    bounded_batches(docs.sparkSession)
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = tokenizer(ranks_path, json_path, pattern)

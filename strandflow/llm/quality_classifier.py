@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import gbdt
-from .common import bounded_batches
 from .quality_rules import STOP_WORDS
 
 SAMPLE_ROWS = 20_000
@@ -77,7 +76,6 @@ def train(docs: DataFrame, labels: DataFrame) -> gbdt.Trees:
 
 def score(docs: DataFrame, model: gbdt.Trees) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    bounded_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def scored(text: pd.Series) -> pd.Series:
@@ -88,5 +86,4 @@ def score(docs: DataFrame, model: gbdt.Trees) -> DataFrame:
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    bounded_batches(docs.sparkSession)
     return score(docs, train(docs, labels))

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, keep, scratch_path
+from .common import keep, scratch_path
 
 MIN_REVISIT = 100
 #: Largest block of one record, and of one transfer chunk, in bytes.
@@ -102,7 +102,6 @@ def _records(row_id: str, page: int | None, url: str | None, payload: bytes, ref
 
 def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES) -> None:
     """Writes one gzipped archive per task below path."""
-    bounded_batches(pages.sparkSession)
     html = F.coalesce(F.col("html"), F.lit(""))
     p = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).alias("n"), F.sha2(html.cast("binary"), 256).alias("digest"))
     same = p.filter(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("copies"))

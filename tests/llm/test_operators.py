@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strandflow.llm import embeddings, gbdt, minhash, mixing, packing, pii, quality_classifier, quality_rules, suffix_dedup, url_filter, warc
+from strandflow.llm.common import scratch_path
 from strandflow.llm.queries import vocabulary
 
 PROSE = " ".join(f"word{i % 97} of plain{i} text and the number{i}" for i in range(60))
@@ -95,6 +96,26 @@ def test_mixing(docs, empty):
     assert mixing.mix_plan(empty).count() == 0 and mixing.mix(docs).columns == docs.columns
 
 
+def test_mixing_reaches_targets(spark):
+    """Sources without ids, with one id, made of one row, with ties and null: each comes near its target."""
+    text = " ".join(f"w{i}" for i in range(10))
+    rows = [(None, f"{text} {i}", "null ids") for i in range(200)] + [(7, f"{text} {i}", "one id") for i in range(200)] + [(8, text, "one row")] * 200
+    rows += [(1000 + i, text, None) for i in range(200)] + [(2000, "", "no words"), (2001, None, "no words")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    d.write.mode("overwrite").parquet(path := scratch_path(spark, "mix-test"))
+    d = spark.read.parquet(path)
+    got = mixing.mix_plan(d).collect()
+    taken, target = {}, {}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+    assert set(target) == {"null ids", "one id", "one row", "no words", None} and target["no words"] == 0
+    assert all(abs(taken[s] - t) <= 11 for s, t in target.items()) and all(r.taken <= 3 * r.size for r in got if r.size)
+    assert sorted(map(str, mixing.mix_plan(d).collect())) == sorted(map(str, got))
+    mixed = mixing.mix(d).groupBy("source").agg(F.sum(F.size(F.split("text", " "))).alias("n")).collect()
+    assert {r.source: r.n for r in mixed} == {s: n for s, n in taken.items() if n}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(40, 16))
@@ -157,21 +178,43 @@ def test_suffix_dedup_repeated_rows(spark, small):
     assert sorted((-1 if r.doc_id is None else r.doc_id, tuple(r)[1:]) for r in got) == sorted((-1 if i is None else i, want[-1 if i is None else i]) for i, _ in rows)
 
 
-def test_packing(spark, docs, empty):
+def packed_right(docs, pieces):
+    """Every id of docs (id, text), by the vocabulary file's own library, in one piece; sequences without gaps or overflow."""
     from tokenizers import Tokenizer
 
-    d = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(20, PROSE * 9), (21, "ça <|endoftext|> \u00a0\u2003x"), (22, " " * 9000)], "doc_id long, text string")).filter("doc_id <> 5")
     t = Tokenizer.from_file(vocabulary()["json_path"])
-    t.encode_special_tokens = True
+    want, got = {}, {}
+    for i, text in docs:
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        want.setdefault(i, []).append(ids)
+    for p in pieces:
+        got.setdefault(p.doc_id, []).append(p)
+    assert set(got) == set(want)
+    for i, all_ids in want.items():
+        # copies of one document have equal pieces up to where they are cut, so the totals are compared
+        assert sum(p.length for p in got[i]) == sum(map(len, all_ids))
+        ids = all_ids[0]
+        assert all(p.doc_tokens in set(map(len, all_ids)) for p in got[i])
+        if len({x.tobytes() for x in all_ids}) == 1:
+            assert all(p.ids_crc32 == zlib.crc32(ids[p.start : p.start + p.length].tobytes()) for p in got[i])
+            covered = np.zeros(len(ids) + 1, dtype=int)
+            for p in got[i]:
+                covered[p.start] += 1
+                covered[p.start + p.length] -= 1
+            assert (covered.cumsum()[:-1] == len(all_ids)).all()
+    by = {}
+    for p in pieces:
+        by.setdefault(p.sequence_id, []).append(p)
+    for own in by.values():
+        own.sort(key=lambda p: p.offset)
+        assert [p.offset for p in own] == [sum(q.length for q in own[:k]) for k in range(len(own))] and sum(p.length for p in own) <= packing.WINDOW
+
+
+def test_packing(spark, docs, empty):
+    more = [(20, PROSE * 9), (21, "ça <|endoftext|> \u00a0\u2003x"), (22, " " * 9000), (23, "<|endoftext|>"), (24, "a <|endoftext|><|endoftext|>b <|endoftext"), (25, "x" * 5000 + "<|endoftext|>" + "x" * 5000), (26, "  <|endoftext|>  'll \n\n"), (27, "\x00\ufffd\u200b e\u0301 \U0001f600 \u4e2d\u6587")]
+    d = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
     pieces = packing.pack(d, **vocabulary()).collect()
-    for r in d.collect():
-        ids = np.array([*t.encode(r.text or "", add_special_tokens=False).ids, 1], dtype="<u4")
-        own = sorted((p for p in pieces if p.doc_id == r.doc_id), key=lambda p: p.start)
-        assert [p.start for p in own] == [sum(q.length for q in own[:k]) for k in range(len(own))] and sum(p.length for p in own) == len(ids)
-        assert all(p.ids_crc32 == zlib.crc32(ids[p.start : p.start + p.length].tobytes()) and p.doc_tokens == len(ids) for p in own)
-    for k in {p.sequence_id for p in pieces}:
-        own = sorted((p for p in pieces if p.sequence_id == k), key=lambda p: p.offset)
-        assert [p.offset for p in own] == [sum(q.length for q in own[:i]) for i in range(len(own))] and sum(p.length for p in own) <= 2048
+    packed_right([(r.doc_id, r.text) for r in d.collect()], pieces)
     assert packing.pack(empty, **vocabulary()).count() == 0
 
 
