@@ -37,13 +37,11 @@ THRESHOLD = 0.8
 BANDS, ROWS = 32, 6
 TILE = 256
 SEGMENT = 1 << 20
+SHORT = 64
 BATCH_ELEMENTS = 100_000
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.cumprod(np.full(SEGMENT + 1, _BASE), dtype=np.uint64) * np.uint64(pow(int(_BASE), -1, 1 << 64))
-_INVERSE = np.cumprod(np.full(SEGMENT + 1, np.uint64(pow(int(_BASE), -1, 1 << 64))), dtype=np.uint64) * _BASE
 _PLACES = np.cumprod(np.full(64, np.uint64(0xD6E8FEB86659FD93)), dtype=np.uint64)
 
 
@@ -54,27 +52,48 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _segments(raw: bytes) -> Iterator[bytes]:
-    """Pieces of at most SEGMENT bytes, cut at white space; a longer word is cut by its bytes."""
-    at = 0
-    while len(raw) - at > SEGMENT:
-        piece = raw[at : at + SEGMENT]
-        cut = max(piece.rfind(c) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c")) + 1 or SEGMENT
-        yield piece[:cut]
-        at += cut
-    yield raw[at:]
+#: Values of (place, byte) for the first SHORT places of a word; later places are scrambled as they come.
+_LETTERS = mix(np.arange(SHORT << 8, dtype=np.uint64) + _PLACES[5])
+
+
+def _letters(byte: np.ndarray, place: np.ndarray) -> np.ndarray:
+    code = (place << 8) + byte
+    out = _LETTERS[np.minimum(code, (SHORT << 8) - 1)]
+    far = np.flatnonzero(place >= SHORT)
+    if len(far):
+        out[far] = mix(code[far].astype(np.uint64) + _PLACES[5])
+    return out
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
-    out = []
-    for piece in _segments(raw):
-        b = np.frombuffer(piece, dtype=np.uint8)
+    """A fingerprint of each word; a word that crosses segments is summed on."""
+    ended = lambda total, size: mix(total + size.astype(np.uint64) * _PLACES[3])
+    out, total, size = [], np.zeros(1, dtype=np.uint64), np.zeros(1, dtype=np.int64)  # of the word that is open
+    for at in range(0, len(raw), SEGMENT):
+        b = np.frombuffer(raw, dtype=np.uint8)[at : at + SEGMENT]
         edge = np.flatnonzero(np.diff(_SPACE[b], prepend=True, append=True))
-        if len(edge):
-            sums = np.zeros(len(b) + 1, dtype=np.uint64)
-            np.cumsum((b.astype(np.uint64) + np.uint64(1)) * _POWERS[: len(b)], out=sums[1:])
-            start, end = edge[::2], edge[1::2]
-            out.append(mix((sums[end] - sums[start]) * _INVERSE[start] + (end - start).astype(np.uint64)))
+        start, end = edge[::2], edge[1::2]
+        goes_on = len(start) > 0 and start[0] == 0
+        if size[0] and not goes_on:
+            out.append(ended(total, size))
+            total, size = np.zeros_like(total), np.zeros_like(size)
+        if not len(start):
+            continue
+        n = end - start
+        before = np.cumsum(n) - n
+        place = np.arange(before[-1] + n[-1]) - np.repeat(before, n)
+        if goes_on:
+            place[: n[0]] += size[0]
+        sums = np.add.reduceat(_letters(b[~_SPACE[b]].astype(np.int64), place), before)
+        if goes_on:
+            sums[:1] += total
+            n[0] += size[0]
+        is_open = end[-1] == len(b)
+        done = len(n) - is_open
+        out.append(ended(sums[:done], n[:done]))
+        total, size = (sums[done:], n[done:]) if is_open else (np.zeros(1, dtype=np.uint64), np.zeros(1, dtype=np.int64))
+    if size[0]:
+        out.append(ended(total, size))
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
@@ -146,8 +165,18 @@ def text_key(text: Column) -> Column:
 
 
 def _fingerprints(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """All shingles of each class's text; repeated rows of one document come one after the other and count once."""
+    last = None
     for pdf in parts:
-        yield pd.DataFrame({"nid": pdf["nid"], "elements": [np.unique((shingles(t)[0] >> np.uint64(32)).astype(np.uint32)).tobytes() for t in pdf["text"]]})
+        nid, out = pdf["nid"].to_numpy(), []
+        new = np.append(nid[:1] != last, nid[1:] != nid[:-1])
+        last = nid[-1] if len(nid) else last
+        for i in np.flatnonzero(new):
+            out.append((nid[i], shingles(pdf["text"].iat[i])[0].tobytes()))
+            if len(out) >= 1000:
+                yield pd.DataFrame(out, columns=["nid", "elements"])
+                out = []
+        yield pd.DataFrame(out, columns=["nid", "elements"])
 
 
 def alike(x: bytes, y: bytes) -> bool:
@@ -155,7 +184,7 @@ def alike(x: bytes, y: bytes) -> bool:
     small, large = sorted((len(x), len(y)))
     if small < THRESHOLD * large:
         return False
-    u, v = np.frombuffer(x, dtype=np.uint32), np.frombuffer(y, dtype=np.uint32)
+    u, v = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
     both = len(np.intersect1d(u, v, assume_unique=True))
     return both >= THRESHOLD * (len(u) + len(v) - both)
 
@@ -195,10 +224,10 @@ def _tile_links(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         comp, bands, out = comp.copy(), np.stack(pdf["bands"].to_numpy()), []
         bucket, p, q = (pdf[c].iloc[0] for c in ("bucket", "p", "q"))
         before = bands[:, : np.flatnonzero(bands[0] == bucket)[0]]
-        size = pdf["elements"].str.len().to_numpy() // 4
+        size = pdf["elements"].str.len().to_numpy() // 8
         start = np.cumsum(size) - size
         # numbers of the tile's distinct elements, so that one member is counted against all others by looking up flags
-        _, number = np.unique(np.frombuffer(b"".join(pdf["elements"]), dtype=np.uint32), return_inverse=True)
+        _, number = np.unique(np.frombuffer(b"".join(pdf["elements"]), dtype=np.uint64), return_inverse=True)
         flag = np.zeros(len(number), dtype=bool)
         left, right = np.flatnonzero(chunk == p), np.flatnonzero(chunk == q)
         for i in left:
@@ -220,14 +249,19 @@ def _tile_links(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _unsettled(members: DataFrame, labels: DataFrame, classes: DataFrame, elements: DataFrame) -> DataFrame:
-    """Members of buckets that hold several components, dealt into tiles."""
-    m = keep(members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("comp", F.coalesce("label", "nid")).drop("label"), "mh-members")
-    mixed = m.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("bucket")
-    m = m.join(keep(mixed, "mh-mixed"), "bucket")
-    m = m.withColumn("chunks", F.ceil(F.col("size") / TILE).cast("int")).withColumn("chunk", F.pmod(F.xxhash64("nid"), "chunks").cast("int"))
-    m = m.join(classes.select("nid", "bands"), "nid").join(elements, "nid")
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    """Members of buckets that hold several components, dealt into tiles of two chunks, one of them outside the largest component."""
+    m = keep(members.join(labels.withColumnRenamed("node", "nid"), "nid", "left").withColumn("comp", F.coalesce("label", "nid")).drop("label", "size"), "mh-members")
+    sizes = m.groupBy("bucket", "comp").count().groupBy("bucket").agg(F.max(F.struct("count", "comp")).alias("main"), F.sum("count").alias("size"))
+    chunks = lambda n: F.ceil(n / TILE).cast("int")
+    mixed = sizes.filter("size > main.count").select("bucket", F.col("main.comp").alias("main"), chunks(F.col("size") - F.col("main.count")).alias("outer"), chunks(F.col("main.count")).alias("inner"))
+    m = m.join(keep(mixed, "mh-mixed"), "bucket").withColumn("inside", F.col("comp") == F.col("main"))
+    # chunks are numbered from 0 outside the largest component, and on from there inside it
+    own = F.pmod(F.xxhash64("nid"), F.when(F.col("inside"), F.col("inner")).otherwise(F.col("outer"))).cast("int")
+    m = m.withColumn("chunk", own + F.when(F.col("inside"), F.col("outer")).otherwise(F.lit(0)))
+    last = F.col("outer") + F.when(F.col("inside"), F.lit(0)).otherwise(F.col("inner")) - 1
+    m = m.select("bucket", "nid", "comp", "head", "chunk", F.explode(F.sequence(F.lit(0), last)).alias("other"))
     m = m.withColumns({"p": F.least("chunk", "other"), "q": F.greatest("chunk", "other")})
+    m = m.join(classes.select("nid", "bands"), "nid").join(elements, "nid")
     return m.select("bucket", "p", "q", "chunk", "nid", "comp", "head", "bands", "elements")
 
 

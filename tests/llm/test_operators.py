@@ -157,6 +157,40 @@ def test_minhash_repeated_passages(spark):
     assert got == brute.near_duplicate_classes(rows) == {i: i - i % 2 for i in range(80)}
 
 
+def test_minhash_repeated_lines(spark):
+    """100 distinct words against the same with a line of 12 words repeated 400 times: Jaccard 0.857, all found."""
+    rows = []
+    for k in range(200):
+        words = " ".join(f"w{k}x{i}" for i in range(100))
+        rows += [(2 * k, words), (2 * k + 1, words + (" " + " ".join(f"r{k}x{i}" for i in range(12))) * 400)]
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(400)}
+
+
+def test_word_hashes():
+    """Unlike words differ, a word's fingerprint does not depend on where segments are cut."""
+    a = bytes(97 + bin(i).count("1") % 2 for i in range(1024))
+    b = bytes(97 + 1 - bin(i).count("1") % 2 for i in range(1024))
+    assert len({int(h) for w in (a, b, a[::-1] + b"c", b"ab", b"ba", b"a", b"aa") for h in minhash.word_hashes(w)}) == 7
+    text = b"  one two\tthree " + a * 40 + b" four\n"
+    whole, before = minhash.word_hashes(text), minhash.SEGMENT
+    try:
+        for minhash.SEGMENT in (1, 3, 7, 100):
+            assert (minhash.word_hashes(text) == whole).all()
+    finally:
+        minhash.SEGMENT = before
+    assert len(whole) == 5 and len(minhash.word_hashes(b"")) == len(minhash.word_hashes(b" \n")) == 0
+
+
+def test_minhash_mixed_buckets(spark, monkeypatch):
+    """Clusters that share bands, in tiles of two members: every link is found, none is made up."""
+    monkeypatch.setattr(minhash, "TILE", 2)
+    base = [f"b{i}" for i in range(84)]
+    rows = [(c * 100 + k, " ".join(base[: 60 + 4 * c] + [f"own{c}x{i}" for i in range(24 - 4 * c)] + [f"tail{k}"] * (k > 0))) for c in range(7) for k in range(5)]
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.near_duplicate_classes(rows)
+
+
 @pytest.mark.parametrize("small", [64, 1])
 def test_suffix_dedup(spark, docs, small):
     d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").unionByName(docs.filter("doc_id NOT IN (5)").select((F.col("doc_id") + 10_000).alias("doc_id"), "text"))
