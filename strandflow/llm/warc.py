@@ -1,11 +1,16 @@
 """WARC: archives written and read by Spark, with segmented records put together again.
 
 Writing: pages with equal payloads of at least MIN_REVISIT bytes keep one response (the
-smallest page_id); the others become revisit records without payload. A response's block
+smallest page_id); the others become revisit records without payload. Which is which is
+decided on digests alone; the payloads of revisits do not travel. A response's block
 is an HTTP message in chunked transfer framing; blocks above segment_bytes are cut into
-a first segment and continuation records that name its record as origin. Spark's text
-writer stores the records (its line separator is the blank line that ends a record), so
-that its commit protocol covers lost tasks.
+a first segment and continuation records that name its record as origin. Record ids are
+UUIDs from a number of the write itself and the record's place in it, so that archives of
+several writes can be read together, and a task that runs again writes the same ids.
+Spark's text writer stores the records (its line separator is the blank line that ends a
+record), so that its commit protocol covers lost tasks; it starts a new archive after
+ARCHIVE_RECORDS records. An archive is one gzip stream, not a member for each record:
+the text writer has no other form.
 
 Reading: each archive is parsed as a stream. Segments are grouped by origin identifier,
 ordered by number, checked against the total length and only then freed of the chunked
@@ -13,8 +18,12 @@ framing; the payload's length and digest are computed anew from what was decoded
 
 Defined results: a null html is an empty payload; a null url writes no target uri;
 records carry a row number of their own, so repeated rows and null page_ids stay apart;
-a record whose segments or framing are incomplete has complete = false and a null digest;
-an empty table gives an empty table.
+of rows without page_id with a repeated payload all are revisits if one with an id has it,
+else all are responses; a record whose segments or framing are incomplete has complete =
+false and a null digest; segments whose first is missing give a row of kind "continuation"
+without page_id, complete = false; an archive that is damaged (no gzip, cut short, no
+record where one should begin) counts up to the damage, which gives a row of kind
+"damaged", complete = false; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -22,6 +31,8 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,6 +47,8 @@ MIN_REVISIT = 100
 SEGMENT_BYTES = 8192
 CHUNK_BYTES = 2048
 BATCH_BYTES = 4 << 20
+#: Records of one archive, each of at most SEGMENT_BYTES and its header.
+ARCHIVE_RECORDS = 20_000
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -80,11 +93,10 @@ def _one_line(text: str | None) -> str | None:
     return None if text is None else "".join(c if c.isprintable() else "%" + c.encode().hex() for c in text)
 
 
-def _records(row_id: str, page: int | None, url: str | None, payload: bytes, refers_to: int | None, segment: int, chunk: int) -> Iterator[bytes]:
-    own = f"<urn:page:{row_id}>"
-    fields: dict[str, object] = {"WARC-Record-ID": own, "WARC-Date": "2020-01-01T00:00:00Z", "WARC-Page-ID": page, "WARC-Target-URI": _one_line(url)}
-    fields |= {"WARC-Payload-Digest": "sha256:" + hashlib.sha256(payload).hexdigest(), "WARC-Payload-Length": len(payload), "Content-Type": "application/http; msgtype=response"}
-    if refers_to is not None:
+def _records(own: str, page: int | None, url: str | None, digest: str, length: int, payload: bytes | None, refers_to: int | None, segment: int, chunk: int) -> Iterator[bytes]:
+    fields: dict[str, object] = {"WARC-Record-ID": f"<{own}>", "WARC-Date": "2020-01-01T00:00:00Z", "WARC-Page-ID": page, "WARC-Target-URI": _one_line(url)}
+    fields |= {"WARC-Payload-Digest": "sha256:" + digest, "WARC-Payload-Length": length, "Content-Type": "application/http; msgtype=response"}
+    if payload is None:
         yield _record({"WARC-Type": "revisit", "WARC-Profile": REVISIT_PROFILE, "WARC-Refers-To-Page-ID": refers_to} | fields, HTTP_HEAD)
         return
     block = HTTP_HEAD + chunked(payload, chunk)
@@ -94,31 +106,36 @@ def _records(row_id: str, page: int | None, url: str | None, payload: bytes, ref
     starts = range(0, len(block), segment)
     yield _record({"WARC-Type": "response", "WARC-Segment-Number": 1} | fields, block[:segment])
     for k, at in enumerate(starts[1:], 2):
-        more = {"WARC-Type": "continuation", "WARC-Record-ID": f"<urn:page:{row_id}:{k}>", "WARC-Date": fields["WARC-Date"], "WARC-Segment-Origin-ID": own, "WARC-Segment-Number": k}
+        more = {"WARC-Type": "continuation", "WARC-Record-ID": f"<{uuid.uuid5(uuid.UUID(own), str(k)).urn}>", "WARC-Date": fields["WARC-Date"], "WARC-Segment-Origin-ID": fields["WARC-Record-ID"], "WARC-Segment-Number": k}
         if k == len(starts):
             more["WARC-Segment-Total-Length"] = len(block)
         yield _record(more, block[at : at + segment])
 
 
-def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES) -> None:
-    """Writes one gzipped archive per task below path."""
+def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES, chunk_bytes: int = CHUNK_BYTES, archive_records: int = ARCHIVE_RECORDS) -> None:
+    """Writes gzipped archives below path, one or more per task."""
     html = F.coalesce(F.col("html"), F.lit(""))
     p = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).alias("n"), F.sha2(html.cast("binary"), 256).alias("digest"))
-    same = p.filter(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("copies"))
-    same = keep(same.filter("copies > 1").select("digest", "first"), "warc-copies")
-    # small payloads take part under keys of their own, which match nothing
-    p = p.withColumn("key", F.when(F.col("n") >= MIN_REVISIT, F.col("digest")).otherwise(F.concat(F.lit("own:"), F.xxhash64("page_id", "url", "html").cast("string"))))
-    p = p.join(same.withColumnRenamed("digest", "key"), "key", "left")
-    p = p.select("page_id", "url", "html", F.when(F.col("first") != F.coalesce(F.col("page_id"), F.col("first") - 1), F.col("first")).alias("first"))
+    large = p.filter(F.col("n") >= MIN_REVISIT)
+    same = large.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("copies"))
+    same = keep(same.filter("copies > 1 AND first IS NOT NULL").select("digest", "first"), "warc-copies")
+    again = large.select("page_id", "url", "n", "digest").join(same, "digest").filter(F.col("first") != F.coalesce(F.col("page_id"), F.col("first") - 1))
+    again = keep(again.select("page_id", "url", "n", "digest", "first"), "warc-revisits")
+    # payloads leave by page and digest, not by digest alone, so that a popular page's rows spread
+    gone = again.select(F.col("page_id").alias("gone_page"), F.col("digest").alias("gone_digest")).distinct()
+    first = p.join(gone, F.col("page_id").eqNullSafe(F.col("gone_page")) & (F.col("digest") == F.col("gone_digest")), "left_anti")
+    rows = first.withColumn("first", F.lit(None).cast("long")).unionByName(again.withColumn("html", F.lit(None).cast("string")))
+    write = uuid.uuid4()
 
     def records(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task, n = TaskContext.get().partitionId(), 0
+        as_id = lambda x: None if pd.isna(x) else int(x)
         for pdf in parts:
             out, size = [], 0
-            for page, url, page_html, first in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["first"]):
+            for page, url, page_html, length, digest, refers_to in zip(*(pdf[c] for c in ("page_id", "url", "html", "n", "digest", "first"))):
                 n += 1
-                as_id = lambda x: None if pd.isna(x) else int(x)
-                for r in _records(f"{task}-{n}", as_id(page), url, page_html.encode(), as_id(first), segment_bytes, chunk_bytes):
+                own = uuid.uuid5(write, f"{task}-{n}").urn
+                for r in _records(own, as_id(page), url, digest, length, None if page_html is None else page_html.encode(), as_id(refers_to), segment_bytes, chunk_bytes):
                     out.append(r)
                     size += len(r)
                 if size > BATCH_BYTES:
@@ -126,33 +143,56 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
                     out, size = [], 0
             yield pd.DataFrame({"record": out})
 
-    text = p.mapInPandas(records, "record binary").select(F.col("record").cast("string").alias("value"))
-    text.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    text = rows.select("page_id", "url", "html", "n", "digest", "first").mapInPandas(records, "record binary").select(F.col("record").cast("string").alias("value"))
+    text.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", archive_records).text(path)
 
 
 PARSED = "origin string, segment int, total long, page_id long, kind string, refers_to long, length long, digest string, block binary, complete boolean"
 
 
+class Damaged(ValueError):
+    """Bytes that are no record where one should begin."""
+
+
 def _parse(stream: io.BufferedIOBase) -> Iterator[dict]:
     while line := stream.readline():
         if line == b"\r\n":
             continue
         if not line.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record where one should begin: {line[:40]!r}")
+            raise Damaged(f"no WARC record where one should begin: {line[:40]!r}")
         fields = {}
         while (line := stream.readline()) not in (b"\r\n", b""):
-            k, _, v = line.decode().rstrip("\r\n").partition(": ")
-            fields[k.lower()] = v
-        block = stream.read(int(fields["content-length"]))
-        number = lambda k: int(fields[k]) if k in fields else None
-        row = {"origin": fields.get("warc-segment-origin-id", fields["warc-record-id"]), "segment": number("warc-segment-number"), "total": number("warc-segment-total-length"), "page_id": number("warc-page-id"), "kind": fields["warc-type"], "refers_to": number("warc-refers-to-page-id"), "length": number("warc-payload-length"), "digest": fields.get("warc-payload-digest", "").rpartition(":")[2] or None, "block": None, "complete": len(block) == int(fields["content-length"])}
+            k, _, v = line.decode(errors="replace").rstrip("\r\n").partition(":")
+            fields[k.strip().lower()] = v.strip()
+        number = lambda k: int(fields[k]) if fields.get(k, "").isdecimal() else None
+        length = number("content-length")
+        if length is None or "warc-record-id" not in fields:
+            raise Damaged("a record without its length or id")
+        block = stream.read(length)
+        row = {
+            "origin": fields.get("warc-segment-origin-id", fields["warc-record-id"]), "segment": number("warc-segment-number"), "total": number("warc-segment-total-length"), "page_id": _signed(fields.get("warc-page-id")),
+            "kind": fields.get("warc-type"), "refers_to": _signed(fields.get("warc-refers-to-page-id")), "length": number("warc-payload-length"), "digest": fields.get("warc-payload-digest", "").rpartition(":")[2] or None, "block": None, "complete": len(block) == length,
+        }
         if row["segment"] is not None:
             row["block"] = block
         elif row["kind"] == "response":
-            row |= measured(decoded(block))
+            row |= measured(decoded(block) if row["complete"] else None)
         yield row
 
 
+def _signed(text: str | None) -> int | None:
+    return int(text) if text and text.removeprefix("-").isdecimal() else None
+
+
+def _archive(content: bytes, path: str) -> Iterator[dict]:
+    """An archive's records; damage ends it and gives a last row that tells."""
+    try:
+        with gzip.GzipFile(fileobj=io.BytesIO(content)) as stream:
+            yield from _parse(io.BufferedReader(stream))
+    except (Damaged, EOFError, gzip.BadGzipFile, zlib.error):
+        yield {"origin": f"damaged:{path}", "segment": None, "total": None, "page_id": None, "kind": "damaged", "refers_to": None, "length": None, "digest": None, "block": None, "complete": False}
+
+
 def measured(payload: bytes | None) -> dict:
     if payload is None:
         return {"length": None, "digest": None, "complete": False}
@@ -163,21 +203,20 @@ def _frame(rows: list[dict], columns: list[str]) -> pd.DataFrame:
     return pd.DataFrame({c: pd.array([r[c] for r in rows], dtype="Int64") if c in ("segment", "total", "page_id", "refers_to", "length") else pd.Series([r[c] for r in rows], dtype=object) for c in columns})
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row per response or revisit: page_id, length and digest of the full payload, kind, refers_to, complete."""
+def read_archives(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per response or revisit of all archives below path: page_id, length and digest of the full payload, kind, refers_to, complete."""
     names = [x.split()[0] for x in PARSED.split(", ")]
 
     def parse(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for content in pdf["content"]:
+            for path, content in zip(pdf["path"], pdf["content"]):
                 rows, size = [], 0
-                with gzip.GzipFile(fileobj=io.BytesIO(content)) as stream:
-                    for row in _parse(io.BufferedReader(stream)):
-                        rows.append(row)
-                        size += 200 + len(row["block"] or b"")
-                        if size > BATCH_BYTES:
-                            yield _frame(rows, names)
-                            rows, size = [], 0
+                for row in _archive(content, path):
+                    rows.append(row)
+                    size += 200 + len(row["block"] or b"")
+                    if size > BATCH_BYTES:
+                        yield _frame(rows, names)
+                        rows, size = [], 0
                 yield _frame(rows, names)
 
     def assemble(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -187,13 +226,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 found = [x for x in r["segments"] if x["segment"] is not None]
                 if found:
                     block = b"".join(x["block"] for x in found)
-                    whole = [x["segment"] for x in found] == list(range(1, len(found) + 1)) and r["total"] == len(block)
-                    r |= measured(decoded(block) if whole else None)
+                    whole = r["kind"] is not None and [x["segment"] for x in found] == list(range(1, len(found) + 1)) and r["total"] == len(block)
+                    r |= measured(decoded(block) if whole else None) | {"kind": r["kind"] or "continuation"}
                 rows.append(r)
             yield _frame(rows, out)
 
     out = ["page_id", "length", "digest", "kind", "refers_to", "complete"]
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
     parsed = files.mapInPandas(parse, PARSED)
     head = lambda c: F.max(F.when(F.col("kind") != "continuation", F.col(c))).alias(c)
     by_origin = parsed.groupBy("origin").agg(

@@ -61,6 +61,57 @@ def test_warc_round_trip(spark):
     assert warc.unchunked(warc.chunked(b"abc" * 50, 7)) == b"abc" * 50 and warc.unchunked(b"5\r\nabc") is None
 
 
+def test_warc_empty_and_extra_columns(spark):
+    d = spark.createDataFrame([], "page_id long, url string, html string")
+    assert warc.archive_round_trip(d).count() == 0
+    d = spark.createDataFrame([(1, "u", "<p>", "x", 5, "y")], "page_id long, url string, html string, digest string, n int, first string")
+    assert [(r.page_id, r.length, r.complete) for r in warc.archive_round_trip(d).collect()] == [(1, 3, True)]
+
+
+def test_warc_two_writes_read_together(spark):
+    d = spark.createDataFrame([(1, "u", "<p>" * 9000)], "page_id long, url string, html string")
+    paths = [scratch_path(spark, "warc-test") for _ in range(2)]
+    for k, path in enumerate(paths):
+        warc.write_archives(d.withColumn("page_id", F.col("page_id") + k), path)
+    got = sorted((r.page_id, r.length, r.complete) for r in warc.read_archives(spark, paths).collect())
+    assert got == [(1, 27_000, True), (2, 27_000, True)]
+
+
+def rewritten(spark, edit, rows=((1, "u", "<p>" * 9000),), **options):
+    """Archives of rows, each changed by edit(bytes), read back."""
+    import glob
+    import gzip
+
+    path = scratch_path(spark, "warc-test")
+    warc.write_archives(spark.createDataFrame(list(rows), "page_id long, url string, html string").coalesce(1), path, **options)
+    for name in glob.glob(path.removeprefix("file://") + "/*.gz"):
+        with open(name, "rb") as f:
+            raw = edit(gzip.decompress(f.read()))
+        with open(name, "wb") as f:
+            f.write(raw if raw[:2] in (b"", b"no") else gzip.compress(raw))
+        import os
+
+        crc = os.path.join(os.path.dirname(name), f".{os.path.basename(name)}.crc")
+        if os.path.exists(crc):
+            os.remove(crc)
+    return sorted(((r.page_id, r.kind, r.digest is not None, r.complete) for r in warc.read_archives(spark, path).collect()), key=str)
+
+
+def test_warc_damage(spark):
+    """Swapped segments are put in order; missing or cut ones make a record incomplete; a damaged archive counts up to the damage."""
+    mark = b"WARC/1.1\r\n"
+    parts = lambda raw: [mark + x for x in raw.split(mark)[1:]]
+    good = [(1, "response", True, True)]
+    assert len(parts(b"")) == 0 and rewritten(spark, lambda raw: b"".join(parts(raw)[::-1])) == good
+    assert rewritten(spark, lambda raw: b"".join(parts(raw)[:1] + parts(raw)[2:])) == [(1, "response", False, False)]
+    assert rewritten(spark, lambda raw: b"".join(parts(raw)[:-1])) == [(1, "response", False, False)]
+    assert rewritten(spark, lambda raw: b"".join(parts(raw)[1:])) == [(None, "continuation", False, False)]
+    assert rewritten(spark, lambda raw: raw[:-100]) == [(1, "response", False, False)]
+    assert rewritten(spark, lambda raw: raw + b"rubbish\r\n") == sorted([*good, (None, "damaged", False, False)], key=str)
+    assert rewritten(spark, lambda raw: b"no gzip") == [(None, "damaged", False, False)]
+    assert rewritten(spark, lambda raw: raw, [(i, "u", f"<p>{i}" * 3000) for i in range(9)], archive_records=4) == sorted([(i, "response", True, True) for i in range(9)], key=str)
+
+
 def test_pii_base_and_redaction(docs, empty):
     text = "a@b.c_d@e.f 1.2.3.4.5.6.7.8 999.1.1.1 4111111111111112 +12 " + "@" * 300 + "1" * 5000
     assert pii.base_spans(text) == {"email": [(0, 5), (5, 11)], "ip": [(12, 19), (20, 27)], "card": [], "phone": []}
