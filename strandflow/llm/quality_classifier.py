@@ -5,8 +5,8 @@ their ids) outside the held-out fold, and flattened into arrays; every whole tex
 measured and scored in batches. Only statistics of the text are inputs.
 
 Defined results: a null or empty text has all statistics 0 and is scored like any other;
-several labels of one doc_id count by their mean, null labels not at all; repeated rows
-are scored one by one; without usable labels every score is 0.5; a null doc_id is not
+several labels of one doc_id count by their mean, null labels not at all; of several
+documents with one doc_id one is learnt from; repeated rows are scored one by one; without usable labels every score is 0.5; a null doc_id is not
 held out; an empty table gives an empty table.
 """
 
@@ -59,17 +59,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HELD_OUT_OF == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> gbdt.Trees:
-    """Fits on the labelled rows outside the held-out fold, at most SAMPLE_ROWS of them."""
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> gbdt.Trees:
+    """Fits on the labelled rows outside the held-out fold, at most sample_rows of them."""
     y = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    y = y.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(y), "doc_id")  # at most SAMPLE_ROWS rows of 12 bytes
+    y = y.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    rows = docs.select("doc_id", "text").join(F.broadcast(y), "doc_id")  # at most sample_rows rows of 12 bytes
 
     def measure(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "x": list(matrix(pdf["text"]))})
 
-    got = rows.mapInPandas(measure, "doc_id long, y int, x array<double>").toPandas().sort_values("doc_id", kind="stable")
+    # one row per doc_id, however often it occurs: at most sample_rows come to the driver
+    measured = rows.mapInPandas(measure, "doc_id long, y int, x array<double>").groupBy("doc_id").agg(F.min(F.struct("y", "x")).alias("m"))
+    got = measured.select("doc_id", "m.y", "m.x").toPandas().sort_values("doc_id", kind="stable")
     x = np.stack(got["x"].to_numpy()) if len(got) else np.zeros((0, len(FEATURES)))
     return gbdt.fit(x, got["y"].to_numpy(dtype=float))
 

@@ -53,3 +53,21 @@ def repeated_bytes(docs: list[tuple], span: int = 100) -> dict:
         runs = sum(1 for k in range(len(raw)) if gone[k] and (k == 0 or not gone[k - 1]))
         out[i] = (len(raw), sum(gone), runs, hashlib.sha256(bytes(b for b, g in zip(raw, gone) if not g)).hexdigest())
     return out
+
+
+def base_personal_data(text: str | None) -> list[tuple[str, int, int]]:
+    """Base matches by plain regular expressions, those that fail their kind's test dropped."""
+    import re
+
+    def luhn(d: str) -> bool:
+        twice = [sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))]
+        return sum(twice) % 10 == 0
+
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(p) <= 255 for p in s.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda s: 16 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 8 <= len(digits(s)) <= 15),
+    ]
+    return [(k, *m.span()) for k, form, ok in kinds for m in re.finditer(form, text or "") if ok(m.group())]

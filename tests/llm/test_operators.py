@@ -122,6 +122,66 @@ def test_pii_base_and_redaction(docs, empty):
     assert got[8] == "mail [EMAIL] or [PHONE], [IP], [CARD] é" and got[2] is None and got[1] == PROSE
 
 
+def pii_corpus(n=300):
+    """Prose with base matches of every kind, on which the selector learns."""
+    import random
+
+    pick = random.Random(5)
+    card = lambda: next(f"4{x:014d}{c}" for x in [pick.randrange(10**14)] for c in range(10) if pii.luhn(f"4{x:014d}{c}"))
+    rows = []
+    for i in range(n):
+        w = [f"word{pick.randrange(50)}x" for _ in range(40)]
+        data = [f"jo.smith{pick.randrange(99)}@mail{pick.randrange(9)}.example.com", ".".join(str(pick.randrange(256)) for _ in range(4)), card(), f"+1 ({pick.randrange(1000):03d}) 555-{pick.randrange(10000):04d}"]
+        w.insert(pick.randrange(40), data[i % 4])
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+def test_pii_equals_plain_patterns(spark):
+    """Counts, digest and order of base spans on odd strings and on whole documents; selected spans keep them."""
+    import random
+
+    pick = random.Random(3)
+    parts = ["a", "b.c", "@", ".", "+", "-", " ", "(", ")", "1", "22", "255", "256", "4111111111111111", "4111 1111-1111 1111", "+1 555 123 4567", "10.0.0.1", "x@y.z", "\u0661\u0662", "\u00e9", "\n", "%", "_"]
+    rows = [(i, "".join(pick.choice(parts) for _ in range(pick.randrange(30)))) for i in range(1500)] + [(2000, None), (2001, ""), (2002, "1." * 3000), (2003, "@" * 2000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").unionByName(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").filter("doc_id > 5000").unionByName(spark.createDataFrame([(i + 9000, t) for i, t in pii_corpus(40)], "doc_id long, text string")))
+    texts = {}
+    for r in d.collect():
+        texts.setdefault(r.doc_id, set()).add(r.text)
+    for r in pii.detect(d).collect():
+        if len(texts[r.doc_id]) > 1:
+            continue
+        base = brute.base_personal_data(next(iter(texts[r.doc_id])))
+        listed = [f"{k}:{s}:{e}" for k, s, e in base]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, _, _ in base) for x in pii.KINDS]
+        assert r.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        spans = r.spans.split(",") if r.spans else []
+        assert set(listed) <= set(spans) and r.n_spans == len(spans) == len(set(spans))
+        assert spans == sorted(spans, key=lambda x: (pii.KINDS.index(x.split(":")[0]), int(x.split(":")[1])))
+
+
+def test_pii_selects_what_base_patterns_miss(spark):
+    """Planted forms are found, dates, prices and numbers are left alone; held-out precision and recall of renderings."""
+    planted = ["write to john.doe (at) example (dot) com now", "I am jane at mail dot org please", "bob @ corp.example.com says", "call 555-123-4567 today", "tel (030) 123-4567 or", "card 4111.1111.1111.1111 ok", "at host 10[.]0[.]0[.]1 down"]
+    clean = ["on 2021-03-04 it rained", "costs 1,234,567 dollars", "isbn 978-3-16-148410-0 x", "order 1234567890 now", "from 1914-1918 it went", "at noon. Then dot matrix", "version 10.4.22 of it", PROSE]
+    rows = pii_corpus() + [(1000 + i, t) for i, t in enumerate(planted)] + [(2000 + i, t) for i, t in enumerate(clean)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.detect(d).collect()}
+    assert all(got[1000 + i].n_spans == 1 and got[1000 + i].n_email + got[1000 + i].n_ip + got[1000 + i].n_card + got[1000 + i].n_phone == 0 for i in range(len(planted)))
+    assert all(got[2000 + i].n_spans == 0 for i in range(len(clean)))
+    x, y, _ = pii.training_rows(d.filter("doc_id < 200"))
+    z, t, _ = pii.training_rows(d.filter("doc_id BETWEEN 200 AND 299"))
+    selector = pii.fitted(x, y, np.arange(len(y)) % pii.FOLDS)
+    hit = selector.model.score(z) > np.array([selector.cuts[pii.KINDS[int(k)]] for k in z[:, 0]])
+    assert (hit & (t == 1)).sum() > 0.95 * t.sum() and (hit & (t == 1)).sum() > 0.95 * hit.sum()
+
+
+def test_pii_learns_from_one_match_or_none(spark):
+    d = spark.createDataFrame([(None, "mail a@b.cd"), (None, "mail a@b.cd"), (1, None)], "doc_id long, text string")
+    assert sorted((r.n_email, r.n_spans) for r in pii.detect(d).collect()) == [(0, 0), (1, 1), (1, 1)]
+    assert [r.n_spans for r in pii.detect(d.filter("text IS NULL")).collect()] == [0]
+
+
 def test_trees_learn(spark, docs):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(2000, 4))
