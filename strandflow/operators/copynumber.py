@@ -30,7 +30,7 @@ def confident(events: DataFrame, regions: DataFrame | None) -> DataFrame:
     """Adds fraction, inside and any: how much of an event (grp, s, e, id) lies in regions. Without regions all of it does."""
     if regions is None:
         return events.withColumns({"fraction": F.lit(1.0), "inside": F.lit(True), "any": F.lit(True)})
-    j = overlap_join(events.select("grp", "s", "e", "id"), merge(regions).drop("n"), 1 << 10)
+    j = overlap_join(events.select("grp", "s", "e", "id"), merge(regions).drop("n"))
     within = j.groupBy(F.col("a_id").alias("id")).agg(F.sum("overlap").alias("within"))
     d = events.join(within, "id", "left").withColumn("fraction", F.coalesce(F.col("within") / F.nullif(F.greatest(F.col("e") - F.col("s"), F.lit(0)), F.lit(0)), F.lit(0.0))).drop("within")
     return d.withColumns({"inside": F.col("fraction") >= 1.0, "any": F.col("fraction") > 0})

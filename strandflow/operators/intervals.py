@@ -1,20 +1,49 @@
-"""Interval algebra over (grp, s, e), half-open: runs, merge, overlap, intersect, subtract, as-of."""
+"""Interval algebra over (grp, s, e), half-open: runs, merge, overlap, intersect, subtract, as-of.
+
+No step puts a whole group into one task. Ordered steps work on stretches of CHUNK positions;
+what earlier stretches pass on (the largest end, the number of runs) travels through a table
+of one row per stretch. Rows without grp, s or e are left out.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BIN = 64
+#: Positions of a stretch, as a power of two.
+CHUNK = 16
+#: Powers of two of the widths of bins: an interval belongs to the first level as wide as itself.
+LEVELS = tuple(range(6, 61, 3))
+
+
+def _stretch(at: Column) -> Column:
+    return F.shiftright(at.cast("long"), CHUNK)
+
+
+def _passed_on(df: DataFrame, value: Column, fold, name: str) -> DataFrame:
+    """grp, stretch and fold (max or sum) of value over all earlier stretches of the group; one row per stretch."""
+    each = df.groupBy("grp", "stretch").agg(fold(value).alias("v"))
+    before = Window.partitionBy("grp").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    return each.select("grp", "stretch", fold("v").over(before).alias(name))
+
+
+def top_before(df: DataFrame) -> DataFrame:
+    """Adds stretch, and top: the largest end of the intervals before this one in the order of (s, e); null if there is none."""
+    d = df.filter("grp IS NOT NULL AND s IS NOT NULL AND e IS NOT NULL").withColumn("stretch", _stretch(F.col("s")))
+    before = Window.partitionBy("grp", "stretch").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.join(_passed_on(d, F.col("e"), F.max, "earlier"), ["grp", "stretch"])
+    return d.withColumn("top", F.greatest("earlier", F.max("e").over(before))).drop("earlier")
 
 
 def runs(df: DataFrame, touching_joins: bool) -> DataFrame:
     """Adds run: numbered stretches of overlapping intervals within grp."""
-    before = Window.partitionBy("grp").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("grp").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, 0)
-    top = F.max("e").over(before)
-    new = F.col("s") > top if touching_joins else F.col("s") >= top
-    return df.withColumn("new", F.coalesce(new, F.lit(True)).cast("int")).withColumn("run", F.sum("new").over(upto)).drop("new")
+    d = top_before(df)
+    new = F.col("s") > F.col("top") if touching_joins else F.col("s") >= F.col("top")
+    d = d.withColumn("new", F.coalesce(new, F.lit(True)).cast("int"))
+    upto = Window.partitionBy("grp", "stretch").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumn("run", F.sum("new").over(upto))
+    d = d.join(_passed_on(d, F.col("new"), F.sum, "earlier"), ["grp", "stretch"])
+    return d.withColumn("run", F.col("run") + F.coalesce("earlier", F.lit(0))).drop("stretch", "top", "new", "earlier")
 
 
 def merge(df: DataFrame, touching_joins: bool = True) -> DataFrame:
@@ -22,47 +51,99 @@ def merge(df: DataFrame, touching_joins: bool = True) -> DataFrame:
     return runs(df, touching_joins).groupBy("grp", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.count("*").alias("n")).drop("run")
 
 
-def overlap_join(a: DataFrame, b: DataFrame, width: int = BIN) -> DataFrame:
+def _level(s: Column, e: Column) -> Column:
+    bits = F.ceil(F.log2(F.greatest(e - s, F.lit(1)).cast("double")))
+    return F.least(F.lit(LEVELS[0]) + 3 * F.greatest(F.ceil((bits - LEVELS[0]) / 3), F.lit(0)), F.lit(LEVELS[-1])).cast("int")
+
+
+def _wide(level: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), level)
+
+
+def overlap_join(a: DataFrame, b: DataFrame) -> DataFrame:
     """Pairs of a and b of one grp that overlap: grp, as, ae, bs, be and the overlap's length.
 
-    Both sides are dealt into bins, so that a frequent grp is spread; a pair is kept in the
-    later of the two first bins only.
+    Bins come in widths that grow by eight. An interval belongs to the level as wide as itself,
+    where it meets two bins at most, however long it is, and looks for shorter ones of the other
+    side there. Those stand in the bins of every level that the other side's intervals belong to.
+    A pair is kept in the later of the two first bins only.
     """
 
-    def dealt(df: DataFrame, p: str) -> DataFrame:
-        bins = F.sequence(F.floor(F.col("s") / width), F.floor((F.greatest(F.col("e") - 1, F.col("s"))) / width))
+    def named(df: DataFrame, p: str) -> DataFrame:
         names = [F.col(c).alias(f"{p}{c}" if c in ("s", "e") else c if c == "grp" else f"{p}_{c}") for c in df.columns]
-        return df.withColumn("bin", F.explode(bins)).select(*names, "bin")
+        return df.filter("grp IS NOT NULL AND s IS NOT NULL AND e IS NOT NULL").withColumn("own", _level(F.col("s"), F.col("e"))).select(*names, F.col("own").alias(f"{p}_level"))
+
+    def bins(df: DataFrame, p: str) -> DataFrame:
+        wide = _wide(F.col("level"))
+        last = F.greatest(F.col(f"{p}e") - 1, F.col(f"{p}s"))
+        return df.withColumn("bin", F.explode(F.sequence(F.floor(F.col(f"{p}s") / wide), F.floor(last / wide))))
+
+    def met(x: DataFrame, y: DataFrame, p: str, q: str, strict: bool) -> DataFrame:
+        """Pairs whose x belongs to the pair's level; y belongs to it or, if strict, below it."""
+        own = bins(x.withColumn("level", F.col(f"{p}_level")), p)
+        levels = F.broadcast(x.select(F.col(f"{p}_level").alias("level")).distinct())  # at most len(LEVELS) rows
+        least = F.col(f"{q}_level") + (3 if strict else 0)
+        every = y.filter(least <= LEVELS[-1]).withColumn("level", F.explode(F.sequence(least, F.lit(LEVELS[-1]), F.lit(3)))).join(levels, "level", "left_semi")
+        j = own.join(bins(every, q), ["grp", "level", "bin"])
+        wide = _wide(F.col("level"))
+        return j.filter((F.col("as") < F.col("be")) & (F.col("bs") < F.col("ae"))).filter(F.col("bin") == F.floor(F.greatest("as", "bs") / wide))
 
-    j = dealt(a, "a").join(dealt(b, "b"), ["grp", "bin"])
-    j = j.filter((F.col("as") < F.col("be")) & (F.col("bs") < F.col("ae")))
-    j = j.filter(F.col("bin") == F.greatest(F.floor(F.col("as") / width), F.floor(F.col("bs") / width)))
-    return j.drop("bin").withColumn("overlap", F.least("ae", "be") - F.greatest("as", "bs"))
+    x, y = named(a, "a"), named(b, "b")
+    j = met(x, y, "a", "b", False).unionByName(met(y, x, "b", "a", True))
+    return j.drop("bin", "level", "a_level", "b_level").withColumn("overlap", F.least("ae", "be") - F.greatest("as", "bs"))
+
+
+def pieces(df: DataFrame) -> DataFrame:
+    """Intervals cut at the bounds of stretches: df with stretch, s and e of each piece, and from, the start of the whole."""
+    d = df.filter("grp IS NOT NULL AND s < e").withColumn("stretch", F.explode(F.sequence(_stretch(F.col("s")), _stretch(F.col("e") - 1))))
+    first, wide = F.shiftleft(F.col("stretch"), CHUNK), 1 << CHUNK
+    return d.withColumn("from", F.col("s")).withColumns({"s": F.greatest("s", first), "e": F.least(F.col("e"), first + wide)})
+
+
+def _swept(a: DataFrame, b: DataFrame, keep: str) -> DataFrame:
+    """Where a sweep over both unions, stretch by stretch, finds keep (over in_a and in_b) to hold."""
+
+    def ends(d: DataFrame, x: int, y: int) -> DataFrame:
+        d = pieces(merge(d.select("grp", "s", "e")))
+        both = F.array(*[F.struct(F.col(at).alias("at"), F.lit(sign * x).alias("da"), F.lit(sign * y).alias("db")) for at, sign in (("s", 1), ("e", -1))])
+        return d.select("grp", "stretch", F.inline(both))
+
+    points = ends(a, 1, 0).unionByName(ends(b, 0, 1)).groupBy("grp", "stretch", "at").agg(F.sum("da").alias("da"), F.sum("db").alias("db"))
+    w = Window.partitionBy("grp", "stretch").orderBy("at")
+    swept = points.select("grp", F.col("at").alias("s"), F.lead("at").over(w).alias("e"), F.sum("da").over(w).alias("in_a"), F.sum("db").over(w).alias("in_b"))
+    return merge(swept.filter(keep).filter("e > s").select("grp", "s", "e")).drop("n")
 
 
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
-    cut = overlap_join(a.select("grp", "s", "e"), b.select("grp", "s", "e"))
-    return merge(cut.select("grp", F.greatest("as", "bs").alias("s"), F.least("ae", "be").alias("e"))).drop("n")
+    """What both cover."""
+    return _swept(a, b, "in_a > 0 AND in_b > 0")
 
 
 def subtract(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Pieces of a that no interval of b covers, by a sweep over the ends of both."""
-    a, b = merge(a).drop("n"), merge(b).drop("n")
-    ends = lambda d, x, y: d.select("grp", F.col("s").alias("at"), F.lit(x).alias("da"), F.lit(y).alias("db")).unionByName(d.select("grp", F.col("e").alias("at"), F.lit(-x).alias("da"), F.lit(-y).alias("db")))
-    points = ends(a, 1, 0).unionByName(ends(b, 0, 1)).groupBy("grp", "at").agg(F.sum("da").alias("da"), F.sum("db").alias("db"))
-    w = Window.partitionBy("grp").orderBy("at")
-    swept = points.select("grp", F.col("at").alias("s"), F.lead("at").over(w).alias("e"), F.sum("da").over(w).alias("in_a"), F.sum("db").over(w).alias("in_b"))
-    return merge(swept.filter("in_a > 0 AND in_b = 0 AND e > s").select("grp", "s", "e")).drop("n")
+    """What a covers and b does not."""
+    return _swept(a, b, "in_a > 0 AND in_b = 0")
+
+
+def overlapping(a: DataFrame, b: DataFrame, id: str = "id") -> DataFrame:
+    """Rows of a (grp, s, e, id, ...) that overlap an interval of b, each once (a semi-join)."""
+    hit = overlap_join(a.select("grp", "s", "e", id), b.select("grp", "s", "e")).select(F.col(f"a_{id}").alias(id)).distinct()
+    return a.join(hit, id, "left_semi")
+
+
+def padded(df: DataFrame, by: int) -> DataFrame:
+    """Intervals wider by so many positions on both sides, none below 0."""
+    return df.withColumns({"s": F.greatest(F.col("s") - by, F.lit(0).cast("long")), "e": F.col("e") + by})
 
 
 def containing(points: DataFrame, spans: DataFrame) -> DataFrame:
     """points (grp, at, ...) with the start of the interval of spans (disjoint) that holds them, else null; as-of, without a range join."""
     names = [c for c in points.columns if c not in ("grp", "at")]
-    left = spans.select("grp", F.col("s").alias("at"), F.lit(0).alias("side"), F.struct("s", "e").alias("span"), *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in names])
-    right = points.select("grp", "at", F.lit(1).alias("side"), F.lit(None).cast("struct<s:bigint,e:bigint>").alias("span"), *names)
-    w = Window.partitionBy("grp").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
-    j = left.withColumn("span", F.col("span").cast("struct<s:bigint,e:bigint>")).unionByName(right).withColumn("span", F.last("span", ignorenulls=True).over(w))
-    return j.filter("side = 1").withColumn("phase", F.when(F.col("at") < F.col("span.e"), F.col("span.s"))).drop("side", "span")
+    span = F.struct(F.col("from").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
+    left = pieces(spans.select("grp", "s", "e")).select("grp", "stretch", F.col("s").alias("at"), F.lit(0).alias("side"), span.alias("span"), *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in names])
+    right = points.select("grp", _stretch(F.col("at")).alias("stretch"), "at", F.lit(1).alias("side"), F.lit(None).cast("struct<s:bigint,e:bigint>").alias("span"), *names)
+    w = Window.partitionBy("grp", "stretch").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
+    j = left.unionByName(right).withColumn("span", F.last("span", ignorenulls=True).over(w))
+    return j.filter("side = 1").withColumn("phase", F.when(F.col("at") < F.col("span.e"), F.col("span.s"))).drop("side", "span", "stretch")
 
 
 def split_blocks(blocks: DataFrame, holes: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .intervals import runs
+
 COLUMNS = "chrom string, pos long, id long, ref string, alt string, after string, qual double, passed boolean, sv boolean, phase string"
 Rule = Callable[[dict, dict], bool]
 
@@ -68,12 +70,11 @@ def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None, ex
     """
     columns = f"{COLUMNS}, {extra}" if extra else COLUMNS
     names = [c.split()[0] for c in columns.split(", ")]
-    w = Window.partitionBy("chrom").orderBy("pos", "id")
-    top = F.max(F.col("pos") + F.length("ref") - 1).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    d = df.select(*names).withColumn("new", F.coalesce(F.col("pos") - top > reach, F.lit(True)).cast("int")).withColumn("island", F.sum("new").over(w))
+    d = df.select(*names, F.col("chrom").alias("grp"), F.col("pos").alias("s"), (F.col("pos") + F.length("ref") - 1 + reach).alias("e"))
+    d = runs(d, touching_joins=True).drop("grp", "s", "e").withColumnRenamed("run", "island")
     open_ = F.col("passed") & ~F.col("sv") & (F.col("phase") != "")
     counts = Window.partitionBy("chrom", "island")
-    d = d.withColumn("able", F.sum(F.coalesce(open_, F.lit(False)).cast("int")).over(counts)).drop("new")
+    d = d.withColumn("able", F.sum(F.coalesce(open_, F.lit(False)).cast("int")).over(counts))
     full = columns + ", merged boolean, members int, ids array<long>"
     added = ["merged", "members", "ids"]
 
@@ -85,6 +86,8 @@ def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None, ex
             for i, v in enumerate(stack):
                 chain = [v]
                 for u in stack[i + 1 :] if v["passed"] and not v["merged"] else []:
+                    if u["pos"] - chain[-1]["pos"] > reach + len(chain[-1]["ref"]) - 1:
+                        break  # what follows is further off still
                     if not u["merged"] and _mergeable(chain[-1], u, reach, rule):
                         chain.append(u)
                 one = _joined(chain) if len(chain) > 1 else None

@@ -9,9 +9,19 @@ from pyspark.sql import functions as F
 
 
 def full_outer(streams: dict[str, DataFrame], keys: list[str]) -> DataFrame:
-    """One row per position; each stream's other columns are a struct under its name, null where it has no row."""
+    """One row per position; each stream's other columns are a struct under its name, null where it has no row.
+
+    Streams have one row per position. All are united and grouped, so that any number of them takes one shuffle.
+    """
     packed = [d.select(*keys, F.struct(*[c for c in d.columns if c not in keys]).alias(n)) for n, d in streams.items()]
-    return reduce(lambda a, b: a.join(b, keys, "full_outer"), packed)
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), packed)
+    return united.groupBy(*keys).agg(*[F.first(n, ignorenulls=True).alias(n) for n in streams])
+
+
+def by_stream(df: DataFrame, keys: list[str], stream: str, names: dict[str, object]) -> DataFrame:
+    """The same from one table whose column stream tells the streams apart; names gives its value for each."""
+    packed = F.struct(*[c for c in df.columns if c not in keys and c != stream])
+    return df.groupBy(*keys).agg(*[F.first(F.when(F.col(stream) == v, packed), ignorenulls=True).alias(n) for n, v in names.items()])
 
 
 def triplets(pieces: DataFrame, key: str, order: list[str], length: str) -> DataFrame:

@@ -131,17 +131,16 @@ def _streams(spark, sf):
     d = lines(spark, sf).withColumn("k", F.col("l_linenumber") % 4)
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     first = evaluation.first_per_position(d, ["l_orderkey", "k"], order)
-    return {f"v{k}": first.filter(F.col("k") == k).select("l_orderkey", "l_quantity", "l_discount") for k in range(4)}
+    return positional.by_stream(first.select("l_orderkey", "k", "l_quantity", "l_discount"), ["l_orderkey"], "k", {f"v{k}": k for k in range(4)})
 
 
 def positional_merge_4way(spark, sf):
-    m = positional.full_outer(_streams(spark, sf), ["l_orderkey"])
-    return m.select("l_orderkey", *[F.col(f"v{k}.l_quantity").alias(f"q{k}") for k in range(4)])
+    return _streams(spark, sf).select("l_orderkey", *[F.col(f"v{k}.l_quantity").alias(f"q{k}") for k in range(4)])
 
 
 def precedence_merge(spark, sf):
     """The first stream with a large discount wins, else both of streams 1 and 2 joined, else stream 3."""
-    m = positional.full_outer(_streams(spark, sf), ["l_orderkey"])
+    m = _streams(spark, sf)
     both = F.col("v1").isNotNull() & F.col("v2").isNotNull()
     source = F.when(F.col("v0.l_discount") >= 0.05, "first").when(both, "joined").when(F.col("v3").isNotNull(), "last").when(F.col("v0").isNotNull(), "first")
     value = F.when(source == "first", F.col("v0.l_quantity")).when(source == "joined", F.col("v1.l_quantity") + F.col("v2.l_quantity")).when(source == "last", F.col("v3.l_quantity"))

@@ -87,9 +87,12 @@ def block_combine(spark, sf):
     return out.select("grp", "s", "e", "id", F.size("alt").alias("n_alt"), "gt")
 
 
-BLOCK_COMBINE = f"""WITH {ROWS}, v AS (SELECT * FROM i WHERE part % 3 = 0), b AS (SELECT * FROM i WHERE part % 3 = 1),
+BLOCK_COMBINE = f"""WITH RECURSIVE {ROWS}, v AS (SELECT * FROM i WHERE part % 3 = 0), b AS (SELECT * FROM i WHERE part % 3 = 1),
   m AS (SELECT *, row_number() OVER (PARTITION BY grp, s ORDER BY e, id) AS rn FROM i WHERE part % 3 = 2),
-  d AS (SELECT grp, id, unnest(range(s, e)) AS d FROM b EXCEPT SELECT b.grp, b.id, unnest(range(v.s, v.e)) FROM b JOIN v ON v.grp = b.grp AND v.s >= b.s AND v.s < b.e),
+  h AS (SELECT b.id, b.grp, b.s AS lo, b.e AS hi, v.s, v.e FROM b JOIN v ON v.grp = b.grp AND v.s >= b.s AND v.s < b.e),
+  c AS (SELECT id, grp, lo, hi, struct_pack(s := min((s, e))[1], e := min((s, e))[2]) AS x FROM h GROUP BY ALL UNION ALL
+    SELECT c.id, c.grp, c.lo, c.hi, struct_pack(s := min((h.s, h.e))[1], e := min((h.s, h.e))[2]) FROM c JOIN h ON h.id = c.id AND h.s >= c.x.e GROUP BY c.id, c.grp, c.lo, c.hi),
+  d AS (SELECT grp, id, unnest(range(s, e)) AS d FROM b EXCEPT SELECT grp, id, unnest(range(x.s, x.e)) FROM c),
   p AS (SELECT grp, id, min(d) AS s, max(d) + 1 AS e FROM (SELECT *, d - row_number() OVER (PARTITION BY id ORDER BY d) AS k FROM d) GROUP BY grp, id, k)
 SELECT grp, s, e, id, 1 AS n_alt, '0/1' AS gt FROM p UNION ALL SELECT grp, s, e, id, 2, '0/0' FROM m WHERE rn > 1 OR NOT EXISTS (SELECT 1 FROM v WHERE v.grp = m.grp AND v.s = m.s)
 UNION ALL SELECT grp, s, e, id, 3, '0/1' FROM v"""

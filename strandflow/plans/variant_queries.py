@@ -25,7 +25,7 @@ def _streams(spark, sf):
         "l_orderkey", "k", ref.alias("ref"), alts.alias("alt"), gt.alias("gt"), q.alias("gq"), F.array(q % 2, q % 7, q % 3).alias("pl"),
         F.when(F.col("l_returnflag") == "R", F.array(F.lit("low"))).otherwise(F.array().cast("array<string>")).alias("filter"), (F.col("l_linestatus") == "O").alias("delta"),
     )
-    return d, positional.full_outer({f"v{k}": d.filter(F.col("k") == k).drop("k") for k in range(4)}, ["l_orderkey"])
+    return d, positional.by_stream(d, ["l_orderkey"], "k", {f"v{k}": k for k in range(4)})
 
 
 RECORDS = """r AS (SELECT *, substr('ACGTAACC', q % 3 + 1, q % 4 + 1) AS ref, CASE q % 6 WHEN 0 THEN './.' WHEN 1 THEN '0/1' WHEN 2 THEN '1|2' WHEN 3 THEN '1/1' WHEN 4 THEN '0|1' END AS gt FROM (
