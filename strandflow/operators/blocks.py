@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import kept
 from .evaluation import first_per_position
 from .intervals import overlap_join, runs, top_before
 
@@ -31,9 +32,10 @@ def cut(blocks: DataFrame, variants: DataFrame) -> DataFrame:
     """
     start = variants.select("grp", "s", (F.col("s") + 1).alias("e"), F.col("e").alias("stop"))
     hits = overlap_join(blocks.select("grp", "s", "e", "id"), start).select(F.col("a_id").alias("grp"), F.col("as").alias("lo"), F.col("ae").alias("hi"), F.col("bs").cast("long").alias("s"), F.col("b_stop").cast("long").alias("e"))
+    hits = kept(hits)
     # what has been cut matters among overlapping variants only, so each such run decides by itself
     each = runs(hits, touching_joins=False).groupBy("grp", "run", "lo", "hi").agg(F.array_sort(F.collect_list(F.struct("s", "e"))).alias("members"))
-    cuts = each.select("grp", "lo", "hi", F.inline(_cutting(F.col("members"))))
+    cuts = kept(each.select("grp", "lo", "hi", F.inline(_cutting(F.col("members")))))
     gaps = top_before(cuts).select(F.col("grp").alias("id"), F.coalesce("top", "lo").alias("s"), F.col("s").alias("e"))
     last = cuts.groupBy(F.col("grp").alias("id")).agg(F.max("e").alias("s"), F.max("hi").alias("e"))
     left = gaps.unionByName(last).filter("s < e")

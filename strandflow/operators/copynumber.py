@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .intervals import merge, overlap_join, runs
+from ..scratch import kept
+from . import evaluation
+from .intervals import intersect, merge, overlap_join, runs
 
 # Tags that an accepted record may carry.
 ACCEPTED = ("PASS", "cnvLength")
@@ -30,7 +34,7 @@ def confident(events: DataFrame, regions: DataFrame | None) -> DataFrame:
     """Adds fraction, inside and any: how much of an event (grp, s, e, id) lies in regions. Without regions all of it does."""
     if regions is None:
         return events.withColumns({"fraction": F.lit(1.0), "inside": F.lit(True), "any": F.lit(True)})
-    j = overlap_join(events.select("grp", "s", "e", "id"), merge(regions).drop("n"))
+    j = overlap_join(events.select("grp", "s", "e", "id"), kept(merge(regions).drop("n")))
     within = j.groupBy(F.col("a_id").alias("id")).agg(F.sum("overlap").alias("within"))
     d = events.join(within, "id", "left").withColumn("fraction", F.coalesce(F.col("within") / F.nullif(F.greatest(F.col("e") - F.col("s"), F.lit(0)), F.lit(0)), F.lit(0.0))).drop("within")
     return d.withColumns({"inside": F.col("fraction") >= 1.0, "any": F.col("fraction") > 0})
@@ -79,3 +83,149 @@ def call_events(members: DataFrame, inside: DataFrame | None = None, least: int
 def annotated(members: DataFrame) -> DataFrame:
     """Adds verdict to each event: TP, and FP for a call or FN for a true event that is none."""
     return members.withColumn("verdict", F.when(F.col("tp"), "TP").when(F.col("side") == "call", "FP").otherwise("FN"))
+
+
+def true_events(vcf: DataFrame) -> DataFrame:
+    """grp, s, e, id, diff, size, period, distance, filter of a truth set's records (read_vcf's columns and record, its number)."""
+    info = lambda k, t: F.try_element_at(F.col("info"), F.lit(k)).try_cast(t)
+    return vcf.select(
+        F.col("chrom").alias("grp"), info("REFSTART", "long").alias("s"), info("REFSTOP", "long").alias("e"), F.col("record").alias("id"), F.coalesce(info("CNDIFF", "long"), F.lit(0)).alias("diff"),
+        info("SVLEN", "long").alias("size"), info("PERIOD", "long").alias("period"), info("DIST", "double").alias("distance"), "filter",
+    )
+
+
+def called_events(vcf: DataFrame, field: str = "CN", neutral: int = 2) -> DataFrame:
+    """grp, s, e, id, cn, size, filter of a call set's records; a field that ends with DIFF counts from neutral."""
+    value = lambda fields, k: F.try_element_at(fields, F.lit(k)).try_cast("long")
+    first = F.get("samples", F.lit(0))
+    # a record that has the field in INFO is read there, even if it holds nothing
+    sample = F.when(~F.coalesce(F.map_contains_key("info", F.lit(field)), F.lit(False)), value(first, field))
+    cn = copy_number(value(F.col("info"), field), sample, neutral, field.endswith("DIFF"))
+    size = F.coalesce(value(F.col("info"), "SVLEN"), F.col("end") - F.col("pos"))
+    return vcf.select(F.col("chrom").alias("grp"), F.col("pos").alias("s"), F.col("end").alias("e"), F.col("record").alias("id"), cn.alias("cn"), size.alias("size"), "filter")
+
+
+class Evaluation(NamedTuple):
+    """truth and call: every accepted event with eval (null: not counted) and what it met; the stats hold a row per counted event."""
+
+    truth: DataFrame
+    call: DataFrame
+    truth_stats: DataFrame
+    call_stats: DataFrame
+
+
+def evaluate(truth: DataFrame, call: DataFrame, regions: DataFrame | None = None, least_overlap: float = 0.3, least_distance: float = 0.95, least_size: int = 5000, neutral: int = 2, contigs: DataFrame | None = None) -> Evaluation:
+    """Calls (called_events) against the truth (true_events), by component of overlapping events.
+
+    A true event is found if calls of its direction cover least_overlap of its size. One found counts if some call of its
+    direction in the component deserves it, one not found if it is large, distant and confident enough. A call is true if
+    it overlaps a found event of its direction, and the one it overlaps most deserves it. Calls of a component with true
+    events count as one event; it is dropped if false and too small or not wholly confident, and so are its calls' verdicts.
+    Calls of other components count one by one. contigs (grp) limits the calls, as a truth set's header does.
+    """
+    t = confident(truth.filter((F.col("diff") != 0) & accepted(F.col("filter"))), regions)
+    t = t.withColumns({"dir": event_class(F.col("diff") + neutral, neutral), "large": F.least(F.coalesce("period", "size"), F.col("size")) >= least_size})
+    c = call.filter((F.col("cn") != neutral) & accepted(F.col("filter")))
+    c = confident(c.join(contigs.select("grp").distinct(), "grp", "left_semi") if contigs is not None else c, regions)
+    # what several branches read below is written once; their plans would repeat it many times over
+    t, c = kept(t), kept(c.withColumns({"dir": event_class(F.col("cn"), neutral), "large": F.col("size") >= least_size}))
+    both = t.select("grp", "s", "e", "id", F.lit("truth").alias("side")).unionByName(c.select("grp", "s", "e", "id", F.lit("call").alias("side")))
+    both = kept(runs(both, touching_joins=False))
+    n = lambda side: F.count(F.when(F.col("side") == side, 1)).alias(f"n_{side}")
+    parts = both.groupBy("grp", "run").agg(F.min("s").alias("lo"), F.max("e").alias("hi"), n("truth"), n("call"))
+    parts = parts.select("grp", "run", "n_truth", "n_call", F.format_string("%s:%d-%d", F.col("grp").cast("string"), "lo", "hi").alias("component"))
+    both = kept(both.select("grp", "run", "id", "side").join(parts, ["grp", "run"]))
+    of = lambda d, side: d.join(both.filter(F.col("side") == side).drop("grp", "side"), "id")
+    t, c = of(t, "truth"), of(c, "call")
+
+    pairs = overlap_join(t.select("grp", "s", "e", "id", "dir", "size"), c.select("grp", "s", "e", "id", "dir", "size")).filter("a_dir = b_dir")
+    pairs = kept(pairs)
+    met = F.array_sort(F.collect_list(F.struct(F.col("bs").alias("s"), F.col("b_id").alias("id"), F.col("be").alias("e"), F.col("b_size").alias("size"))))
+    cover = pairs.groupBy(F.col("a_id").alias("id")).agg(F.sum("overlap").alias("cover"), met.alias("met"))
+    some = lambda x: F.coalesce(F.bool_or(x), F.lit(False))
+    near = c.groupBy("grp", "run", "dir").agg(F.lit(True).alias("one"), some(F.col("any")).alias("c_any"), some(F.col("large")).alias("c_large"), some(F.col("any") & F.col("large")).alias("c_both"))
+    t = t.join(cover, "id", "left").join(near, ["grp", "run", "dir"], "left")
+    found = (F.col("n_call") > 0) & (F.col("size") > 0) & (F.coalesce("cover", F.lit(0)) / F.nullif(F.col("size"), F.lit(0)) >= least_overlap)
+    t = t.withColumn("found", F.coalesce(found, F.lit(False)))
+    deserved = F.when(F.col("large") & F.col("any"), F.col("one")).when(F.col("large"), F.col("c_any")).when(F.col("any"), F.col("c_large")).otherwise(F.col("c_both"))
+    counts = truth_gate(F.col("size"), F.col("period"), F.col("inside"), least_size, F.col("distance"), least_distance)
+    t = kept(t.withColumn("eval", F.when(F.col("found"), F.when(F.coalesce(deserved, F.lit(False)), "TP")).when(F.coalesce(counts, F.lit(False)), "FN")))
+
+    hits = pairs.join(t.filter("found").select(F.col("id").alias("a_id"), F.struct("large", "any").alias("hit")), "a_id")
+    first = F.struct("overlap", -F.col("as"), -F.col("a_id"))
+    best = hits.groupBy(F.col("b_id").alias("id")).agg(F.max_by(F.struct("as", "ae", "a_size", "hit"), first).alias("best"))
+    c = c.join(best, "id", "left")
+    rewarded = (F.col("best.hit.large") | F.col("large")) & (F.col("best.hit.any") | F.col("any"))
+    c = kept(c.withColumn("own", F.coalesce(F.col("best").isNotNull() & rewarded, F.lit(False))))
+    largest = t.filter("found").groupBy("grp", "run").agg(F.max("size").alias("largest"))
+    events = c.filter("n_truth > 0").groupBy("grp", "run").agg(F.bool_or("own").alias("tp"), F.min_by("cn", F.struct("s", "id")).alias("cn"), F.sum("size").alias("size"), F.bool_and("inside").alias("inside"))
+    events = events.filter((F.col("tp")) | ((F.col("size") >= least_size) & F.col("inside"))).join(largest, ["grp", "run"], "left")
+    events = events.withColumn("truth_size", F.when(F.col("tp"), F.coalesce("largest", F.lit(0))).otherwise(F.lit(0)))
+    events = kept(events)
+    c = c.join(events.select("grp", "run", F.lit(True).alias("event")), ["grp", "run"], "left")
+    alone = F.coalesce(call_gate(F.col("cn"), F.col("size"), F.col("inside"), least_size, neutral), F.lit(False))
+    verdict = F.when(F.col("n_truth") > 0, F.when(F.col("event"), F.when(F.col("own"), "TP").otherwise("FP"))).when(alone, "FP")
+    c = c.withColumn("eval", verdict)
+
+    text = lambda f: F.when(F.col("eval") == "TP", F.array_join(F.transform("met", f), ","))
+    listed = t.select(
+        "id", "eval", F.when(F.col("eval").isNotNull(), F.col("component")).alias("component"),
+        text(lambda x: F.concat(x["s"].cast("string"), F.lit("-"), x["e"].cast("string"))).alias("call"), text(lambda x: x["size"].cast("string")).alias("call_size"),
+    )
+    mine = lambda x: F.when(F.col("eval") == "TP", x)
+    calls = c.select(
+        "id", "eval", F.when(F.col("eval").isNotNull(), F.col("component")).alias("component"),
+        mine(F.concat(F.col("best.as").cast("string"), F.lit("-"), F.col("best.ae").cast("string"))).alias("truth"), mine(F.col("best.a_size").cast("string")).alias("truth_size"),
+    )
+    truth_stats = t.filter("eval IS NOT NULL").select("grp", (F.col("diff") + neutral).alias("cn"), "size", "eval")
+    apart = c.filter("n_truth = 0 AND eval IS NOT NULL").select("grp", "cn", "size", F.lit(0).cast("long").alias("truth_size"), "eval")
+    joint = events.select("grp", "cn", "size", F.col("truth_size").cast("long").alias("truth_size"), F.when(F.col("tp"), "TP").otherwise("FP").alias("eval"))
+    return Evaluation(listed, calls, truth_stats, apart.unionByName(joint))
+
+
+def stratified(truth: DataFrame, call: DataFrame, strata: DataFrame, names: list[str], regions: DataFrame | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """The stats of evaluate() for each stratum (stratum, grp, s, e) in place of the regions, in one pass: with a column stratum.
+
+    Every event takes part once for each of the names; strata are limited to regions where those are given.
+    """
+    apart = "\u0001"
+
+    def spread(d: DataFrame) -> DataFrame:
+        d = d.withColumn("stratum", F.explode(F.array(*map(F.lit, names))))
+        return d.withColumn("grp", F.concat("stratum", F.lit(apart), F.col("grp").cast("string"))).withColumn("id", F.xxhash64("grp", "id")).drop("stratum")
+
+    held = strata.withColumn("grp", F.concat("stratum", F.lit(apart), F.col("grp").cast("string"))).select("grp", "s", "e")
+    if regions is not None:
+        held = intersect(held, spread(regions.withColumn("id", F.lit(0))).select("grp", "s", "e"))
+    got = evaluate(spread(truth), spread(call), held, **options)
+    name = lambda d: d.withColumn("stratum", F.substring_index("grp", apart, 1)).withColumn("grp", F.substring_index("grp", apart, -1))
+    return name(got.truth_stats), name(got.call_stats)
+
+
+def summary(truth_stats: DataFrame, call_stats: DataFrame, *by: str, neutral: int = 2) -> DataFrame:
+    """Counts and ratios of stats for all events (dir null), losses and gains."""
+    side = lambda d: d.select(*by, event_class(F.col("cn"), neutral).alias("dir"), (F.col("eval") == "TP").alias("tp"))
+    return evaluation.confusion(side(truth_stats), side(call_stats), *by)
+
+
+def by_length(truth_stats: DataFrame, call_stats: DataFrame, cuts: list[int], neutral: int = 2) -> DataFrame:
+    """summary() for each range of sizes, both ends included, the last one up to the largest event. A call that found an event counts by that one's size."""
+    cuts = evaluation.cuts_to(cuts, truth_stats.select("size").unionByName(call_stats.select("size")))
+    met = F.when(F.col("truth_size") != 0, F.col("truth_size")).otherwise(F.col("size"))
+    return summary(evaluation.in_bins(truth_stats, cuts, F.col("size")), evaluation.in_bins(call_stats, cuts, met), "bin", neutral=neutral)
+
+
+def labelled(truth: DataFrame, call: DataFrame, regions: DataFrame | None = None, least_overlap: float = 0.3, neutral: int = 2) -> DataFrame:
+    """id and label of every call: the copy number that the true event it overlaps most lets it see.
+
+    Only true events wholly within regions count, and overlaps of at least least_overlap of the call's size. A call
+    without such an event is neutral if it lies in regions, and has no label otherwise.
+    """
+    t = kept(confident(truth.filter((F.col("diff") != 0) & accepted(F.col("filter"))), regions).filter("inside"))
+    c = kept(confident(call, regions))
+    pairs = overlap_join(t.select("grp", "s", "e", "id", "diff", "size", "period"), c.select("grp", "s", "e", "id", "size"))
+    pairs = pairs.filter((F.col("b_size") <= 0) | (F.col("overlap") / F.nullif(F.col("b_size"), F.lit(0)) >= least_overlap))
+    event = F.struct(F.col("overlap"), F.col("a_diff").alias("diff"), F.col("a_size").cast("double").alias("size"), F.col("a_period").cast("double").alias("period"))
+    best = pairs.groupBy(F.col("b_id").alias("id")).agg(F.max_by(event, F.struct("overlap", -F.col("as"), -F.col("a_id"))).alias("x"))
+    seen = evaluation.effective_label(best.select("id", "x.*"), neutral).select("id", "label")
+    return c.join(seen, "id", "left").select("id", F.coalesce("label", F.when(F.col("inside"), F.lit(neutral).cast("long"))).alias("label"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .intervals import overlap_join
@@ -18,28 +18,48 @@ def outcomes(truth: DataFrame, call: DataFrame, share: float) -> tuple[DataFrame
     pairs = matched(truth, call)
     cover = pairs.groupBy(F.col("a_id").alias("id")).agg(F.sum("overlap").alias("cover"))
     t = truth.join(cover, "id", "left").withColumn("tp", F.coalesce(F.col("cover") >= share * (F.col("e") - F.col("s")), F.lit(False)))
-    hits = pairs.join(t.filter("tp").select(F.col("id").alias("a_id")), "a_id").select(F.col("b_id").alias("id")).distinct().withColumn("tp", F.lit(True))
-    best = pairs.groupBy(F.col("b_id").alias("id")).agg(F.max_by("a_id", F.struct("overlap", -F.col("a_id"))).alias("best"))
-    c = call.join(hits, "id", "left").join(best, "id", "left").withColumn("tp", F.coalesce("tp", F.lit(False)))
+    found = pairs.join(t.filter("tp").select(F.col("id").alias("a_id"), F.lit(True).alias("hit")), "a_id", "left")
+    best = found.groupBy(F.col("b_id").alias("id")).agg(F.coalesce(F.bool_or("hit"), F.lit(False)).alias("tp"), F.max_by("a_id", F.struct("overlap", -F.col("a_id"))).alias("best"))
+    c = call.join(best, "id", "left").withColumn("tp", F.coalesce("tp", F.lit(False)))
     return t, c
 
 
-def confusion(t: DataFrame, c: DataFrame, *by: str) -> DataFrame:
-    """Counts, sensitivity, precision and F1 by direction and for all (dir null); zero denominators give 0."""
-    rows = t.select(*by, "dir", F.col("tp").cast("long").alias("tp_t"), (~F.col("tp")).cast("long").alias("fn"), F.lit(0).alias("tp_c"), F.lit(0).alias("fp"))
-    rows = rows.unionByName(c.select(*by, "dir", F.lit(0).alias("tp_t"), F.lit(0).alias("fn"), F.col("tp").cast("long").alias("tp_c"), (~F.col("tp")).cast("long").alias("fp")))
-    sums = [F.sum(x).cast("long").alias(x) for x in ("tp_t", "fn", "tp_c", "fp")]
-    g = rows.groupBy(*by, "dir").agg(*sums).unionByName(rows.groupBy(*by).agg(*sums).withColumn("dir", F.lit(None).cast("string")))
-    ratio = lambda a, b: F.coalesce(F.col(a) / F.nullif(F.col(a) + F.col(b), F.lit(0)), F.lit(0.0))
-    g = g.withColumns({"sensitivity": ratio("tp_t", "fn"), "precision": ratio("tp_c", "fp")})
+def confusion(t: DataFrame, c: DataFrame, *by: str, classes: tuple[str, ...] = ("Loss", "Gain")) -> DataFrame:
+    """Counts, sensitivity, precision and F1 for each class of dir, rows or not, and for all of them (dir null).
+
+    Zero denominators give 0; a class's ratio is 1 where its side has no row at all. Other values of dir count nowhere.
+    """
+    rows = t.select(*by, "dir", "tp", F.lit(True).alias("true")).unionByName(c.select(*by, "dir", "tp", F.lit(False).alias("true")))
+    count = lambda x: F.count(F.when(x, 1)).alias
+    true, tp, held = F.col("true"), F.col("tp"), F.col("dir").isin(*classes)
+    kinds = [(None, held), *[(k, F.col("dir") == k) for k in classes]]
+    aggs = [count(true)("all_t"), count(~true)("all_c")]
+    for i, (_, is_) in enumerate(kinds):
+        aggs += [count(is_ & true & tp)(f"tp_t{i}"), count(is_ & true & ~tp)(f"fn{i}"), count(is_ & ~true & tp)(f"tp_c{i}"), count(is_ & ~true & ~tp)(f"fp{i}")]
+    names = ("tp_t", "fn", "tp_c", "fp")
+    each = [F.struct(F.lit(k).cast("string").alias("dir"), *[F.col(f"{x}{i}").alias(x) for x in names]) for i, (k, _) in enumerate(kinds)]
+    g = rows.groupBy(*by).agg(*aggs).select(*by, "all_t", "all_c", F.inline(F.array(*each)))
+
+    def ratio(a: str, b: str, every: str) -> Column:
+        known = F.coalesce(F.col(a) / F.nullif(F.col(a) + F.col(b), F.lit(0)), F.lit(0.0))
+        return F.when(F.col("dir").isNotNull() & (F.col(every) == 0), F.lit(1.0)).otherwise(known)
+
+    g = g.withColumns({"sensitivity": ratio("tp_t", "fn", "all_t"), "precision": ratio("tp_c", "fp", "all_c")}).drop("all_t", "all_c")
     both = F.col("sensitivity") + F.col("precision")
     return g.withColumn("f1", F.coalesce(2 * F.col("sensitivity") * F.col("precision") / F.nullif(both, F.lit(0.0)), F.lit(0.0)))
 
 
-def in_bins(df: DataFrame, cuts: list[int]) -> DataFrame:
-    """A row for each size bin that holds e - s; both ends belong to a bin, so a value on a cut counts twice."""
+def cuts_to(cuts: list[int], sizes: DataFrame) -> list[int]:
+    """cuts, with the largest of sizes (one column) as a last one where it lies beyond."""
+    largest = sizes.agg(F.max(sizes.columns[0])).first()[0]
+    return [*cuts, largest] if largest is not None and largest > cuts[-1] else list(cuts)
+
+
+def in_bins(df: DataFrame, cuts: list[int], size: Column | None = None) -> DataFrame:
+    """A row for each size bin that holds size (e - s unless given); both ends belong to a bin, so a value on a cut counts twice."""
+    size = F.col("e") - F.col("s") if size is None else size
     edges = list(zip([0, *cuts[:-1]], cuts))
-    hits = F.array_compact(F.array(*[F.when((F.col("e") - F.col("s")).between(a, b), F.lit(f"{a}-{b}")) for a, b in edges]))
+    hits = F.array_compact(F.array(*[F.when(size.between(a, b), F.lit(f"{a}-{b}")) for a, b in edges]))
     return df.withColumn("bin", F.explode(hits))
 
 

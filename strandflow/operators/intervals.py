@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import kept
+
 #: Positions of a stretch, as a power of two.
 CHUNK = 16
 #: Powers of two of the widths of bins: an interval belongs to the first level as wide as itself.
@@ -104,7 +106,7 @@ def _swept(a: DataFrame, b: DataFrame, keep: str) -> DataFrame:
     """Where a sweep over both unions, stretch by stretch, finds keep (over in_a and in_b) to hold."""
 
     def ends(d: DataFrame, x: int, y: int) -> DataFrame:
-        d = pieces(merge(d.select("grp", "s", "e")))
+        d = pieces(kept(merge(d.select("grp", "s", "e"))))
         both = F.array(*[F.struct(F.col(at).alias("at"), F.lit(sign * x).alias("da"), F.lit(sign * y).alias("db")) for at, sign in (("s", 1), ("e", -1))])
         return d.select("grp", "stretch", F.inline(both))
 

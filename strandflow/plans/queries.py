@@ -121,9 +121,10 @@ c AS (SELECT i.*, i.id IN (SELECT p.c FROM p JOIN t ON p.t = t.id WHERE t.tp) AS
 def confusion_sql(bins: bool) -> str:
     edge = ", (VALUES ('0-2', 0, 2), ('2-4', 2, 4), ('4-6', 4, 6), ('6-5000', 6, 5000)) b(bin, lo, hi) WHERE e - s BETWEEN lo AND hi" if bins else ""
     by = "bin, " if bins else ""
-    return f"""WITH {OUTCOMES}, r AS (SELECT {by}dir, tp::BIGINT AS tp_t, (NOT tp)::BIGINT AS fn, 0 AS tp_c, 0 AS fp FROM t{edge} UNION ALL SELECT {by}dir, 0, 0, tp::BIGINT, (NOT tp)::BIGINT FROM c{edge}),
-    g AS (SELECT {by}dir, sum(tp_t)::BIGINT AS tp_t, sum(fn)::BIGINT AS fn, sum(tp_c)::BIGINT AS tp_c, sum(fp)::BIGINT AS fp FROM r GROUP BY GROUPING SETS (({by}dir), ({by.rstrip(', ')}))),
-    h AS (SELECT *, coalesce(tp_t / nullif(tp_t + fn, 0), 0) AS sensitivity, coalesce(tp_c / nullif(tp_c + fp, 0), 0) AS precision FROM g)
+    each = ", ".join(f"count(*) FILTER (WHERE {w} AND (k.dir IS NULL OR r.dir = k.dir)) AS {n}" for n, w in (("tp_t", "side AND tp"), ("fn", "side AND NOT tp"), ("tp_c", "NOT side AND tp"), ("fp", "NOT side AND NOT tp")))
+    return f"""WITH {OUTCOMES}, r AS (SELECT {by}dir, tp, true AS side FROM t{edge} UNION ALL SELECT {by}dir, tp, false FROM c{edge}),
+    g AS (SELECT {by}k.dir, {each}, count_if(side) AS n_t, count_if(NOT side) AS n_c FROM r CROSS JOIN (VALUES ('Loss'), ('Gain'), (NULL)) k(dir) GROUP BY {by}k.dir),
+    h AS (SELECT {by}dir, tp_t, fn, tp_c, fp, CASE WHEN dir IS NOT NULL AND n_t = 0 THEN 1 ELSE coalesce(tp_t / nullif(tp_t + fn, 0), 0) END AS sensitivity, CASE WHEN dir IS NOT NULL AND n_c = 0 THEN 1 ELSE coalesce(tp_c / nullif(tp_c + fp, 0), 0) END AS precision FROM g)
     SELECT *, coalesce(2 * sensitivity * precision / nullif(sensitivity + precision, 0), 0) AS f1 FROM h"""
 
 
