@@ -191,8 +191,9 @@ def stratified(truth: DataFrame, call: DataFrame, strata: DataFrame, names: list
     apart = "\u0001"
 
     def spread(d: DataFrame) -> DataFrame:
-        d = d.withColumn("stratum", F.explode(F.array(*map(F.lit, names))))
-        return d.withColumn("grp", F.concat("stratum", F.lit(apart), F.col("grp").cast("string"))).withColumn("id", F.xxhash64("grp", "id")).drop("stratum")
+        d = d.select("*", F.posexplode(F.array(*map(F.lit, names))).alias("nth", "stratum"))
+        # ids stay unique and in their order, which decides ties
+        return d.withColumn("grp", F.concat("stratum", F.lit(apart), F.col("grp").cast("string"))).withColumn("id", F.col("id") * len(names) + F.col("nth")).drop("nth", "stratum")
 
     held = strata.withColumn("grp", F.concat("stratum", F.lit(apart), F.col("grp").cast("string"))).select("grp", "s", "e")
     if regions is not None:

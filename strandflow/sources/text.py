@@ -5,32 +5,45 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def read_bed(spark: SparkSession, path: str) -> DataFrame:
+def read_bed(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """grp, s, e (0-based, half-open); comments, track lines and rows of fewer than three columns are skipped. Gzip by suffix."""
     c = F.split("value", "\t")
     lines = spark.read.text(path).filter(~F.col("value").startswith("#") & ~F.col("value").startswith("track") & (F.size(c) >= 3))
     return lines.select(F.get(c, F.lit(0)).alias("grp"), F.get(c, F.lit(1)).cast("long").alias("s"), F.get(c, F.lit(2)).cast("long").alias("e"))
 
 
-def read_vcf(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record: chrom, pos (0-based), end, id, ref, alt, qual, filter, info (map, flags hold null), samples (array of maps)."""
+def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per record of one or more files: chrom, pos (0-based), end, id, ref, alt, qual, filter, info (map, flags hold null), samples (array of maps), record.
+
+    end is INFO's END where a record has one, as blocks and copy-number events do, else the end of ref. record numbers the
+    rows in file order; it is the same whenever the same files are read.
+    """
     c = F.split("value", "\t")
     at = lambda i: F.get(c, F.lit(i))
     missing = lambda x: F.when(x != ".", x)
     keys = F.split(at(8), ":")
     samples = F.transform(F.slice(c, 10, 1 << 20), lambda s: F.map_from_entries(F.filter(F.arrays_zip(keys.alias("key"), F.split(s, ":").alias("value")), lambda x: x["key"].isNotNull())))
     info = F.when(at(7) != ".", F.str_to_map(at(7), F.lit(";"), F.lit("=")))
-    return spark.read.text(path).filter(~F.col("value").startswith("#")).select(
-        at(0).alias("chrom"), (at(1).cast("long") - 1).alias("pos"), (at(1).cast("long") - 1 + F.length(at(3))).alias("end"), missing(at(2)).alias("id"), at(3).alias("ref"),
+    declared = F.regexp_extract(at(7), r"(?:^|;)END=(\d+)(?:;|$)", 1).try_cast("long")
+    return spark.read.text(path).select("value", F.monotonically_increasing_id().alias("record")).filter(~F.col("value").startswith("#")).select(
+        at(0).alias("chrom"), (at(1).cast("long") - 1).alias("pos"), F.coalesce(declared, at(1).cast("long") - 1 + F.length(at(3))).alias("end"), missing(at(2)).alias("id"), at(3).alias("ref"),
         F.when(at(4) != ".", F.split(at(4), ",")).otherwise(F.array().cast("array<string>")).alias("alt"), missing(at(5)).cast("double").alias("qual"),
-        F.when(at(6) != ".", F.split(at(6), ";")).otherwise(F.array().cast("array<string>")).alias("filter"), info.alias("info"), samples.alias("samples"),
+        F.when(at(6) != ".", F.split(at(6), ";")).otherwise(F.array().cast("array<string>")).alias("filter"), info.alias("info"), samples.alias("samples"), "record",
     )
 
 
+def with_info(vcf: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Records with INFO entries set to the values (as text) that are not null."""
+    keys, texts = F.array(*map(F.lit, values)), F.array(*[v.cast("string") for v in values.values()])
+    new = F.map_filter(F.map_from_arrays(keys, texts), lambda _, v: v.isNotNull())
+    old = F.map_filter(F.coalesce("info", F.create_map().cast("map<string,string>")), lambda k, _: ~F.map_contains_key(new, k))
+    return vcf.withColumn("info", F.map_concat(old, new))
+
+
 def read_codons(spark: SparkSession, path: str) -> DataFrame:
     """chrom, pos (0-based) and codon of "chrom:pos<tab>codon" lines; of lines for one locus the last of its file order wins."""
     c = F.split("value", "\t")
@@ -59,12 +72,34 @@ def sample_names(spark: SparkSession, path: str) -> list[str]:
     return line.value.split("\t")[9:] if line else []
 
 
+def header_lines(spark: SparkSession, path: str) -> list[str]:
+    """All lines of a header in their order; it is as long as its declarations, not as the file."""
+    first = spark.read.text(path).filter(F.col("value").startswith("#")).select("value", F.monotonically_increasing_id().alias("n"))
+    return [r.value for r in first.orderBy("n").collect()]
+
+
+def extended_header(lines: list[str], added: list[str], removed: list[str] = []) -> list[str]:  # noqa: B006
+    """Header lines with further declarations before the column names; those of the same kind and id, and removed ones (kind, id), give way."""
+    import re
+
+    name = lambda x: m.group() if (m := re.match(r"##\w+=<ID=[^,>]+", x)) else x
+    gone = {name(x) for x in added} | set(removed)
+    return [x for x in lines if x.startswith("##") and name(x) not in gone] + list(added) + [x for x in lines if not x.startswith("##")]
+
+
+def contig_names(lines: list[str]) -> list[str]:
+    """Contigs of header lines, in order."""
+    import re
+
+    return [m.group(1) for x in lines if (m := re.match(r"##contig=<(?:.*,)?ID=([^,>]+)", x))]
+
+
 def added_declarations(first: DataFrame, second: DataFrame) -> DataFrame:
     """Declarations that only the second header has."""
     return second.join(first, ["kind", "id"], "left_anti")
 
 
-def vcf_lines(df: DataFrame) -> DataFrame:
+def vcf_lines(df: DataFrame, *passed: str) -> DataFrame:
     """value, a VCF line for each record of read_vcf's columns, with chrom and pos to sort by.
 
     Missing values are a dot, an empty filter is PASS, numbers without a fraction lose it. FORMAT lists the keys of the
@@ -79,21 +114,28 @@ def vcf_lines(df: DataFrame) -> DataFrame:
     qual = F.when(F.col("qual") == F.floor("qual"), F.col("qual").cast("long").cast("string")).otherwise(F.col("qual").cast("string"))
     fixed = [F.col("chrom"), (F.col("pos") + 1).cast("string"), dot(F.col("id")), F.col("ref"), listed(F.col("alt"), ",", "."), dot(qual), listed(F.col("filter"), ";", "PASS"), F.when(F.size("info") > 0, F.array_join(entries, ";")).otherwise(F.lit("."))]
     row = F.when(F.size("samples") > 0, F.concat(F.array(*fixed, F.array_join(keys, ":")), values)).otherwise(F.array(*fixed))
-    return df.select("chrom", "pos", F.array_join(row, "\t").alias("value"))
+    return df.select("chrom", "pos", *passed, F.array_join(row, "\t").alias("value"))
 
 
-def write_vcf(df: DataFrame, header: list[str], path: str, compression: str | None = None) -> None:
-    """A folder of text files, records ranged over them by chrom and pos; each starts with the header's lines.
+def write_vcf(df: DataFrame, header: list[str], path: str, compression: str | None = None, contigs: list[str] | None = None, by_quality: bool = False) -> None:
+    """A folder of text files, records ranged over them by contig and pos; each starts with the header's lines.
 
-    Every file is a VCF by itself; read_vcf reads them all. chrom sorts by name.
+    Every file is a VCF by itself; read_vcf reads them all. Contigs are in the order given (the header's), others after
+    them by name; records of one position in the order of record, or by falling quality first.
     """
 
     def headed(parts):
         for n, pdf in enumerate(parts):
             yield pdf[["value"]] if n else pd.concat([pd.DataFrame({"value": header}), pdf[["value"]]])
 
-    rows = vcf_lines(df).repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos")
-    rows.mapInPandas(headed, "value string").write.text(path, compression=compression)
+    place = {c: i for i, c in enumerate(contigs or [])}
+    named = F.map_from_arrays(F.array(*map(F.lit, place)), F.array(*map(F.lit, place.values()))) if place else None
+    nth = F.coalesce(F.try_element_at(named, F.col("chrom")), F.lit(len(place))) if place else F.lit(0)
+    record = F.col("record") if "record" in df.columns else F.lit(0)
+    rows = vcf_lines(df.withColumns({"__nth": nth, "__record": record}), "__nth", "__record", "qual")
+    last = [F.col("qual").desc_nulls_last()] if by_quality else []
+    rows = rows.repartitionByRange("__nth", "chrom", "pos").sortWithinPartitions("__nth", "chrom", "pos", *last, "__record")
+    rows.select("value").mapInPandas(headed, "value string").write.text(path, compression=compression)
 
 
 def read_fasta(spark: SparkSession, path: str, width: int = 1 << 16) -> DataFrame:
@@ -104,11 +146,14 @@ def read_fasta(spark: SparkSession, path: str, width: int = 1 << 16) -> DataFram
     """
     offset = F.monotonically_increasing_id()
     d = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), offset.alias("line"), "value").filter("value <> ''")
-    heads = d.filter("value LIKE '>%'").select("path", F.col("line").alias("from"), F.regexp_extract("value", r"^>(\S*)", 1).alias("chrom"))
-    w = Window.partitionBy("path").orderBy("from")
-    heads = heads.withColumn("upto", F.coalesce(F.lead("from").over(w), F.lit((1 << 63) - 1)))
-    # compares each line with every sequence's stretch in its file: meant for files of few sequences
-    bases = d.filter("value NOT LIKE '>%'").join(heads, "path").filter("line > from AND line < upto").select("path", "chrom", "line", F.upper(F.trim("value")).alias("seq"))
+    # lines of one block are walked in order; what the blocks before pass on is each one's last name
+    d = d.withColumns({"part": F.shiftright("line", 12), "name": F.when(F.col("value").startswith(">"), F.regexp_extract("value", r"^>(\S*)", 1))})
+    upto = Window.partitionBy("path", "part").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    passed = d.groupBy("path", "part").agg(F.max_by("name", F.when(F.col("name").isNotNull(), F.col("line"))).alias("last"))
+    passed = passed.select("path", "part", F.last("last", ignorenulls=True).over(before).alias("earlier"))
+    bases = d.withColumn("own", F.last("name", ignorenulls=True).over(upto)).filter("name IS NULL").join(passed, ["path", "part"])
+    bases = bases.withColumn("chrom", F.coalesce("own", "earlier")).filter("chrom IS NOT NULL").select("path", "chrom", "line", F.upper(F.trim("value")).alias("seq"))
     block = bases.withColumn("block", F.shiftright("line", 12))
     sums = block.groupBy("path", "chrom", "block").agg(F.sum(F.length("seq")).alias("n"))
     before = F.sum("n").over(Window.partitionBy("path", "chrom").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
