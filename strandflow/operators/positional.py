@@ -25,11 +25,12 @@ def by_stream(df: DataFrame, keys: list[str], stream: str, names: dict[str, obje
 
 
 def triplets(pieces: DataFrame, key: str, order: list[str], length: str) -> DataFrame:
-    """Numbers units of three bases across the ordered pieces of each key; an incomplete last unit is dropped."""
+    """Numbers units of three bases across the ordered pieces of each key (base from 1, within its piece from 0); an incomplete last unit is dropped."""
     w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     all_ = Window.partitionBy(key)
     d = pieces.withColumns({"upto": F.sum(length).over(w), "total": F.sum(length).over(all_)})
-    d = d.withColumn("base", F.explode(F.sequence(F.col("upto") - F.col(length) + 1, F.col("upto"))))
+    d = d.filter(F.col(length) > 0).withColumn("base", F.explode(F.sequence(F.col("upto") - F.col(length) + 1, F.col("upto"))))
+    d = d.withColumn("within", F.col("base") - F.col("upto") + F.col(length) - 1)
     return d.withColumn("unit", F.floor((F.col("base") - 1) / 3) + 1).filter(F.col("unit") * 3 <= F.col("total")).drop("upto", "total")
 
 
@@ -44,3 +45,63 @@ def top_sum(dense: DataFrame, k: int, factor: float) -> DataFrame:
     """factor times the sum of the k largest densities of each grp."""
     w = Window.partitionBy("grp").orderBy(F.desc("density"), "slot")
     return dense.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k).groupBy("grp").agg((F.sum("density") * factor).alias("estimate"))
+
+
+def adjacent_runs(df: DataFrame, value: str, line: str, block: int = 12) -> DataFrame:
+    """Adds run: numbered stretches of rows of one value that follow each other in the order of line (distinct numbers).
+
+    Lines are walked in blocks of 2 ** block numbers; a table of one row per block passes on the last value and the count.
+    """
+    d = df.withColumn("part", F.shiftright(F.col(line).cast("long"), block))
+    w = Window.partitionBy("part").orderBy(line)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per block
+    last = d.groupBy("part").agg(F.max_by(F.struct(value), line).alias("v")).select("part", F.last("v").over(before).alias("earlier"))
+    d = d.join(last, "part").withColumn("new", (~F.coalesce(F.lag(F.struct(value)).over(w), F.col("earlier")).eqNullSafe(F.struct(value))).cast("int"))
+    d = d.withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    count = d.groupBy("part").agg(F.sum("new").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    return d.join(count, "part").withColumn("run", F.col("run") + F.col("base")).drop("part", "earlier", "new", "base")
+
+
+def codons(exons: DataFrame) -> DataFrame:
+    """chrom, pos, codon of exons (line, chrom, s, e, transcript): bases of exons that follow each other with one transcript, three by three.
+
+    A transcript's version (after the first full stop) does not count; the last one or two bases of a run are left out.
+    """
+    d = exons.withColumns({"name": F.split_part("transcript", F.lit("."), F.lit(1)), "len": F.greatest(F.col("e") - F.col("s"), F.lit(0).cast("long"))})
+    n = triplets(adjacent_runs(d, "name", "line"), "run", ["line"], "len")
+    return n.select("chrom", (F.col("s") + F.col("within")).alias("pos"), F.concat("name", F.lit("-Codon"), F.col("unit").cast("string")).alias("codon"))
+
+
+def shard_memory(dense: DataFrame, shards: DataFrame, threads: int, fragment: int = 1_000_000, width: int = 1 << 14, factor: float = 8.0, calibrated: bool = False) -> DataFrame:
+    """Gigabytes that each shard needs: factor (twice that with calibration) times its densest slots, one for each thread.
+
+    dense: grp, slot, density. shards: shard, grp, s, e, several rows for a shard of several regions. Slots are taken fragment
+    by fragment, so one at a fragment's bound counts for both; the last fragment is not cut at the shard's end.
+    """
+    w = Window.partitionBy("shard").orderBy(F.desc("density"))
+    d = fragment_slots(dense, shards, fragment, width)
+    top = d.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= threads).groupBy("shard").agg(F.sum("density").alias("size"))
+    scale = factor * (2 if calibrated else 1) / (1 << 30)
+    return shards.select("shard").distinct().join(top, "shard", "left").select("shard", (F.coalesce("size", F.lit(0.0)) * scale).alias("gigabytes"))
+
+
+def fragment_slots(dense: DataFrame, shards: DataFrame, fragment: int = 1_000_000, width: int = 1 << 14) -> DataFrame:
+    """shard, grp, slot, density of the slots of every fragment of the shards."""
+    f = shards.filter("s < e").withColumn("f", F.explode(F.sequence(F.col("s"), F.col("e") - 1, F.lit(fragment).cast("long"))))
+    slots = F.sequence(F.floor(F.col("f") / width), F.floor((F.col("f") + fragment + width - 1) / width) - 1)
+    return f.select("shard", "grp", F.explode(slots).alias("slot")).join(dense, ["grp", "slot"])
+
+
+def densest(slots: DataFrame, n: int) -> DataFrame:
+    """The n densest of fragment_slots, one at a fragment's bound counted for both, largest first."""
+    return slots.orderBy(F.desc("density"), F.desc("grp"), F.desc("slot")).limit(n)
+
+
+def site_union(records: DataFrame, keys: list[str], sample: str, allele: str) -> DataFrame:
+    """A row per place of any sample's records: how many samples have one there, and their alleles."""
+    return records.groupBy(*keys).agg(F.count_distinct(sample).alias("samples"), F.array_sort(F.collect_set(allele)).alias("alleles"))
+
+
+def with_ids(sites: DataFrame, known: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """sites with id from known ones (keys, name; one row for a place), null where there is none."""
+    return sites.join(known.select(*keys, F.col(name).alias("id")), keys, "left")

@@ -46,12 +46,67 @@ def haplotypes(gt: Column) -> Column:
     return F.when(known, F.array(a.cast("int"), b.cast("int"))).otherwise(F.array(F.lit(0), F.lit(0)))
 
 
-def split_haplotypes(df: DataFrame, keys: list[str]) -> DataFrame:
-    """A row per haplotype that carries an allele: keys, hap (0 or 1), ref and its trimmed allele."""
-    d = df.select(*keys, "ref", "alt", F.posexplode(haplotypes(F.col("gt"))).alias("hap", "allele"))
+def cut(ref: Column, alt: Column) -> Column:
+    """ref and alt shortened at the end by one length, so that the shorter keeps one base."""
+    n = F.least(F.length(ref), F.length(alt)) - 1
+    return F.struct(ref.substr(F.lit(1), F.length(ref) - n).alias("ref"), alt.substr(F.lit(1), F.length(alt) - n).alias("alt"))
+
+
+def split_haplotypes(df: DataFrame, keys: list[str], numbered: dict[str, str] | None = None) -> DataFrame:
+    """A row per haplotype that carries an allele: keys, hap (0 or 1), ref and its allele cut to their lengths.
+
+    numbered names array columns with their declared count (A, R, G): what they hold for the allele is kept.
+    """
+    from ..functions.genotypes import subset
+
+    d = df.select(*keys, *(numbered or {}), "ref", "alt", F.posexplode(haplotypes(F.col("gt"))).alias("hap", "allele"))
     # in two steps: a column of the lambda named like an output of the same select would be taken for that output
-    d = d.filter("allele > 0 AND allele <= size(alt)").withColumn("cut", trimmed(F.col("ref"), F.get("alt", F.col("allele") - 1)))
-    return d.select(*keys, "hap", "cut.ref", "cut.alt")
+    d = d.filter("allele > 0 AND allele <= size(alt)").withColumn("cut", cut(F.col("ref"), F.get("alt", F.col("allele") - 1)))
+    kept = [subset(F.col(c), n, F.array("allele")).alias(c) for c, n in (numbered or {}).items()]
+    return d.select(*keys, "hap", "cut.ref", "cut.alt", *kept)
+
+
+def extended_end(pos: Column, end: Column, repeat: Column, unit: Column, counts: Column) -> Column:
+    """A record's end, or that of the tandem repeat (flag, unit, counts of units) that it lies in."""
+    return F.when(F.coalesce(repeat, F.lit(False)), pos + 1 + F.length(unit) * F.get(counts, F.lit(0))).otherwise(end)
+
+
+def _sure(v: Column, least_quality: int) -> Column:
+    """No record, or one that is confidently the reference."""
+    called = (F.size(v["pl"]) > 0) & (F.size(v["alt"]) > 0) & (F.get(v["pl"], F.lit(0)) == 0) & (v["gq"] >= least_quality)
+    return v.isNull() | F.coalesce(called, F.lit(False))
+
+
+def haploid_patch(v1: Column, v2: Column, d1: Column, d2: Column, two_inputs: bool = True, least_quality: int = 20) -> Column:
+    """Records of both haplotypes after patching: array of (hap, source "patch" or "kept", record, delta); empty if both are sure to be the reference.
+
+    A called d stands where v is absent or compatible with it. delta marks what was patched and, where haplotypes were
+    called by themselves (two_inputs), tandem repeats (fields str, rpa) of four units or more.
+    """
+
+    def chosen(v: Column, d: Column) -> Column:
+        takes = d.isNotNull() & d["gt"].isNotNull() & (v.isNull() | F.coalesce(compatible(v, d), F.lit(False)))
+        return F.struct(F.when(takes, d).otherwise(v).alias("record"), takes.alias("patched"))
+
+    def emitted(hap: int, x: Column) -> Column:
+        r = x["record"]
+        repeat = F.coalesce(r["str"] & (F.get(r["rpa"], F.lit(0)) >= 4), F.lit(False)) if two_inputs else F.lit(False)
+        source = F.when(x["patched"], "patch").otherwise("kept")
+        return F.when(r.isNotNull(), F.struct(F.lit(hap).alias("hap"), source.alias("source"), r.alias("record"), (x["patched"] | repeat).alias("delta")))
+
+    a, b = chosen(v1, d1), chosen(v2, d2)
+    both = F.array_compact(F.array(emitted(0, a), emitted(1, b)))
+    return F.when(_sure(a["record"], least_quality) & _sure(b["record"], least_quality), F.slice(both, 1, 0)).otherwise(both)
+
+
+def best_two_only(v: Column) -> Column:
+    """A haploid record (ref, alt, pl, ad) with its two likeliest alleles at most: ref, alt, pl, ad, chosen."""
+    from ..functions.genotypes import subset, trimmed_all
+
+    few = F.size(v["alt"]) <= 2
+    best = F.when(few, F.sequence(F.lit(1), F.greatest(F.size(v["alt"]), F.lit(1)))).otherwise(best_two(v["alt"], v["pl"]))
+    text = F.when(few, F.struct(v["ref"].alias("ref"), v["alt"].alias("alts"))).otherwise(trimmed_all(v["ref"], subset(v["alt"], "A", best)))
+    return F.struct(text["ref"].alias("ref"), text["alts"].alias("alt"), subset(v["pl"], "G", best, 1).alias("pl"), subset(v["ad"], "R", best).alias("ad"), best.alias("chosen"))
 
 
 def patch(v: Column, d: Column, least_quality: int = 20) -> Column:

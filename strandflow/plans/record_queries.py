@@ -117,16 +117,16 @@ SELECT grp, component, cn, size, CASE WHEN tp THEN coalesce(largest, 0) ELSE 0 E
 
 
 def codons_covered(spark, sf):
-    """Codons of lines whose part names their place, by a table of three places a codon."""
+    """Codons of lines whose part names their place, by a table of three places a codon over all places of lines and the four after each."""
     at = lambda c: F.col(c).cast("long")
     v = _rows(spark, sf).select(F.col("grp").cast("string").alias("chrom"), at("part").alias("pos"), "id", F.lit("ACGTACGT").substr(F.lit(1), F.col("q") % 5 + 1).alias("ref"))
-    places = spark.read.parquet(f"{sf}/supplier.parquet").select(F.col("s_suppkey").cast("string").alias("chrom"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2000).cast("long"))).alias("pos"))
+    places = lines(spark, sf).select(F.col("grp").cast("string").alias("chrom"), F.explode(F.sequence(at("l_partkey"), at("l_partkey") + 4)).alias("pos")).distinct()
     table = places.filter("pos % 7 > 0").withColumn("codon", F.concat("chrom", F.lit("-"), F.floor(F.col("pos") / 3).cast("string")))
     return neighbours.with_codons(v, table).select("id", F.array_join("codons", ",").alias("codons"))
 
 
 CODONS_COVERED = f"""WITH {ROWS}, p AS (SELECT id, grp, unnest(CASE WHEN q % 5 = 0 THEN [part] ELSE range(part + 1, part + q % 5 + 1) END) AS place FROM i),
-  c AS (SELECT DISTINCT id, grp || '-' || (place // 3) AS codon FROM p WHERE place <= 2000 AND place % 7 > 0 AND grp IN (SELECT s_suppkey FROM supplier))
+  c AS (SELECT DISTINCT id, grp || '-' || (place // 3) AS codon FROM p WHERE place % 7 > 0)
 SELECT i.id, coalesce(string_agg(codon, ',' ORDER BY codon), '') AS codons FROM i LEFT JOIN c USING (id) GROUP BY i.id"""
 
 QUERIES = {f.__name__: f for f in (somatic_rules, best_alleles, block_combine, copy_number_events, codons_covered)}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluation, intervals, neighbours, positional, variants
 from ..sources import index
-from .queries import SPANS, A, lines, merged_sql, spans
+from .queries import DENSITY, SPANS, A, lines, merged_sql, spans
 
 ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
@@ -55,8 +55,81 @@ def haplotype_split(spark, sf):
 
 
 HAPLOTYPE_SPLIT = f"""WITH {RECORDS}, h AS (SELECT *, unnest(CASE gt WHEN '1|2' THEN [1, 2] WHEN '1/1' THEN [1, 1] WHEN '0|1' THEN [0, 1] ELSE [0, 0] END) AS allele, unnest([0, 1]) AS hap FROM v),
-  t AS (SELECT *, alt[allele] AS a FROM h WHERE allele > 0 AND allele <= len(alt)), s AS (SELECT *, {trimmed_sql('ref', 'a')} AS cut FROM t)
-SELECT l_orderkey, k, hap, split_part(cut, '>', 1) AS ref, split_part(cut, '>', 2) AS alt FROM s"""
+  t AS (SELECT *, alt[allele] AS a FROM h WHERE allele > 0 AND allele <= len(alt)), s AS (SELECT *, least(length(ref), length(a)) - 1 AS n FROM t)
+SELECT l_orderkey, k, hap, left(ref, length(ref) - n) AS ref, left(a, length(a) - n) AS alt FROM s"""
+
+
+def haploid_patches(spark, sf):
+    """Both haplotypes' records after patching, streams 0 and 1 by 2 and 3."""
+    rows, _ = _streams(spark, sf)
+    rows = rows.withColumns({"str": F.col("gq") % 4 == 1, "rpa": F.array(F.col("gq") % 9, F.lit(1))})
+    m = positional.by_stream(rows, ["l_orderkey"], "k", {f"v{k}": k for k in range(4)})
+    m = m.select("l_orderkey", F.inline(variants.haploid_patch(*[F.col(f"v{k}") for k in range(4)])))
+    return m.select("l_orderkey", "hap", "source", "record.ref", F.array_join("record.alt", ",").alias("alt"), "delta")
+
+
+HAPLOID_PATCHES = f"""WITH {RECORDS}, t AS (SELECT *, list_transform(alt, lambda a: {trimmed_sql('ref', 'a')}) AS ts FROM v), o AS (SELECT DISTINCT l_orderkey FROM lineitem),
+  h AS (SELECT o.l_orderkey, hap, v.ref AS vr, v.alt AS va, v.q AS vq, d.ref AS dr, d.alt AS da, d.q AS dq, d.gt IS NOT NULL AND (v.ref IS NULL OR list_has_all(d.ts, v.ts)) AS patched
+    FROM o CROSS JOIN (VALUES (0), (1)) x(hap) LEFT JOIN t v ON v.l_orderkey = o.l_orderkey AND v.k = hap LEFT JOIN t d ON d.l_orderkey = o.l_orderkey AND d.k = hap + 2),
+  c AS (SELECT l_orderkey, hap, patched, CASE WHEN patched THEN dr ELSE vr END AS ref, CASE WHEN patched THEN da ELSE va END AS alt, CASE WHEN patched THEN dq ELSE vq END AS q FROM h),
+  s AS (SELECT l_orderkey FROM c GROUP BY l_orderkey HAVING bool_and(ref IS NULL OR (q % 2 = 0 AND q >= 20)))
+SELECT l_orderkey, hap, CASE WHEN patched THEN 'patch' ELSE 'kept' END AS source, ref, array_to_string(alt, ',') AS alt, patched OR (q % 4 = 1 AND q % 9 >= 4) AS delta FROM c WHERE ref IS NOT NULL AND l_orderkey NOT IN (SELECT l_orderkey FROM s)"""
+
+
+def codon_table(spark, sf):
+    """Codons of exons in file order; transcripts change from order to order and come again."""
+    d = lines(spark, sf).groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").cast("int").alias("q"), F.min("s").alias("s"))
+    name = F.concat(F.lit("T"), (F.floor(F.col("l_orderkey") / 3) % 5).cast("string"), F.lit("."), F.col("l_linenumber").cast("string"))
+    exons = d.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("line"), (F.col("l_orderkey") % 3).cast("string").alias("chrom"), "s", (F.col("s") + F.col("q") % 8).alias("e"), name.alias("transcript"))
+    return positional.codons(exons).groupBy("chrom", "pos", "codon").agg(F.count("*").alias("n"))
+
+
+CODON_TABLE = f"""WITH d AS (SELECT l_orderkey * 8 + l_linenumber AS line, l_orderkey % 3 AS chrom, min(s) AS s, max(l_quantity)::INT % 8 AS len, 'T' || (l_orderkey // 3 % 5) AS name FROM {SPANS} GROUP BY l_orderkey, l_linenumber),
+  n AS (SELECT *, CASE WHEN name IS DISTINCT FROM lag(name) OVER (ORDER BY line) THEN 1 ELSE 0 END AS new FROM d), r AS (SELECT *, sum(new) OVER (ORDER BY line) AS run FROM n),
+  c AS (SELECT *, sum(len) OVER (PARTITION BY run ORDER BY line) - len AS base, sum(len) OVER (PARTITION BY run) AS total FROM r), b AS (SELECT *, unnest(range(0, len)) AS k FROM c)
+SELECT chrom::VARCHAR AS chrom, s + k AS pos, name || '-Codon' || ((base + k) // 3 + 1)::BIGINT AS codon, count(*) AS n FROM b WHERE ((base + k) // 3 + 1) * 3 <= total GROUP BY ALL"""
+
+
+def shard_memory(spark, sf):
+    """Memory by shard: a supplier's two regions in fragments of 100 over slots of 32."""
+    number = F.col("l_quantity")
+    sized = lines(spark, sf).select("grp", "s", (F.col("s") + F.floor(number * 2) + 1).alias("e"), number.alias("size"))
+    dense = positional.density(sized, 32).withColumn("density", F.round("density", 6))
+    half = F.explode(F.array(F.struct(F.lit(9000).alias("s"), F.lit(9350).alias("e")), F.struct(F.lit(9400).alias("s"), F.lit(9417).alias("e"))))
+    shards = spark.read.parquet(f"{sf}/supplier.parquet").select((F.col("s_suppkey") % 7).alias("shard"), F.col("s_suppkey").alias("grp"), half.alias("x"))
+    shards = shards.select("shard", "grp", F.col("x.s").cast("long").alias("s"), F.col("x.e").cast("long").alias("e"))
+    return positional.shard_memory(dense, shards, 5, 100, 32, 8.0 * (1 << 30)).withColumn("gigabytes", F.round("gigabytes", 3))
+
+
+SHARD_MEMORY = f"""WITH f AS (SELECT s_suppkey % 7 AS shard, s_suppkey AS grp, unnest([9000, 9100, 9200, 9300, 9400]) AS f FROM supplier),
+  k AS (SELECT shard, grp, unnest(range(f // 32, (f + 131) // 32)) AS slot FROM f), j AS (SELECT shard, density, row_number() OVER (PARTITION BY shard ORDER BY density DESC) AS rn FROM k JOIN {DENSITY} d USING (grp, slot))
+SELECT s.shard, round(coalesce(sum(density), 0) * 8, 3) AS gigabytes FROM (SELECT DISTINCT shard FROM f) s LEFT JOIN (SELECT * FROM j WHERE rn <= 5) j ON j.shard = s.shard GROUP BY s.shard"""
+
+
+def contig_presence(spark, sf):
+    """Lines of suppliers that have a returned line, near (within two days of) one of another's: padding and semi-joins."""
+    d = lines(spark, sf).groupBy("grp", "l_orderkey").agg(F.min("s").alias("s"), F.max("e").alias("e")).withColumn("id", F.col("l_orderkey") * 1_000_000 + F.col("grp"))
+    there = lines(spark, sf, "l_returnflag = 'R' AND l_quantity > 49").select("grp", "s", "e")
+    near = intervals.overlapping(d.join(there.select("grp").distinct(), "grp", "left_semi"), intervals.padded(there, 2))
+    return near.groupBy("grp").agg(F.count("*").alias("n"))
+
+
+CONTIG_PRESENCE = f"""WITH i AS (SELECT grp, l_orderkey, min(s) AS s, max(e) AS e FROM {SPANS} GROUP BY grp, l_orderkey), r AS (SELECT grp, greatest(s - 2, 0) AS s, e + 2 AS e FROM {SPANS} WHERE l_returnflag = 'R' AND l_quantity > 49)
+SELECT grp, count(*) AS n FROM i WHERE EXISTS (SELECT 1 FROM r WHERE r.grp = i.grp AND i.s < r.e AND r.s < i.e) GROUP BY grp"""
+
+
+def site_union(spark, sf):
+    """Sites over samples: a row per place with how many samples and which alleles it has, and an id from known places."""
+    d = lines(spark, sf).select(F.col("grp"), "s", (F.col("l_linenumber") % 4).alias("sample"), F.substring(F.lit("ACGT"), 1 + F.col("l_linenumber") % 4, 1).alias("alt"))
+    sites = positional.site_union(d, ["grp", "s"], "sample", "alt")
+    known = spark.read.parquet(f"{sf}/orders.parquet").select((F.col("o_custkey") % 100 + 1).alias("grp"), F.datediff(F.col("o_orderdate").cast("date"), F.lit("1970-01-01").cast("date")).cast("long").alias("s"), F.col("o_orderkey").cast("string").alias("name"))
+    known = known.groupBy("grp", "s").agg(F.min("name").alias("known"))
+    return positional.with_ids(sites, known, ["grp", "s"], "known").select("grp", "s", "samples", F.array_join("alleles", ",").alias("alleles"), "id")
+
+
+SITE_UNION = f"""WITH k AS (SELECT o_custkey % 100 + 1 AS grp, date_diff('day', DATE '1970-01-01', o_orderdate::DATE) AS s, min(o_orderkey::VARCHAR) AS id FROM orders GROUP BY 1, 2),
+  d AS (SELECT grp, s, count(DISTINCT l_linenumber % 4) AS samples, string_agg(DISTINCT substr('ACGT', 1 + l_linenumber % 4, 1), ',' ORDER BY substr('ACGT', 1 + l_linenumber % 4, 1)) AS alleles FROM {SPANS} GROUP BY grp, s)
+SELECT d.grp, d.s, samples, alleles, k.id FROM d LEFT JOIN k ON k.grp = d.grp AND k.s = d.s"""
 
 
 def haplotype_join(spark, sf):
@@ -135,5 +208,5 @@ def neighbour_merge(spark, sf):
     return neighbours.merge_neighbours(_neighbours(spark, sf)).select("chrom", "pos", "id", "ref", "alt", "qual", "merged", "members")
 
 
-QUERIES = {f.__name__: f for f in (allele_patch, haplotype_split, haplotype_join, phase_precedence, period_label, strata_count, bin_region_lookup, neighbour_merge)}
-ORACLES = {"allele_patch": ALLELE_PATCH, "haplotype_split": HAPLOTYPE_SPLIT, "haplotype_join": HAPLOTYPE_JOIN, "phase_precedence": PHASE_PRECEDENCE, "period_label": PERIOD_LABEL, "strata_count": STRATA_COUNT, "bin_region_lookup": BIN_REGION_LOOKUP}
+QUERIES = {f.__name__: f for f in (allele_patch, haplotype_split, haplotype_join, phase_precedence, period_label, strata_count, bin_region_lookup, neighbour_merge, haploid_patches, codon_table, shard_memory, contig_presence, site_union)}
+ORACLES = {"allele_patch": ALLELE_PATCH, "haplotype_split": HAPLOTYPE_SPLIT, "haplotype_join": HAPLOTYPE_JOIN, "phase_precedence": PHASE_PRECEDENCE, "period_label": PERIOD_LABEL, "strata_count": STRATA_COUNT, "bin_region_lookup": BIN_REGION_LOOKUP, "haploid_patches": HAPLOID_PATCHES, "codon_table": CODON_TABLE, "shard_memory": SHARD_MEMORY, "contig_presence": CONTIG_PRESENCE, "site_union": SITE_UNION}

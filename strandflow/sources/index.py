@@ -70,6 +70,42 @@ def density(index: DataFrame) -> DataFrame:
     return d.withColumn("slot", F.explode(F.sequence("at.lo", "hi"))).groupBy("path", "tid", "slot").agg(F.sum("share").alias("density"))
 
 
+def offsets(index: DataFrame) -> DataFrame:
+    """Least and largest virtual offset (path, tid, first, last) of each contig's chunks."""
+    return index.filter("bin IS NOT NULL").groupBy("path", "tid").agg(F.min("s").alias("first"), F.max("e").alias("last"))
+
+
+def contig_density(dense: DataFrame, headers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Densities (grp, slot, density) of named contigs summed over inputs, and their greatest lengths (grp, nth, length).
+
+    dense: path, tid, slot, density; headers: path, tid, name, length. An input's contigs go by their number in its header.
+    """
+    named = dense.join(headers.select("path", "tid", F.col("name").alias("grp")), ["path", "tid"])
+    contigs = headers.groupBy(F.col("name").alias("grp")).agg(F.min("tid").alias("nth"), F.max("length").alias("length"))
+    return named.groupBy("grp", "slot").agg(F.sum("density").alias("density")), contigs
+
+
+def write_bai(index: DataFrame, path: str) -> None:
+    """One alignment index file from rows of read_bai (of one path): bins by number, chunks by start, then the linear index.
+
+    An index is a summary that any reader loads whole, so it is put together in one place.
+    """
+    rows = index.orderBy("tid", F.col("bin").asc_nulls_last(), "s").select("tid", "bin", "s", "e").collect()
+    refs: dict[int, tuple[dict, list]] = {}
+    for tid, number, s, e in rows:
+        bins, linear = refs.setdefault(tid, ({}, []))
+        linear.append((s, e)) if number is None else bins.setdefault(number, []).append((s, e))
+    out = [b"BAI\1", struct.pack("<I", max(refs, default=-1) + 1)]
+    for tid in range(max(refs, default=-1) + 1):
+        bins, linear = refs.get(tid, ({}, []))
+        out.append(struct.pack("<I", len(bins)))
+        for number, chunks in sorted(bins.items()):
+            out += [struct.pack("<II", number, len(chunks)), *(struct.pack("<QQ", *c) for c in chunks)]
+        out += [struct.pack("<I", len(linear)), *(struct.pack("<Q", o) for _, o in sorted(linear))]
+    with open(path, "wb") as f:
+        f.write(b"".join(out))
+
+
 def region_bins(s: Column, e: Column) -> Column:
     """Numbers of all bins that meet [s, e)."""
     levels = [F.sequence((F.shiftright(s, k) + first_bin(k)).cast("long"), (F.shiftright(e - 1, k) + first_bin(k)).cast("long")) for k in SHIFTS]
