@@ -238,6 +238,27 @@ def test_embeddings(spark):
     assert got[60][1] == 0 and all(got[i] == (0, i) for i in range(62, 68))
 
 
+def brute_links(vectors):
+    usable = {i: np.array(x, dtype=float) / np.abs(x).max() for i, x in vectors if x}
+    cosine = lambda x, y: x @ y / np.linalg.norm(x) / np.linalg.norm(y)
+    return {i: sum(len(usable[j]) == len(usable[i]) and cosine(usable[i], usable[j]) >= 0.9 for j in usable if j != i) for i in usable}
+
+
+@pytest.mark.parametrize("rows", [16_384, 300])
+def test_embeddings_in_clusters(spark, monkeypatch, rows):
+    """Many stripes and neighbourhoods, several lengths, very large and small vectors, null ids, other columns: all links are found."""
+    monkeypatch.setattr(embeddings, "STRIPE_ROWS", rows)
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(12, 8))
+    v = [list(map(float, centre[i % 12] + 0.25 * rng.normal(size=8))) for i in range(700)] + [[float(x) * 1e200 for x in centre[0]], [float(x) * 1e-200 for x in centre[0]], list(map(float, centre[0])), [1.0, 0.1], [1.0, 0.0], None]
+    got = {r.vec_id: r.n_links for r in embeddings.near_duplicates(spark.createDataFrame([(i, x, "k", 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, key string, stripe int")).collect()}
+    want = brute_links(enumerate(v))
+    assert {i: n for i, n in got.items() if i in want} == want and got[len(v) - 1] == 0
+    d = spark.createDataFrame([(None, [1.0, 0.0]), (None, [1.0, 0.0]), (3, [1.0, 0.01])], "vec_id long, embedding array<float>")
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in embeddings.near_duplicates(d).collect()) == [(0, 2, 3, False)] * 2 + [(3, 2, 3, True)]
+    assert embeddings.near_duplicates(d.limit(0)).count() == 0
+
+
 def test_minhash(docs, empty):
     got = {(r.doc_id, r.class_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
     assert {(1, 1, True), (5, 1, False), (6, 1, False), (2, 2, True), (3, 3, True), (4, 4, True), (7, 7, True), (9, 9, True), (None, None, True)} <= got
