@@ -46,6 +46,7 @@ RULES: list[tags.Rule] = [
     ("strand_bias", ("max_sor",), lambda x: number("info", "SOR") > x),
     ("noisy_region", ("max_ecnt",), lambda x: number("info", "ECNT") > x),
 ]
+# Descriptions of the identifiers in a header.
 DESCRIPTIONS = {
     "low_qual": "Low quality score",
     "low_depth": "Low coverage depth",
@@ -86,19 +87,30 @@ PRESETS: dict[str, dict] = {
 }
 
 
+def chosen(preset: str | None = None, clear: str | list[str] | None = None, **params: float | None) -> tuple[dict, str | list[str]]:
+    """Parameters of a preset, some replaced, and the tags to clear."""
+    out = dict(PRESETS[preset]) if preset else {}
+    cleared = out.pop("clear", "none") if clear is None else clear
+    out.pop("clear", None)
+    out |= params
+    unknown = set(out) - {p for _, needs, _ in RULES for p in needs}
+    if unknown:
+        raise ValueError(f"unknown parameters: {', '.join(sorted(unknown))}")
+    return out, cleared
+
+
 def filtered(df: DataFrame, preset: str | None = None, clear: str | list[str] | None = None, **params: float | None) -> DataFrame:
     """df with its filter column retagged by a preset, by parameters, or by a preset with some parameters replaced.
 
     A rule whose value is missing does not tag; without a normal sample (null map) its rule never does.
     """
-    chosen = dict(PRESETS[preset]) if preset else {"clear": "none"}
-    chosen |= params
-    cleared = chosen.pop("clear") if clear is None else clear
-    chosen.pop("clear", None)
-    unknown = set(chosen) - {p for _, needs, _ in RULES for p in needs}
-    if unknown:
-        raise ValueError(f"unknown parameters: {', '.join(sorted(unknown))}")
-    return tags.tagged(df, RULES, chosen, clear=cleared)
+    values, cleared = chosen(preset, clear, **params)
+    return tags.tagged(df, RULES, values, clear=cleared)
+
+
+def declarations(values: dict) -> list[str]:
+    """Header lines of the rules that take part with these parameters."""
+    return [f'##FILTER=<ID={name},Description="{DESCRIPTIONS[name]}">' for name, needs, _ in sorted(RULES, key=lambda r: r[0]) if all(values.get(p) is not None for p in needs)]
 
 
 def samples(vcf: DataFrame, names: list[str], tumor: str, normal: str | None = None) -> DataFrame:

@@ -26,22 +26,31 @@ def following(df: DataFrame, chunks: DataFrame, width: int, n: int) -> DataFrame
 
 def _mergeable(a: dict, b: dict, reach: int, rule: Rule | None) -> bool:
     near = b["pos"] - a["pos"] <= reach + len(a["ref"]) - 1
-    return a["passed"] and b["passed"] and not a["sv"] and not b["sv"] and near and bool(a["phase"]) and a["phase"] == b["phase"] and (rule is None or rule(a, b))
+    same = any(bool(a.get(k)) and a[k] == b[k] for k in ("phase", "ps"))
+    return a["passed"] and b["passed"] and not a["sv"] and not b["sv"] and near and same and (rule is None or rule(a, b))
 
 
 def _joined(chain: list[dict]) -> dict | None:
-    """One variant for a chain; None if two members overlap. A common beginning goes, each allele keeps a base."""
-    ref, alt = chain[0]["ref"], chain[0]["alt"]
-    for a, b in zip(chain, chain[1:]):
+    """One variant for a chain; None if two members overlap or differ in their number of alleles. A common beginning goes, each allele keeps a base."""
+    several = not isinstance(chain[0]["alt"], str)
+    each = [list(v["alt"]) if several else [v["alt"]] for v in chain]
+    if any(len(x) != len(each[0]) for x in each):
+        return None
+    ref, alts = chain[0]["ref"], each[0]
+    for a, b, more in zip(chain, chain[1:], each[1:]):
         gap = b["pos"] - a["pos"] - len(a["ref"])
         if gap < 0:
             return None
-        ref, alt = ref + a["after"][:gap] + b["ref"], alt + a["after"][:gap] + b["alt"]
+        if gap > len(a["after"] or ""):
+            raise ValueError(f"{gap} bases are needed behind {a['chrom']}:{a['pos']}, {len(a['after'] or '')} are given")
+        between = (a["after"] or "")[:gap]
+        ref, alts = ref + between + b["ref"], [x + between + y for x, y in zip(alts, more)]
     same = 0
-    while same < min(len(ref), len(alt)) - 1 and ref[same] == alt[same]:
+    while same < len(ref) - 1 and all(same < len(x) - 1 and x[same] == ref[same] for x in alts):
         same += 1
     quals = [v["qual"] for v in chain]
-    return chain[0] | {"pos": chain[0]["pos"] + same, "ref": ref[same:], "alt": alt[same:], "qual": None if any(pd.isna(q) for q in quals) else sum(quals) / len(quals), "members": len(chain), "ids": [v["id"] for v in chain]}
+    alts = [x[same:] for x in alts]
+    return chain[0] | {"pos": chain[0]["pos"] + same, "ref": ref[same:], "alt": alts if several else alts[0], "qual": None if any(pd.isna(q) for q in quals) else sum(quals) / len(quals), "members": len(chain), "ids": [v["id"] for v in chain]}
 
 
 def _stacks(rows: list[dict], reach: int) -> list[list[dict]]:
@@ -63,16 +72,20 @@ def _stacks(rows: list[dict], reach: int) -> list[list[dict]]:
 def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None, extra: str = "") -> DataFrame:
     """All variants (COLUMNS) with merged (became part of another), members and ids; merged ones are added with members > 1, and the ids of their members in order.
 
-    extra declares more columns for the rule to see; a merged variant has those of its first member.
+    extra declares more columns for the rule to see; a merged variant has those of its first member. One named ps is a
+    second phase: variants that share it, or the first one, may merge. alt may be an array of alleles.
 
     Islands are cut where no chain can cross. Only those with two passing variants of one phase go through Python; an
     island spans as many rows as lie within reach of each other.
     """
     columns = f"{COLUMNS}, {extra}" if extra else COLUMNS
+    if df.schema["alt"].dataType.typeName() == "array":
+        columns = columns.replace("alt string", "alt array<string>")
     names = [c.split()[0] for c in columns.split(", ")]
     d = df.select(*names, F.col("chrom").alias("grp"), F.col("pos").alias("s"), (F.col("pos") + F.length("ref") - 1 + reach).alias("e"))
     d = runs(d, touching_joins=True).drop("grp", "s", "e").withColumnRenamed("run", "island")
-    open_ = F.col("passed") & ~F.col("sv") & (F.col("phase") != "")
+    phased = F.coalesce(F.col("phase") != "", F.lit(False)) | (F.coalesce(F.col("ps") != "", F.lit(False)) if "ps" in names else F.lit(False))
+    open_ = F.col("passed") & ~F.col("sv") & phased
     counts = Window.partitionBy("chrom", "island")
     d = d.withColumn("able", F.sum(F.coalesce(open_, F.lit(False)).cast("int")).over(counts))
     full = columns + ", merged boolean, members int, ids array<long>"
@@ -116,11 +129,11 @@ def merge_neighbours(df: DataFrame, reach: int = 5, rule: Rule | None = None, ex
     return dealt.mapInPandas(folded, full).unionByName(still)
 
 
-def member_means(merged: DataFrame, fields: DataFrame, means: list[str], truncated: list[str] = []) -> DataFrame:  # noqa: B006
+def member_means(merged: DataFrame, fields: DataFrame, means: list[str], truncated: list[str] = [], else_first: list[str] = []) -> DataFrame:  # noqa: B006
     """chrom, id (of the first member) and the mean over all members for each merged variant.
 
     fields: chrom, id and the named columns, numbers or arrays of them (mean by element, as many as all members have).
-    Null where a member has none; truncated ones are cut to whole numbers.
+    Null where a member has none, or the first member's value for those in else_first; truncated ones are cut to whole numbers.
     """
     part = merged.filter("members > 1").select("chrom", F.col("id").alias("first"), "members", F.explode("ids").alias("id"))
     j = part.join(fields, ["chrom", "id"], "left")
@@ -137,7 +150,11 @@ def member_means(merged: DataFrame, fields: DataFrame, means: list[str], truncat
         out = F.transform(at, lambda i: one(i).cast("long") if c in truncated else one(i))
         return F.when(F.size(held) == F.first("members"), out).alias(c)
 
-    return j.groupBy("chrom", F.col("first").alias("id")).agg(*map(mean, shapes))
+    def value(c: str):
+        own = F.first(F.when(F.col("id") == F.col("first"), F.col(c)), ignorenulls=True)
+        return F.coalesce(mean(c), own).alias(c) if c in else_first else mean(c)
+
+    return j.groupBy("chrom", F.col("first").alias("id")).agg(*map(value, shapes))
 
 
 def with_codons(df: DataFrame, codons: DataFrame) -> DataFrame:

@@ -45,6 +45,11 @@ def _decoded(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(rows, columns=["path", "tid", "bin", "s", "e"]).astype({"bin": "Int64"})
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_bai(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(_decoded, "path string, tid int, bin long, s long, e long")

@@ -30,8 +30,8 @@ def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
     info = F.when(at(7) != ".", F.str_to_map(at(7), F.lit(";"), F.lit("=")))
     declared = F.regexp_extract(at(7), r"(?:^|;)END=(\d+)(?:;|$)", 1).try_cast("long")
     return spark.read.text(path).select("value", F.monotonically_increasing_id().alias("record")).filter(~F.col("value").startswith("#")).select(
-        at(0).alias("chrom"), (at(1).cast("long") - 1).alias("pos"), F.coalesce(declared, at(1).cast("long") - 1 + F.length(at(3))).alias("end"), missing(at(2)).alias("id"), at(3).alias("ref"),
-        F.when(at(4) != ".", F.split(at(4), ",")).otherwise(F.array().cast("array<string>")).alias("alt"), missing(at(5)).cast("double").alias("qual"),
+        at(0).alias("chrom"), (at(1).try_cast("long") - 1).alias("pos"), F.coalesce(declared, at(1).try_cast("long") - 1 + F.length(at(3))).alias("end"), missing(at(2)).alias("id"), at(3).alias("ref"),
+        F.when(at(4) != ".", F.split(at(4), ",")).otherwise(F.array().cast("array<string>")).alias("alt"), missing(at(5)).try_cast("double").alias("qual"),
         F.when(at(6) != ".", F.split(at(6), ";")).otherwise(F.array().cast("array<string>")).alias("filter"), info.alias("info"), samples.alias("samples"), "record",
     )
 
