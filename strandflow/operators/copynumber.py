@@ -203,17 +203,17 @@ def stratified(truth: DataFrame, call: DataFrame, strata: DataFrame, names: list
     return name(got.truth_stats), name(got.call_stats)
 
 
-def summary(truth_stats: DataFrame, call_stats: DataFrame, *by: str, neutral: int = 2) -> DataFrame:
-    """Counts and ratios of stats for all events (dir null), losses and gains."""
+def summary(truth_stats: DataFrame, call_stats: DataFrame, *by: str, neutral: int = 2, groups: list[tuple] | None = None) -> DataFrame:
+    """Counts and ratios of stats for all events (dir null), losses and gains; groups (values of by) appear even without events."""
     side = lambda d: d.select(*by, event_class(F.col("cn"), neutral).alias("dir"), (F.col("eval") == "TP").alias("tp"))
-    return evaluation.confusion(side(truth_stats), side(call_stats), *by)
+    return evaluation.confusion(side(truth_stats), side(call_stats), *by, groups=groups)
 
 
 def by_length(truth_stats: DataFrame, call_stats: DataFrame, cuts: list[int], neutral: int = 2) -> DataFrame:
     """summary() for each range of sizes, both ends included, the last one up to the largest event. A call that found an event counts by that one's size."""
     cuts = evaluation.cuts_to(cuts, truth_stats.select("size").unionByName(call_stats.select("size")))
     met = F.when(F.col("truth_size") != 0, F.col("truth_size")).otherwise(F.col("size"))
-    return summary(evaluation.in_bins(truth_stats, cuts, F.col("size")), evaluation.in_bins(call_stats, cuts, met), "bin", neutral=neutral)
+    return summary(evaluation.in_bins(truth_stats, cuts, F.col("size")), evaluation.in_bins(call_stats, cuts, met), "bin", neutral=neutral, groups=[(n,) for n in evaluation.bin_names(cuts)])
 
 
 def labelled(truth: DataFrame, call: DataFrame, regions: DataFrame | None = None, least_overlap: float = 0.3, neutral: int = 2) -> DataFrame:

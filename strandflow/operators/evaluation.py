@@ -24,12 +24,16 @@ def outcomes(truth: DataFrame, call: DataFrame, share: float) -> tuple[DataFrame
     return t, c
 
 
-def confusion(t: DataFrame, c: DataFrame, *by: str, classes: tuple[str, ...] = ("Loss", "Gain")) -> DataFrame:
+def confusion(t: DataFrame, c: DataFrame, *by: str, classes: tuple[str, ...] = ("Loss", "Gain"), groups: list[tuple] | None = None) -> DataFrame:
     """Counts, sensitivity, precision and F1 for each class of dir, rows or not, and for all of them (dir null).
 
     Zero denominators give 0; a class's ratio is 1 where its side has no row at all. Other values of dir count nowhere.
+    groups (values of by, as text) appear even without rows.
     """
     rows = t.select(*by, "dir", "tp", F.lit(True).alias("true")).unionByName(c.select(*by, "dir", "tp", F.lit(False).alias("true")))
+    if groups is not None:
+        none = t.sparkSession.createDataFrame(groups, ", ".join(f"{c} string" for c in by))
+        rows = rows.unionByName(none.select(*by, F.lit(None).cast("string").alias("dir"), *[F.lit(None).cast("boolean").alias(c) for c in ("tp", "true")]))
     count = lambda x: F.count(F.when(x, 1)).alias
     true, tp, held = F.col("true"), F.col("tp"), F.col("dir").isin(*classes)
     kinds = [(None, held), *[(k, F.col("dir") == k) for k in classes]]
@@ -55,11 +59,15 @@ def cuts_to(cuts: list[int], sizes: DataFrame) -> list[int]:
     return [*cuts, largest] if largest is not None and largest > cuts[-1] else list(cuts)
 
 
+def bin_names(cuts: list[int]) -> list[str]:
+    return [f"{a}-{b}" for a, b in zip([0, *cuts[:-1]], cuts)]
+
+
 def in_bins(df: DataFrame, cuts: list[int], size: Column | None = None) -> DataFrame:
     """A row for each size bin that holds size (e - s unless given); both ends belong to a bin, so a value on a cut counts twice."""
     size = F.col("e") - F.col("s") if size is None else size
     edges = list(zip([0, *cuts[:-1]], cuts))
-    hits = F.array_compact(F.array(*[F.when(size.between(a, b), F.lit(f"{a}-{b}")) for a, b in edges]))
+    hits = F.array_compact(F.array(*[F.when(size.between(a, b), F.lit(n)) for n, (a, b) in zip(bin_names(cuts), edges)]))
     return df.withColumn("bin", F.explode(hits))
 
 

@@ -91,7 +91,7 @@ def contig_density(dense: DataFrame, headers: DataFrame) -> tuple[DataFrame, Dat
 
 
 def write_bai(index: DataFrame, path: str) -> None:
-    """One alignment index file from rows of read_bai (of one path): bins by number, chunks by start, then the linear index.
+    """One alignment index file from rows of read_bai (of one path): bins by number, chunks by start, then the linear index (0 for slots without a row).
 
     An index is a summary that any reader loads whole, so it is put together in one place.
     """
@@ -106,7 +106,9 @@ def write_bai(index: DataFrame, path: str) -> None:
         out.append(struct.pack("<I", len(bins)))
         for number, chunks in sorted(bins.items()):
             out += [struct.pack("<II", number, len(chunks)), *(struct.pack("<QQ", *c) for c in chunks)]
-        out += [struct.pack("<I", len(linear)), *(struct.pack("<Q", o) for _, o in sorted(linear))]
+        slots_ = dict(linear)
+        n = max(slots_, default=-1) + 1
+        out += [struct.pack("<I", n), *(struct.pack("<Q", slots_.get(i, 0)) for i in range(n))]
     with open(path, "wb") as f:
         f.write(b"".join(out))
 

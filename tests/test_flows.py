@@ -126,7 +126,8 @@ def test_memory(spark, tmp_path):
     d = spark.createDataFrame(rows, "tid int, bin long, s long, e long")
     for name, extra in (("a.bam.bai", 0), ("b.bai", 1)):
         index.write_bai(d.withColumn("e", d["e"] + (extra << 16) * d["bin"].eqNullSafe(4682).cast("int")), str(tmp_path / name))
-    assert sorted(map(tuple, index.read_bai(spark, str(tmp_path / "a.bam.bai")).select("tid", "bin", "s", "e").collect()), key=str) == sorted(rows, key=str)
+    again = index.read_bai(spark, str(tmp_path / "a.bam.bai")).filter("bin IS NOT NULL").select("tid", "bin", "s", "e").collect()
+    assert sorted(map(tuple, again)) == sorted(r for r in rows if r[1] is not None)
     bam_header(tmp_path / "a.bam", [("chr1", 1_100_000), ("chr2", 10)])
     (tmp_path / "b.bam.hdr").write_text("@HD\tVN:1\n@SQ\tSN:chr1\tLN:900\n@SQ\tSN:chr2\tLN:9\n")
     got = [tuple(r) for r in flows.memory(spark, [str(tmp_path / "a.bam"), str(tmp_path / "b.bam")], 3).collect()]
