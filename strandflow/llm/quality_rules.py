@@ -73,12 +73,13 @@ def measures(docs: DataFrame, *passed: str) -> DataFrame:
     keep = [F.col(c).alias(f"__{c}") for c in passed]
     kept = [f"__{c}" for c in passed]
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    d = docs.select(*keep, words(F.col("text")).alias("w"), lines.alias("l"), (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).alias("n_symbols"))
-    stop = F.array(*map(F.lit, dict.fromkeys(STOP_WORDS)))
-    grams = F.when(F.size("w") >= 3, F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1), F.get("w", i + 2)))).otherwise(F.array().cast("array<bigint>"))
+    d = docs.select(*keep, words(F.col("text")).alias("w"), lines.alias("l"), F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).alias("n_symbols"))
+    stop = list(dict.fromkeys(STOP_WORDS))
+    # the last two words begin no window
+    grams = F.slice(F.transform("w", lambda x, i: F.xxhash64(x, F.get("w", i + 1), F.get("w", i + 2))), 1, F.greatest(F.size("w") - 2, F.lit(0)))
     d = d.select(
         *kept, "n_symbols", F.size("w").alias("n_words"), F.length(F.array_join("w", "")).alias("word_chars"),
-        F.size(F.filter("w", lambda x: F.array_contains(stop, F.lower(x)))).alias("n_stop_words"),
+        F.size(F.filter("w", lambda x: F.lower(x).isin(stop))).alias("n_stop_words"),
         F.size("l").alias("n_lines"), (F.size("l") - F.size(F.array_distinct("l"))).alias("n_dup_lines"), grams.alias("g"),
     )
     ordered = F.when(F.size(F.array_distinct("g")) < F.size("g"), F.sort_array(F.transform("g", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
