@@ -114,6 +114,32 @@ def test_patch_and_merge_haplotypes(spark, tmp_path):
     assert got == [("5", "AT", "CT", "1|0"), ("7", "A", "T", "0|1"), ("20", "A", "C", "0/1"), ("30", "A", "G", "0/1"), ("40", "A", "T", "0/1")]
 
 
+def test_patch_unphased(spark, tmp_path):
+    head = '##fileformat=VCFv4.2\n##contig=<ID=chr2>\n##contig=<ID=chr1>\n##INFO=<ID=AC,Number=A,Type=Integer,Description="x">\n##FORMAT=<ID=AD,Number=R,Type=Integer,Description="x">\n##FORMAT=<ID=PL,Number=G,Type=Integer,Description="x">\n'
+    row = lambda pos, ref, alt, gt, pl, ad, gq=30, info=".", chrom="chr1": (chrom, pos, ".", ref, alt, 20, "lowq", info, "GT:GQ:PL:AD", f"{gt}:{gq}:{pl}:{ad}")
+    v = vcf(
+        tmp_path / "v.vcf", row(5, "A", "C", "0/1", "9,0,9", "3,4", info="ML_PROB=3"), row(7, "A", "T", "0/1", "9,0,9", "3,4"), row(9, "A", "C", "0/1", "9,0,9", "3,4"),
+        row(20, "AGG", "CGG,A,TGG", "1/3", "90,80,70,60,50,40,30,0,20,10", "1,2,3,4", info="AC=1,2,3;ML_PROB=1"), row(25, "A", "C,G", "0/1", "9,0,9", "3,4,5"), row(40, "A", "C", "0/0", "0,9,9", "3,4"), head=head,
+    )
+    d = vcf(
+        tmp_path / "d.vcf", row(5, "AT", "CT", "0/1", "9,0,9", "5,6"), row(7, "A", "G", "0/1", "9,0,9", "5,6"), row(9, "A", "C", "./.", "9,0,9", "5,6"),
+        row(30, "A", "G", "0/0", "0,9,9", "5,6"), row(31, "A", "G", "0/0", "0,9,9", "5,6", gq=19), row(3, "A", "C,G", "1/1", "50,40,0,60,70,80", ".", chrom="chr2", info="AC=2,0"), head=head,
+    )
+    flows.patch_unphased(spark, v, d, str(tmp_path / "o"))
+    got = [(r[0], r[1], r[3], r[4], r[6], r[7], dict(zip(r[8].split(":"), r[9].split(":")))) for r in lines(spark, tmp_path / "o")]
+    of = lambda gt, pl, ad, gq="30": {"GT": gt, "GQ": gq, "PL": pl, "AD": ad}
+    # at 20 genotype 1/3 is likeliest and alleles are cut by one length; 25 lacks likelihoods; 30 is surely the reference
+    assert got == [
+        ("chr2", "3", "A", "C", "PASS", "AC=2;DELTA", of("1/1", "50,40,0", ".")),
+        ("chr1", "5", "AT", "CT", "PASS", "DELTA", of("0/1", "9,0,9", "5,6")),
+        ("chr1", "7", "A", "T", "PASS", ".", of("0/1", "9,0,9", "3,4")),
+        ("chr1", "9", "A", "C", "PASS", ".", of("0/1", "9,0,9", "3,4")),
+        ("chr1", "20", "A", "C,T", "PASS", "AC=1,3", of("1/2", "90,80,70,30,0,10", "1,2,4")),
+        ("chr1", "31", "A", "G", "PASS", "DELTA", of("0/0", "0,9,9", "5,6", "19")),
+        ("chr1", "40", "A", "C", "PASS", ".", of("0/0", "0,9,9", "3,4")),
+    ]
+
+
 def bam_header(path, contigs):
     data = b"BAM\1" + struct.pack("<I", 0) + struct.pack("<I", len(contigs)) + b"".join(struct.pack("<I", len(n) + 1) + n.encode() + b"\0" + struct.pack("<I", size) for n, size in contigs)
     c = zlib.compressobj(wbits=-15)
