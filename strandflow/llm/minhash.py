@@ -6,7 +6,7 @@ the rate of its weight to random registers; a register keeps the element that ar
 and an element stops once its next arrival is later than every register's. Two registers are
 equal with the probability of the pair's Jaccard similarity, the measure of links too.
 Registers are hashed in bands; texts that share a band are candidates, and a link is a pair
-whose Jaccard similarity, counted on 32-bit fingerprints of all shingles, is at least
+whose Jaccard similarity, counted on 64-bit fingerprints of all shingles, is at least
 THRESHOLD.
 
 No bucket's pairs are listed. First each member is checked against the least member of
