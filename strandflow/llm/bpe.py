@@ -70,7 +70,7 @@ class PrefixEncoder:
         self.normalize, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.added_form = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.plain = re.compile(f"[{PLAIN}]+").fullmatch if WORD_RULE in [p.get("pattern", {}).get("Regex") for p in spec["pre_tokenizer"].get("pretokenizers", [])] else lambda run: None
-        chars = [chr(c) for c in range(0x250)]
+        chars = [chr(c) for c in range(0x180)]
         letters, numbers = ("".join(c for c in chars if unicodedata.category(c)[0] == kind) for kind in "LN")
         self.plain_words = re.compile(f"{ENDINGS}|[{letters}]+|[{numbers}]|[^{letters}{numbers}]+").findall
         self.alphabet = {b: x for b, x in enumerate(byte_alphabet()) if ord(x) != b}
