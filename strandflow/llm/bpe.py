@@ -39,8 +39,8 @@ LAST = 0x4000
 #: The word rule for which plain runs need no library, and its endings.
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ENDINGS = "'s|'t|'re|'ve|'m|'ll|'d"
-#: Latin letters, digits and signs that normal form C leaves alone and that have one lower-case form of one character.
-PLAIN = "\x21-\x7E\xA1-\u012F\u0131-\u024F"
+#: Letters, digits and signs of Latin-1 and Latin Extended-A: normal form C leaves them alone, and their lower-case forms are single and among them.
+PLAIN = "\x21-\x7E\xA1-\u012F\u0131-\u017F"
 
 
 def byte_alphabet() -> list[str]:
