@@ -30,9 +30,11 @@ from pyspark.sql import DataFrame
 
 #: White space as the vocabulary's rules understand it: Unicode's White_Space.
 RUN = re.compile("[^\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+")
-#: A worker remembers the ids of so many runs and of so many words, of so many characters at most each.
-CACHE, CACHED_CHARS = 1 << 19, 64
-#: Runs are handed to Spark in batches of about so many bytes.
+#: A worker remembers the ids of so many runs and of so many words lately met, twice, of so many characters at most each.
+CACHE, CACHED_CHARS = 1 << 17, 64
+#: And so many pairs of tokens that it has compared.
+PAIRS = 1 << 19
+#: Rows are handed to Spark in batches of about so many bytes.
 BATCH_BYTES = 16 << 20
 #: A word's last symbol is another symbol than the same byte elsewhere.
 LAST = 0x4000
@@ -50,6 +52,25 @@ def byte_alphabet() -> list[str]:
     return [chr(b if b in own else next(others)) for b in range(256)]
 
 
+class Recent:
+    """A bounded memory: when one dictionary is full, it becomes the older one, from which what is met again moves on."""
+
+    def __init__(self):
+        self.new, self.old = {}, {}
+
+    def get(self, key: str):
+        value = self.new.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key: str, value) -> None:
+        if len(key) <= CACHED_CHARS:
+            if len(self.new) >= CACHE:
+                self.new, self.old = {}, self.new
+            self.new[key] = value
+
+
 class PrefixEncoder:
     """ids of texts under a vocabulary file whose model is byte-level pair merging with a word-end suffix or none."""
 
@@ -96,8 +117,7 @@ class PrefixEncoder:
             if self._is_own_encoding(i):
                 self.automaton.add_word(s, i)
         self.automaton.make_automaton()
-        self.cache: dict[str, bytes] = {}
-        self.words: dict[str, list[int]] = {}
+        self.runs, self.words = Recent(), Recent()
 
     def _text(self, a: int, b: int, pair) -> str:
         left, right = pair.split(" ") if isinstance(pair, str) else pair
@@ -136,7 +156,7 @@ class PrefixEncoder:
         key = a << 20 | b
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 1 << 20:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self._first_across(a, b) == float("inf")
         return known
@@ -190,24 +210,18 @@ class PrefixEncoder:
                     known = self.words.get(word)
                     if known is None:
                         known = self.word(word)
-                        if len(word) <= CACHED_CHARS:
-                            if len(self.words) >= CACHE:
-                                self.words.clear()
-                            self.words[word] = known
+                        self.words.put(word, known)
                     ids += known
         return array("I", ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """ids as little-endian unsigned 32-bit integers."""
-        out, cache = [], self.cache
+        out, runs = [], self.runs
         for run in RUN.findall(text or ""):
-            ids = cache.get(run)
-            if ids is None:
+            ids = runs.new.get(run)
+            if ids is None and (ids := runs.get(run)) is None:
                 ids = self._run(run)
-                if len(run) <= CACHED_CHARS:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[run] = ids
+                runs.put(run, ids)
             out.append(ids)
         return b"".join(out)
 
