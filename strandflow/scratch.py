@@ -5,18 +5,34 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df as a table in the folder that all executors share (spark.checkpoint.dir; a temporary one in local sessions without it)."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share (spark.checkpoint.dir); a temporary one in local sessions without it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="strandflow-")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root}/{spark.sparkContext.applicationId}/kept-{uuid.uuid4().hex}"
+    return root
+
+
+def fresh(spark: SparkSession, name: str = "kept") -> str:
+    """A path in the shared folder that nothing has used."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder. It is written now, while the plan that reads it is built."""
+    path = fresh(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has kept, once no result that reads it is needed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

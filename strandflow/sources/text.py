@@ -22,6 +22,11 @@ def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
     end is INFO's END where a record has one, as blocks and copy-number events do, else the end of ref. record numbers the
     rows in file order; it is the same whenever the same files are read.
     """
+    return records(spark.read.text(path).select("value", F.monotonically_increasing_id().alias("record")))
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """read_vcf's columns from lines (value, record)."""
     c = F.split("value", "\t")
     at = lambda i: F.get(c, F.lit(i))
     missing = lambda x: F.when(x != ".", x)
@@ -29,7 +34,7 @@ def read_vcf(spark: SparkSession, path: str | list[str]) -> DataFrame:
     samples = F.transform(F.slice(c, 10, 1 << 20), lambda s: F.map_from_entries(F.filter(F.arrays_zip(keys.alias("key"), F.split(s, ":").alias("value")), lambda x: x["key"].isNotNull())))
     info = F.when(at(7) != ".", F.str_to_map(at(7), F.lit(";"), F.lit("=")))
     declared = F.regexp_extract(at(7), r"(?:^|;)END=(\d+)(?:;|$)", 1).try_cast("long")
-    return spark.read.text(path).select("value", F.monotonically_increasing_id().alias("record")).filter(~F.col("value").startswith("#")).select(
+    return lines.filter(~F.col("value").startswith("#")).select(
         at(0).alias("chrom"), (at(1).try_cast("long") - 1).alias("pos"), F.coalesce(declared, at(1).try_cast("long") - 1 + F.length(at(3))).alias("end"), missing(at(2)).alias("id"), at(3).alias("ref"),
         F.when(at(4) != ".", F.split(at(4), ",")).otherwise(F.array().cast("array<string>")).alias("alt"), missing(at(5)).try_cast("double").alias("qual"),
         F.when(at(6) != ".", F.split(at(6), ";")).otherwise(F.array().cast("array<string>")).alias("filter"), info.alias("info"), samples.alias("samples"), "record",
