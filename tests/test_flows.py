@@ -111,7 +111,64 @@ def test_patch_and_merge_haplotypes(spark, tmp_path):
     (tmp_path / "b.bed").write_text("chr1\t2\t10\n")
     flows.merge_haplotypes(spark, p, str(tmp_path / "o1"), str(tmp_path / "o2"), u, str(tmp_path / "m"), str(tmp_path / "b.bed"))
     got = [(r[1], r[3], r[4], dict(zip(r[8].split(":"), r[9].split(":")))["GT"]) for r in lines(spark, tmp_path / "m")]
-    assert got == [("5", "AT", "CT", "1|0"), ("7", "A", "T", "0|1"), ("20", "A", "C", "0/1"), ("30", "A", "G", "0/1"), ("40", "A", "T", "0/1")]
+    assert got == [("5", "A", "C", "1|0"), ("7", "A", "T", "0|1"), ("20", "A", "C", "0/1"), ("30", "A", "G", "0/1"), ("40", "A", "T", "0/1")]
+
+
+COUNTED = (
+    '##fileformat=VCFv4.2\n##contig=<ID=chr1>\n##INFO=<ID=AC,Number=A,Type=Integer,Description="x">\n##INFO=<ID=AF,Number=A,Type=Float,Description="x">\n##INFO=<ID=AN,Number=1,Type=Integer,Description="x">\n'
+    '##INFO=<ID=DP,Number=1,Type=Integer,Description="x">\n##INFO=<ID=QD,Number=1,Type=Float,Description="x">\n##INFO=<ID=MQ,Number=1,Type=Float,Description="x">\n##INFO=<ID=RPA,Number=R,Type=Integer,Description="x">\n##INFO=<ID=RU,Number=1,Type=String,Description="x">\n'
+    '##INFO=<ID=STR,Number=0,Type=Flag,Description="x">\n##INFO=<ID=MLEAC,Number=A,Type=Integer,Description="x">\n##FORMAT=<ID=AD,Number=R,Type=Integer,Description="x">\n##FORMAT=<ID=PL,Number=G,Type=Integer,Description="x">\n##FORMAT=<ID=DP,Number=1,Type=Integer,Description="x">\n'
+)
+
+
+def sample(r):
+    return dict(zip(r[8].split(":"), r[9].split(":")))
+
+
+def test_patch_keeps_two_alleles_and_renumbers(spark, tmp_path):
+    rec = lambda pos, alt, gt, pl, info: ("chr1", pos, ".", "A", alt, 20, "q", info, "GT:GQ:PL:AD", f"{gt}:30:{pl}:9,1,2,3,4")
+    v1 = vcf(tmp_path / "v1.vcf", rec(5, "C,G,T,AA", "3", "90,20,40,0,60", "AC=1,2,3,4;ML_PROB=1;DELTA"), rec(6, "C,G,T,AA", "4", "90,20,40,0,60", "AC=1,2,3,4"), rec(7, "C,G", "2", "90,20,0", "AC=1,2"), head=COUNTED)
+    none = vcf(tmp_path / "n.vcf", head=COUNTED)
+    d1 = vcf(tmp_path / "d1.vcf", rec(6, "AA,T,G,C", "1", "90,0,40,20,60", "AC=4,3,2,1"), head=COUNTED)
+    flows.patch_haplotypes(spark, v1, none, d1, none, str(tmp_path / "o1"), str(tmp_path / "o2"))
+    got = [(r[1], r[3], r[4], r[7], sample(r)) for r in lines(spark, tmp_path / "o1")]
+    assert got == [
+        ("5", "A", "T,C", "AC=3,1;DELTA", {"GT": "1", "GQ": "30", "PL": "90,0,20", "AD": "9,3,1"}),
+        ("6", "A", "AA,G", "AC=4,2;DELTA", {"GT": "1", "GQ": "30", "PL": "90,0,20", "AD": "9,1,3"}),
+        ("7", "A", "C,G", "AC=1,2", {"GT": "2", "GQ": "30", "PL": "90,20,0", "AD": "9,1,2,3,4"}),
+    ]
+    assert lines(spark, tmp_path / "o2") == []
+
+
+def test_patch_of_one_phased_file(spark, tmp_path):
+    rec = lambda pos, ref, alt, gt, info="STR;RU=A;RPA=7,8,9": ("chr1", pos, ".", ref, alt, 20, "q", info, "GT:GQ:PL:AD", f"{gt}:30:50,1,2,3,4,5:9,1,2")
+    v = vcf(tmp_path / "v.vcf", rec(5, "AC", "A,ACC", "1|2"), rec(6, "A", "C,G", "0|2"), rec(7, "A", "C,G", "1/2"), rec(8, "A", "C,G", "2/2"), rec(9, "A", "C,G", "1|2"), head=COUNTED)
+    d1 = vcf(tmp_path / "d1.vcf", ("chr1", 9, ".", "A", "C", 20, ".", ".", "GT:GQ:PL:AD", "1:30:9,0:1,2"), head=COUNTED)
+    d2 = vcf(tmp_path / "d2.vcf", ("chr1", 9, ".", "A", "C", 20, ".", ".", "GT:GQ:PL:AD", "1:30:9,0:1,2"), head=COUNTED)
+    flows.patch_haplotypes(spark, v, None, d1, d2, str(tmp_path / "o1"), str(tmp_path / "o2"))
+    got = [[(r[1], r[3], r[4], r[7], sample(r)["GT"], sample(r)["PL"], sample(r)["AD"]) for r in lines(spark, tmp_path / o)] for o in ("o1", "o2")]
+    # split records keep repeats unmarked; an unphased genotype of two alleles has no side
+    assert got[0] == [("5", "AC", "A", "RPA=7,8;RU=A;STR", "1", "50,1", "9,1"), ("8", "A", "G", "RPA=7,9;RU=A;STR", "1", "50,3", "9,2"), ("9", "A", "C", "DELTA", "1", "9,0", "1,2")]
+    assert got[1] == [("5", "A", "AC", "RPA=7,9;RU=A;STR", "1", "50,3", "9,2"), ("6", "A", "G", "RPA=7,9;RU=A;STR", "1", "50,3", "9,2"), ("8", "A", "G", "RPA=7,9;RU=A;STR", "1", "50,3", "9,2"), ("9", "A", "G", "RPA=7,9;RU=A;STR", "1", "50,3", "9,2")]
+
+
+def test_joined_records_take_what_belongs_to_them(spark, tmp_path):
+    hap = lambda pos, alt, gt, dp, ad, info: ("chr1", pos, "x", "A", alt, 20, ".", info, "GT:GQ:PL:AD:DP", f"{gt}:30:9,0:{ad}:{dp}")
+    h1 = vcf(tmp_path / "h1.vcf", hap(5, "C,G", "2", 7, "1,2,3", "DELTA;DP=7;MQ=9;RPA=4,5,6;STR;RU=A"), hap(6, "C", "1", 7, "0,3", "DELTA;DP=5"), hap(7, "C", "0", 7, "1,3", "DELTA"), head=COUNTED)
+    h2 = vcf(tmp_path / "h2.vcf", hap(5, "T", "1", 7, "2,5", "DP=8;RPA=4,9"), hap(6, "C", "1", 4, "0,4", "DP=6"), hap(7, "AT", "1", 3, "2,9", "DP=3;RU=T"), head=COUNTED)
+    v = vcf(tmp_path / "v.vcf", ("chr1", 6, "rs", "AT", "A", 90, ".", "DP=50;QD=3;MQ=60;MLEAC=1;AN=2;RPA=3,4;OWN=1", "GT:GQ:PL:AD", "0|1:1:2:3"), head=COUNTED)
+    u = vcf(tmp_path / "u.vcf", ("chr1", 9, ".", "A", "T", 20, ".", "DELTA;DP=4", "GT:GQ", "0/1:5"), head=COUNTED)
+    (tmp_path / "b.bed").write_text("chr1\t5\t10\n")
+    flows.merge_haplotypes(spark, v, h1, h2, u, str(tmp_path / "m"), str(tmp_path / "b.bed"))
+    got = [(*r[1:6], r[7], sample(r)) for r in lines(spark, tmp_path / "m")]
+    assert got == [
+        # the allele that the genotype names; depths and repeats added; no phased record, so none of a haplotype's own fields
+        ("5", ".", "A", "G,T", "40", "AC=1,1;AF=0.5,0.5;DP=15;RPA=4,6,9;RU=A;STR", {"GT": "1/2", "AD": "3,3,5", "DP": "14"}),
+        # the phased record's fields stay, but QD and those by allele; its repeats stay where there are no others
+        ("6", "rs", "A", "C", "40", "AC=2;AF=1.0;AN=2;DP=50;MQ=60;OWN=1;RPA=3,4", {"GT": "1|1", "PS": "5", "DP": "11"}),
+        ("7", ".", "A", "AT", "20", "AC=1;AF=0.5;DP=3;RU=T", {"GT": "0|1", "PS": "5", "AD": "2,9", "DP": "3"}),
+        ("9", ".", "A", "T", "20", "DP=4", {"GT": "0/1", "GQ": "5"}),
+    ]
 
 
 def test_patch_unphased(spark, tmp_path):
