@@ -6,13 +6,13 @@ that a source of any size is spread over many tasks. Levels are built one after
 each a grouping of three neighbours, and written as rows that name a node by (source,
 level, slot) and hold its siblings; its parent is slot // 3 of the next level. Spark's
 recursive query then ascends from every leaf: each step joins the rows of the level,
-appends the siblings to the proof and folds them around the hash that started as the
-tampered leaf.
+appends a row of the siblings met and folds them around the hash that started as the
+tampered leaf. A leaf's rows, in order of levels, are its proof.
 
 From level BLOCK_LEVEL on, and in the tree over sources, a node's row is written once for
 each block of 3 ** BLOCK_LEVEL leaves below it and the slot is the block: no key of the
-climb's joins meets more leaves than that. The climb runs in two queries, the first over
-the wide rows below that level, the second over the few above it.
+climb's joins meets more leaves than that. The climb runs in three queries, so that
+no step reads the many nodes of levels far below it.
 
 Defined results: the leaf of a null field is "-"; null sources come first, then sources by
 bytes; leaves with equal doc_id of one source are ordered by their hash, null doc_ids come
@@ -34,8 +34,9 @@ from .common import keep
 
 ARITY = 3
 BLOCK_LEVEL = 7
+#: The lowest levels have most nodes; a recursive query of their own climbs them, as each step reads all nodes of its query.
+WIDE_LEVELS = 2
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-NODE = "k long, lev int, slot long, before binary, after binary"
 
 
 def hashed(digests: Column) -> Column:
@@ -139,18 +140,17 @@ def unlimited_recursion(spark: SparkSession):
 
 
 CLIMB = """
-WITH RECURSIVE climb(k, lev, stop, slot, doc_id, leaf, folded, proof) AS (
-  SELECT k, lev, stop, slot, doc_id, leaf, folded, proof FROM {start}
+WITH RECURSIVE climb(k, i, lev, stop, siblings, folded) AS (
+  SELECT k, i, lev, stop, CAST(NULL AS BINARY), folded FROM {start}
   UNION ALL
-  SELECT c.k, c.lev + 1, c.stop, CASE WHEN c.lev < {low} THEN c.slot DIV {arity} ELSE c.slot END, c.doc_id, c.leaf,
-    unhex(sha2(CAST(lower(hex(concat(n.before, c.folded, n.after))) AS BINARY), 256)), concat(c.proof, n.before, n.after)
-  FROM climb c JOIN {nodes} n ON c.k = n.k AND c.lev = n.lev AND c.slot = n.slot
+  SELECT c.k, c.i, c.lev + 1, c.stop, concat(n.before, n.after), unhex(sha2(CAST(lower(hex(concat(n.before, c.folded, n.after))) AS BINARY), 256))
+  FROM climb c JOIN {nodes} n ON c.k = n.k AND c.lev = n.lev AND c.i DIV CAST(power({arity}, least(c.lev, {low})) AS BIGINT) = n.slot
   WHERE c.lev < c.stop)
-SELECT k, lev, slot, doc_id, leaf, folded, proof FROM climb WHERE lev = stop"""
+SELECT k, i, lev, siblings, CASE WHEN lev = stop THEN folded END AS folded FROM climb"""
 
 
 def climbed(start: DataFrame, nodes: DataFrame) -> DataFrame:
-    """start (k, lev, stop, slot, doc_id, leaf, folded, proof) taken up to its stop."""
+    """A row for each leaf of start (k, i, lev, stop, folded) and level up to its stop: the siblings met below it; the last one has the hash folded so far."""
     spark = start.sparkSession
     with unlimited_recursion(spark):
         return keep(spark.sql(CLIMB, start=start, nodes=nodes, low=BLOCK_LEVEL, arity=ARITY), "merkle-climb")
@@ -168,21 +168,35 @@ def manifest(docs: DataFrame) -> DataFrame:
     empty = spark.createDataFrame([], "k long, n long, lev int, i long, before binary, after binary")
     trees, over, tops = spread(empty if trees is None else trees), spread(empty if over is None else over), depth(count)
     nodes = ["k", "lev", "slot", "before", "after"]
-    low = keep(trees.filter(F.col("lev") < BLOCK_LEVEL).select(*nodes), "merkle-low")
     # each source's way through the tree over sources, once for each block of its leaves
     way = subroots.select("k", "n", F.explode(F.sequence(F.lit(0), F.lit(tops - 1)) if tops else F.array().cast("array<int>")).alias("t"))
     way = way.withColumn("at", F.floor(F.col("k") / F.expr(f"CAST(power({ARITY}, least(t, {BLOCK_LEVEL})) AS BIGINT)")))
     way = way.join(over.select(F.col("lev").alias("t"), F.col("slot").alias("at"), "before", "after"), ["t", "at"])
-    blocks = F.explode(F.sequence(F.lit(0).cast("long"), blocks_of(F.col("n")) - 1)).alias("slot")
-    way = way.select("k", (depth_of(F.col("n")) + F.col("t")).alias("lev"), blocks, "before", "after")
-    high = keep(trees.filter(F.col("lev") >= BLOCK_LEVEL).select(*nodes).unionByName(way.select(*nodes)), "merkle-high")
+    way = way.select("k", (depth_of(F.col("n")) + F.col("t")).alias("lev"), F.explode(F.sequence(F.lit(0).cast("long"), blocks_of(F.col("n")) - 1)).alias("slot"), "before", "after")
     top = root.select("digest").first()
-    ends = keep(subroots.select("k", blocks, F.col("digest").alias("subroot"), F.lit(top and bytes(top[0])).cast("binary").alias("root"), depth_of(F.col("n")).alias("own")), "merkle-ends")
-    start = leaves.select("k", F.lit(0).alias("lev"), F.least(depth_of(F.col("n")), F.lit(BLOCK_LEVEL)).alias("stop"), F.col("i").alias("slot"), "doc_id", "leaf", F.col("tampered").alias("folded"), F.lit(b"").alias("proof"))
-    half = climbed(start, low)
-    half = half.join(ends.select("k", "slot", (F.col("own") + tops).alias("stop")), ["k", "slot"])
-    done = climbed(half.select("k", "lev", "stop", "slot", "doc_id", "leaf", "folded", "proof"), high)
-    return done.join(ends, ["k", "slot"]).select("doc_id", "leaf", "subroot", "root", "proof", F.col("folded").alias("folded_root"))
+    blocks = F.explode(F.sequence(F.lit(0).cast("long"), blocks_of(F.col("n")) - 1)).alias("block")
+    ends = keep(subroots.select("k", blocks, F.col("digest").alias("subroot"), F.lit(top and bytes(top[0])).cast("binary").alias("root")), "merkle-ends")
+    own, height = F.least(depth_of(F.col("n")), F.lit(BLOCK_LEVEL)), depth_of(F.col("n")) + tops
+    heights = leaves.select("k", "i", "n")
+    rows, done = [], leaves.select("k", "i", "n", F.col("tampered").alias("folded"))
+    wide = min(WIDE_LEVELS, BLOCK_LEVEL)
+    for low, high in ((0, wide), (wide, BLOCK_LEVEL), (BLOCK_LEVEL, None)):
+        if low == high:
+            continue
+        if high is None:
+            stop, there = height, trees.filter(F.col("lev") >= BLOCK_LEVEL).select(*nodes).unionByName(way.select(*nodes))
+        else:
+            stop, there = F.least(own, F.lit(high)), trees.filter(F.col("lev").between(low, high - 1)).select(*nodes)
+        start = done.select("k", "i", F.least(own, F.lit(low)).alias("lev"), stop.alias("stop"), "folded")
+        rows.append(climbed(start, keep(there, "merkle-nodes")))
+        done = rows[-1].filter("folded IS NOT NULL").select("k", "i", "folded").join(heights, ["k", "i"])
+    block = F.floor(F.col("i") / ARITY**BLOCK_LEVEL).alias("block")
+    about = leaves.select("k", "i", "doc_id", "leaf", block).join(ends, ["k", "block"]).select("k", "i", "doc_id", "leaf", "subroot", "root")
+    steps = [r.select("k", "i", "lev", "siblings", (F.col("folded") if r is rows[-1] else F.lit(None).cast("binary")).alias("folded")).filter("siblings IS NOT NULL OR folded IS NOT NULL") for r in rows]
+    met = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [about, *steps]).groupBy("k", "i")
+    path = F.array_sort(F.collect_list(F.when(F.col("siblings").isNotNull(), F.struct("lev", "siblings"))))
+    made = met.agg(*[F.max(c).alias(c) for c in ("doc_id", "leaf", "subroot", "root")], F.max("folded").alias("folded_root"), path.alias("path"))
+    return made.select("doc_id", "leaf", "subroot", "root", F.aggregate("path", F.lit(b""), lambda a, x: F.concat(a, x["siblings"])).alias("proof"), "folded_root")
 
 
 def verified(made: DataFrame) -> DataFrame:
