@@ -8,10 +8,10 @@ The running sum is taken over a histogram of keys (256 buckets per octave, so th
 bucket holds more than a thousandth of a source whatever the weights) and then sorted row
 by row within the one bucket of each source where the budget ends.
 
-Rows that are alike in doc_id and text are told apart by their place in the input, so that
-their keys spread too: a source made of copies, or without ids, meets its target like any
-other. Their places are fixed when the keys are written, once; reruns over the same files
-and splits agree.
+Rows that are equal (in doc_id, text, source and what else is passed on) are numbered from 0,
+and the number is part of the key, so that a source made of copies, or without ids, meets
+its target like any other. Which of them gets which number does not show in the result:
+reruns agree however the table is cut into files and tasks.
 
 Defined results: a null source is one source, ordered last; a null or empty text has
 size 0; repeated rows and null ids are rows of their own; a source without words has
@@ -33,6 +33,31 @@ WEIGHTS = (1, 2, 3)
 BUCKETS_PER_OCTAVE = 256
 
 
+def _rest(docs: DataFrame, columns: tuple[str, ...]) -> Column:
+    """A hash of columns; of types that Spark does not hash, their JSON."""
+    plain = lambda c: F.to_json(F.struct(c)) if "map<" in docs.schema[c].dataType.simpleString() or "variant" in docs.schema[c].dataType.simpleString() else F.col(c)
+    return F.xxhash64(*map(plain, columns)) if columns else F.lit(0).cast("long")
+
+
+def numbered(d: DataFrame) -> DataFrame:
+    """d (written rows with __item, __source, __rest and __place) with __nth, which counts equal rows from 0.
+
+    Equal rows of one task are counted in a window, those of the tasks before by prefix sums over a row for each task; so a
+    row that a third of the table repeats is spread as the table is, and the numbers given to equal rows are the same for
+    any layout of the table.
+    """
+    group = F.md5(F.concat("__item", F.lit("|"), F.coalesce(F.concat(F.lit("s"), "__source"), F.lit("")), F.lit("|"), F.col("__rest").cast("string")))
+    d = d.withColumns({"__group": group, "__part": F.shiftright("__place", 33)})
+    each = keep(d.groupBy("__group", "__part").count(), "mix-counts")
+    again = keep(each.groupBy("__group").agg(F.sum("count").alias("n")).filter("n > 1").select("__group"), "mix-again")
+    earlier = Window.partitionBy("__group").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = each.join(again, "__group").select("__group", "__part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__group", "__part").orderBy("__place")) - 1
+    many = d.join(before, ["__group", "__part"]).withColumn("__nth", F.col("__before") + within).drop("__before")
+    once = d.join(again, "__group", "left_anti").withColumn("__nth", F.lit(0).cast("long"))
+    return once.unionByName(many).drop("__group", "__part")
+
+
 def sized(docs: DataFrame, *passed: str) -> DataFrame:
     """A written table of size, key and bucket of each row, beside its source, doc_id and the columns in passed."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -40,17 +65,14 @@ def sized(docs: DataFrame, *passed: str) -> DataFrame:
     item = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(text))
     d = docs.select(
         *passed, F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.size(words(F.col("text"))).cast("long").alias("__size"),
-        symbols.alias("__symbols"), item.alias("__item"), F.monotonically_increasing_id().alias("__place"),
+        symbols.alias("__symbols"), item.alias("__item"), _rest(docs, passed).alias("__rest"), F.monotonically_increasing_id().alias("__place"),
     )
-    d = keep(d, "mix-items")
-    again = keep(d.groupBy("__item").count().filter("count > 1").select(F.col("__item").alias("__again")), "mix-again")
-    # a left join whose right side has a row per item: Spark may split a hot item's rows, or broadcast few items
-    d = d.join(again, F.col("__item") == F.col("__again"), "left")
-    place = F.when(F.col("__again").isNotNull(), F.concat(F.lit(":"), F.col("__place").cast("string"))).otherwise("")
-    u = (F.conv(F.substring(F.md5(F.concat("__item", F.lit(":mix"), place)), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+    d = numbered(keep(d, "mix-items"))
+    nth = F.when(F.col("__nth") > 0, F.concat(F.lit(":"), F.col("__nth").cast("string"))).otherwise("")
+    u = (F.conv(F.substring(F.md5(F.concat("__item", F.lit(":mix"), nth)), 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
     weight = 1 / (1 + F.col("__symbols") / F.greatest(F.col("__size"), F.lit(1)))
     d = d.withColumn("__key", -F.log(u) / weight)
-    return d.withColumn("__bucket", F.floor(F.log2("__key") * BUCKETS_PER_OCTAVE)).drop("__symbols", "__item", "__again")
+    return d.withColumn("__bucket", F.floor(F.log2("__key") * BUCKETS_PER_OCTAVE)).drop("__symbols", "__item", "__place")
 
 
 def budgets(d: DataFrame) -> DataFrame:
@@ -73,7 +95,7 @@ def budgets(d: DataFrame) -> DataFrame:
 
 
 def _order() -> Column:
-    return F.struct("__key", "__id", "__size", "__place")
+    return F.struct("__key", "__id", "__size", "__rest", "__nth")
 
 
 def cutoffs(d: DataFrame, plan: DataFrame) -> DataFrame:
@@ -84,8 +106,8 @@ def cutoffs(d: DataFrame, plan: DataFrame) -> DataFrame:
     edge = hist.join(plan.select(F.col("__source").alias("s"), "rest"), F.col("__source").eqNullSafe(F.col("s")))
     edge = edge.filter((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("n") <= F.col("rest")))
     edge = edge.select(F.col("s"), F.col("__bucket").alias("edge"), (F.col("upto") - F.col("n")).alias("base"), "rest")
-    rows = d.select("__source", "__bucket", "__key", "__id", "__size", "__place").join(edge, F.col("__source").eqNullSafe(F.col("s")) & (F.col("__bucket") == F.col("edge")))
-    inside = Window.partitionBy("s").orderBy("__key", "__id", "__size", "__place").rowsBetween(Window.unboundedPreceding, 0)
+    rows = d.select("__source", "__bucket", "__key", "__id", "__size", "__rest", "__nth").join(edge, F.col("__source").eqNullSafe(F.col("s")) & (F.col("__bucket") == F.col("edge")))
+    inside = Window.partitionBy("s").orderBy("__key", "__id", "__size", "__rest", "__nth").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("before", F.col("base") + F.sum("__size").over(inside) - F.col("__size"))
     first = rows.groupBy("s", "edge").agg(F.min(F.when(F.col("before") + F.col("__size") / 2 > F.col("rest"), _order())).alias("first_out"))
     return plan.join(first, plan["__source"].eqNullSafe(first["s"]), "left").drop("s", "rest")
@@ -96,7 +118,7 @@ def copies(d: DataFrame, cut: DataFrame) -> DataFrame:
     cut = cut.withColumnRenamed("__source", "s")
     j = d.join(cut, F.col("__source").eqNullSafe(F.col("s")), "left").drop("s")
     more = (F.col("__bucket") < F.col("edge")) | ((F.col("__bucket") == F.col("edge")) & (F.col("first_out").isNull() | (_order() < F.col("first_out"))))
-    return j.withColumn("times", F.col("epochs") + F.coalesce(more, F.lit(False)).cast("long")).drop("epochs", "edge", "first_out", "__bucket", "__key", "__place")
+    return j.withColumn("times", F.col("epochs") + F.coalesce(more, F.lit(False)).cast("long")).drop("epochs", "edge", "first_out", "__bucket", "__key", "__rest", "__nth")
 
 
 def mix_plan(docs: DataFrame) -> DataFrame:

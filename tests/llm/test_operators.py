@@ -227,6 +227,19 @@ def test_mixing_reaches_targets(spark):
     assert {r.source: r.n for r in mixed} == {s: n for s, n in taken.items() if n}
 
 
+def test_mixing_does_not_depend_on_the_layout(spark):
+    """Equal rows, rows equal but for a source or a further column: the same result from one file, three files, and any order."""
+    rows = [(i, f"some words of text {i} " * (1 + i % 5), f"s{i % 3}", lang, {"k": lang}) for i in range(150) for lang in ("en", "en", "de")] + [(7, "one text", f"s{i % 3}", "en", None) for i in range(60)] + [(None, None, None, None, None)] * 3
+    schema = "doc_id long, text string, source string, lang string, extra map<string,string>"
+    results = []
+    for n, order in ((1, rows), (3, rows), (7, rows[::-1])):
+        path = scratch_path(spark, "mix-layout")
+        spark.createDataFrame(order, schema).repartition(n).write.parquet(path)
+        d = spark.read.parquet(path)
+        results.append((sorted(map(str, mixing.mix_plan(d).collect())), sorted(map(str, mixing.mix(d).collect()))))
+    assert results[0] == results[1] == results[2]
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(40, 16))
