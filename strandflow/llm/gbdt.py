@@ -49,7 +49,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: flo
     if n == 0 or y.min() == y.max():
         return Trees(base, feature[:0], threshold[:0], leaf[:0])
     edges = [_edges(x[:, j], bins) for j in range(x.shape[1])]
-    codes = np.stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)], axis=1)
+    codes = [np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(edges)]  # each feature's in one piece of memory
     margin = np.full(n, base)
     for k in range(trees):
         p = 1 / (1 + np.exp(-margin))
@@ -62,7 +62,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: flo
                 if not len(e):
                     continue
                 width = len(e) + 1
-                cell = (node - first) * width + codes[:, j]
+                cell = (node - first) * width + codes[j]
                 gs = np.bincount(cell, g, many * width).reshape(many, width).cumsum(axis=1)
                 hs = np.bincount(cell, h, many * width).reshape(many, width).cumsum(axis=1)
                 gl, hl, gt, ht = gs[:, :-1], hs[:, :-1], gs[:, -1:], hs[:, -1:]
