@@ -1,40 +1,26 @@
 """Interval algebra over (grp, s, e), half-open: runs, merge, overlap, intersect, subtract, as-of.
 
-No step puts a whole group into one task. Ordered steps work on stretches of CHUNK positions;
-what earlier stretches pass on (the largest end, the number of runs) travels through a table
-of one row per stretch. Rows without grp, s or e are left out.
+No step puts a whole group into one task. Ordered steps work on ranges of about equal numbers of rows (ranges.by_rows);
+what earlier ranges pass on (the largest end, the number of runs, what is open) travels through a table of one row for
+each group and range. Rows without grp, s or e are left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import kept
+from . import ranges
 
-#: Positions of a stretch, as a power of two.
-CHUNK = 16
 #: Powers of two of the widths of bins: an interval belongs to the first level as wide as itself.
 LEVELS = tuple(range(6, 61, 3))
 
 
-def _stretch(at: Column) -> Column:
-    return F.shiftright(at.cast("long"), CHUNK)
-
-
-def _passed_on(df: DataFrame, value: Column, fold, name: str) -> DataFrame:
-    """grp, stretch and fold (max or sum) of value over all earlier stretches of the group; one row per stretch."""
-    each = df.groupBy("grp", "stretch").agg(fold(value).alias("v"))
-    before = Window.partitionBy("grp").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    return each.select("grp", "stretch", fold("v").over(before).alias(name))
-
-
 def top_before(df: DataFrame) -> DataFrame:
-    """Adds stretch, and top: the largest end of the intervals before this one in the order of (s, e); null if there is none."""
-    d = df.filter("grp IS NOT NULL AND s IS NOT NULL AND e IS NOT NULL").withColumn("stretch", _stretch(F.col("s")))
-    before = Window.partitionBy("grp", "stretch").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.join(_passed_on(d, F.col("e"), F.max, "earlier"), ["grp", "stretch"])
-    return d.withColumn("top", F.greatest("earlier", F.max("e").over(before))).drop("earlier")
+    """A written table with part and tie, and top: the largest end of the intervals before this one in the order of (s, e); null if there is none."""
+    d = ranges.by_rows(df.filter("grp IS NOT NULL AND s IS NOT NULL AND e IS NOT NULL"), "s", "e")
+    d = ranges.passed_on(d, earlier=(F.max, F.max, F.col("e")))
+    return d.withColumn("top", F.greatest("earlier", F.max("e").over(ranges.before("s", "e")))).drop("earlier")
 
 
 def runs(df: DataFrame, touching_joins: bool) -> DataFrame:
@@ -42,10 +28,9 @@ def runs(df: DataFrame, touching_joins: bool) -> DataFrame:
     d = top_before(df)
     new = F.col("s") > F.col("top") if touching_joins else F.col("s") >= F.col("top")
     d = d.withColumn("new", F.coalesce(new, F.lit(True)).cast("int"))
-    upto = Window.partitionBy("grp", "stretch").orderBy("s", "e").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("run", F.sum("new").over(upto))
-    d = d.join(_passed_on(d, F.col("new"), F.sum, "earlier"), ["grp", "stretch"])
-    return d.withColumn("run", F.col("run") + F.coalesce("earlier", F.lit(0))).drop("stretch", "top", "new", "earlier")
+    d = d.withColumn("run", F.sum("new").over(ranges.upto("s", "e")))
+    d = ranges.passed_on(d, earlier=(F.sum, F.sum, F.col("new")))
+    return d.withColumn("run", F.col("run") + F.coalesce("earlier", F.lit(0))).drop("part", "tie", "top", "new", "earlier")
 
 
 def merge(df: DataFrame, touching_joins: bool = True) -> DataFrame:
@@ -95,25 +80,22 @@ def overlap_join(a: DataFrame, b: DataFrame) -> DataFrame:
     return j.drop("bin", "level", "a_level", "b_level").withColumn("overlap", F.least("ae", "be") - F.greatest("as", "bs"))
 
 
-def pieces(df: DataFrame) -> DataFrame:
-    """Intervals cut at the bounds of stretches: df with stretch, s and e of each piece, and from, the start of the whole."""
-    d = df.filter("grp IS NOT NULL AND s < e").withColumn("stretch", F.explode(F.sequence(_stretch(F.col("s")), _stretch(F.col("e") - 1))))
-    first, wide = F.shiftleft(F.col("stretch"), CHUNK), 1 << CHUNK
-    return d.withColumn("from", F.col("s")).withColumns({"s": F.greatest("s", first), "e": F.least(F.col("e"), first + wide)})
-
-
 def _swept(a: DataFrame, b: DataFrame, keep: str) -> DataFrame:
-    """Where a sweep over both unions, stretch by stretch, finds keep (over in_a and in_b) to hold."""
+    """Where keep holds of in_a and in_b, the numbers of intervals of both that cover a place: one sweep over all starts and ends."""
 
     def ends(d: DataFrame, x: int, y: int) -> DataFrame:
-        d = pieces(kept(merge(d.select("grp", "s", "e"))))
-        both = F.array(*[F.struct(F.col(at).alias("at"), F.lit(sign * x).alias("da"), F.lit(sign * y).alias("db")) for at, sign in (("s", 1), ("e", -1))])
-        return d.select("grp", "stretch", F.inline(both))
+        both = F.array(*[F.struct(F.col(at).cast("long").alias("at"), F.lit(sign * x).alias("da"), F.lit(sign * y).alias("db")) for at, sign in (("s", 1), ("e", -1))])
+        return d.filter("grp IS NOT NULL AND s < e").select("grp", F.inline(both))
 
-    points = ends(a, 1, 0).unionByName(ends(b, 0, 1)).groupBy("grp", "stretch", "at").agg(F.sum("da").alias("da"), F.sum("db").alias("db"))
-    w = Window.partitionBy("grp", "stretch").orderBy("at")
-    swept = points.select("grp", F.col("at").alias("s"), F.lead("at").over(w).alias("e"), F.sum("da").over(w).alias("in_a"), F.sum("db").over(w).alias("in_b"))
-    return merge(swept.filter(keep).filter("e > s").select("grp", "s", "e")).drop("n")
+    points = ends(a, 1, 0).unionByName(ends(b, 0, 1)).groupBy("grp", "at").agg(F.sum("da").alias("da"), F.sum("db").alias("db"))
+    d = ranges.by_rows(points.filter("da <> 0 OR db <> 0"), "at")
+    d = ranges.passed_on(d, in_a=(F.sum, F.sum, F.col("da")), in_b=(F.sum, F.sum, F.col("db")))
+    d = d.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("in_a", "in_b")}).withColumn("was", F.expr(keep))
+    d = d.withColumns({"in_a": F.col("in_a") + F.sum("da").over(ranges.upto("at")), "in_b": F.col("in_b") + F.sum("db").over(ranges.upto("at"))}).withColumn("holds", F.expr(keep))
+    d = d.withColumn("was", F.coalesce(F.lag("holds").over(ranges.inside("at")), "was")).filter("holds <> was").select("grp", "part", "tie", "at", "holds")
+    d = ranges.passed_on(d, later=True, following=(F.min, F.min, F.col("at")))
+    d = d.withColumn("e", F.coalesce(F.lead("at").over(ranges.inside("at")), "following"))
+    return d.filter("holds").select("grp", F.col("at").alias("s"), "e")
 
 
 def intersect(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -140,14 +122,11 @@ def padded(df: DataFrame, by: int) -> DataFrame:
 def containing(points: DataFrame, spans: DataFrame) -> DataFrame:
     """points (grp, at, ...) with the start of the interval of spans (disjoint) that holds them, else null; as-of, without a range join."""
     names = [c for c in points.columns if c not in ("grp", "at")]
-    span = F.struct(F.col("from").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
-    left = pieces(spans.select("grp", "s", "e")).select("grp", "stretch", F.col("s").alias("at"), F.lit(0).alias("side"), span.alias("span"), *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in names])
-    right = points.select("grp", _stretch(F.col("at")).alias("stretch"), "at", F.lit(1).alias("side"), F.lit(None).cast("struct<s:bigint,e:bigint>").alias("span"), *names)
-    w = Window.partitionBy("grp", "stretch").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
-    j = left.unionByName(right).withColumn("span", F.last("span", ignorenulls=True).over(w))
-    return j.filter("side = 1").withColumn("phase", F.when(F.col("at") < F.col("span.e"), F.col("span.s"))).drop("side", "span", "stretch")
-
-
-def split_blocks(blocks: DataFrame, holes: DataFrame) -> DataFrame:
-    """What is left of each block around the holes that start inside it, pieces in order."""
-    return subtract(blocks, holes)
+    span = F.struct(F.col("s").cast("long").alias("s"), F.col("e").cast("long").alias("e"))
+    left = spans.filter("grp IS NOT NULL AND s < e").select("grp", F.col("s").cast("long").alias("at"), F.lit(0).alias("side"), span.alias("span"), *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in names])
+    right = points.select("grp", F.col("at").cast("long").alias("at"), F.lit(1).alias("side"), F.lit(None).cast("struct<s:bigint,e:bigint>").alias("span"), *names)
+    d = ranges.by_rows(left.unionByName(right), "at", "side")
+    known = lambda x: F.last(x, ignorenulls=True)
+    d = ranges.passed_on(d, earlier=(lambda x: F.max_by(x, F.when(x.isNotNull(), F.col("at"))), known, F.col("span")))
+    d = d.withColumn("span", F.coalesce(known("span").over(ranges.upto("at", "side")), "earlier")).filter("side = 1")
+    return d.withColumn("phase", F.when(F.col("at") < F.col("span.e"), F.col("span.s"))).drop("side", "span", "part", "tie", "earlier")
