@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,11 +124,34 @@ def samples(vcf: DataFrame, names: list[str], tumor: str, normal: str | None = N
     return vcf.withColumn("tumor", pick(tumor)).withColumn("normal", pick(normal))
 
 
-def flag(df: DataFrame, steps: list[tuple[str, str]], column: str = "filter") -> DataFrame:
-    """Appends each tag whose SQL expression holds, PASS giving way to it; records without tags end as PASS."""
+#: A step of a chain: tag, what it is set on, and that as text; parameters in braces are replaced.
+Step = tuple[str, Callable[[dict], Column], str]
+
+# Tags and thresholds of the chain for whole genomes; min_qual is a parameter.
+WHOLE_GENOME: list[Step] = [
+    ("insignificant", lambda p: ((number("info", "PV") > 0.25) & (number("info", "PV2") > 0.25)) | (F.map_contains_key("info", F.lit("STR")) & (number("info", "PV") > 0.05)), "(PV>0.25 && PV2>0.25) || (INFO/STR == 1 && PV>0.05)"),
+    ("orientation_bias", lambda p: number("tumor", "FOXOG") == 1, "FMT/FOXOG[0] == 1"),
+    ("strand_bias", lambda p: number("info", "SOR") > 3, "SOR > 3"),
+    ("low_qual", lambda p: F.col("qual") < p["min_qual"], "QUAL < {min_qual}"),
+    ("short_tandem_repeat", lambda p: F.get(numbers("info", "RPA"), F.lit(0)) >= 10, "RPA[0]>=10"),
+    ("noisy_region", lambda p: number("info", "ECNT") > 5, "ECNT>5"),
+    ("read_pos_bias", lambda p: number("tumor", "ReadPosRankSumPS") < -8, "FMT/ReadPosRankSumPS[0] < -8"),
+]
+#: Parameters of chains where none are given.
+CHAIN_PARAMS = {"min_qual": 200}
+
+
+def steps(chain: list[Step], **params: float) -> list[tuple[str, Column, str]]:
+    """A chain with its parameters filled in."""
+    values = CHAIN_PARAMS | params
+    return [(name, condition(values), about.format(**values)) for name, condition, about in chain]
+
+
+def flag(df: DataFrame, steps: list[tuple[str, str | Column]], column: str = "filter") -> DataFrame:
+    """Appends each tag whose condition (a column or an SQL expression) holds, PASS giving way to it; records without tags end as PASS."""
     out = F.array_except(F.coalesce(F.col(column), F.array().cast("array<string>")), F.array(F.lit("PASS")))
-    for name, expression in steps:
-        out = F.when(F.coalesce(F.expr(expression), F.lit(False)), F.array_union(out, F.array(F.lit(name)))).otherwise(out)
+    found = [F.when(F.coalesce(F.expr(x) if isinstance(x, str) else x, F.lit(False)), F.lit(name)) for name, x in steps]
+    out = F.array_union(out, F.array_compact(F.array(*found))) if found else out
     return df.withColumn(column, out).withColumn(column, F.when(F.size(column) == 0, F.array(F.lit("PASS"))).otherwise(F.col(column)))
 
 

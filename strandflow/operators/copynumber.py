@@ -50,11 +50,6 @@ def call_gate(cn: Column, size: Column, inside: Column, least: int, neutral: int
     return (cn != neutral) & (size >= least) & inside
 
 
-def reward_gate(truth_size: Column, call_size: Column, truth_any: Column, call_any: Column, least: int) -> Column:
-    """Whether a matched pair counts: one of both is large enough, and one touches the regions."""
-    return ((truth_size >= least) | (call_size >= least)) & (truth_any | call_any)
-
-
 def components(truth: DataFrame, call: DataFrame) -> DataFrame:
     """Both sides (grp, s, e, id, cn, size, tp) with side and component, a text of group and bounds; events that only touch stay apart."""
     cols = ["grp", "s", "e", "id", "cn", "size", "tp"]
@@ -80,11 +75,6 @@ def call_events(members: DataFrame, inside: DataFrame | None = None, least: int
     return g.filter(F.col("tp") | ((F.col("size") >= least) & F.col("all_in"))).select("grp", "component", "cn", "size", "truth_size", "tp")
 
 
-def annotated(members: DataFrame) -> DataFrame:
-    """Adds verdict to each event: TP, and FP for a call or FN for a true event that is none."""
-    return members.withColumn("verdict", F.when(F.col("tp"), "TP").when(F.col("side") == "call", "FP").otherwise("FN"))
-
-
 def true_events(vcf: DataFrame) -> DataFrame:
     """grp, s, e, id, diff, size, period, distance, filter of a truth set's records (read_vcf's columns and record, its number)."""
     info = lambda k, t: F.try_element_at(F.col("info"), F.lit(k)).try_cast(t)

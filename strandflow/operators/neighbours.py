@@ -170,7 +170,8 @@ def share_codon(ignore_indels: bool = False) -> Rule:
     """A rule for merge_neighbours with extra "codons array<string>"; indels (any allele longer than a base) may be left out."""
 
     def rule(a: dict, b: dict) -> bool:
-        long = any(len(v[x]) > 1 for v in (a, b) for x in ("ref", "alt"))
+        alleles = lambda v: [v["alt"]] if isinstance(v["alt"], str) else v["alt"]
+        long = any(len(x) > 1 for v in (a, b) for x in (v["ref"], *alleles(v)))
         return not (ignore_indels and long) and not set(a["codons"]).isdisjoint(b["codons"])
 
     return rule

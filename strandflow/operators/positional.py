@@ -92,11 +92,6 @@ def fragment_slots(dense: DataFrame, shards: DataFrame, fragment: int = 1_000_00
     return f.select("shard", "grp", F.explode(slots).alias("slot")).join(dense, ["grp", "slot"])
 
 
-def densest(slots: DataFrame, n: int) -> DataFrame:
-    """The n densest of fragment_slots, one at a fragment's bound counted for both, largest first."""
-    return slots.orderBy(F.desc("density"), F.desc("grp"), F.desc("slot")).limit(n)
-
-
 def site_union(records: DataFrame, keys: list[str], sample: str, allele: str) -> DataFrame:
     """A row per place of any sample's records: how many samples have one there, and their alleles."""
     return records.groupBy(*keys).agg(F.count_distinct(sample).alias("samples"), F.array_sort(F.collect_set(allele)).alias("alleles"))
@@ -105,3 +100,21 @@ def site_union(records: DataFrame, keys: list[str], sample: str, allele: str) ->
 def with_ids(sites: DataFrame, known: DataFrame, keys: list[str], name: str) -> DataFrame:
     """sites with id from known ones (keys, name; one row for a place), null where there is none."""
     return sites.join(known.select(*keys, F.col(name).alias("id")), keys, "left")
+
+
+def site_fill(sites: DataFrame, variants: DataFrame, blocks: DataFrame) -> DataFrame:
+    """For every site (grp, s) each sample's own variant there, or the block of it that covers the site: grp, s, sample, source and the record.
+
+    variants (grp, s, sample, ...) and blocks (grp, s, e, sample, ...) share their further columns, as structs in record.
+    Of a sample's variants at a site, and of its blocks over it, the one that starts last, then the greatest record, stands.
+    A sample without a record there has no row: sites meet blocks by an overlap join, not samples.
+    """
+    from .intervals import overlap_join
+
+    more = [c for c in variants.columns if c in blocks.columns and c not in ("grp", "s", "e", "sample")]
+    places = sites.select("grp", "s").distinct()
+    own = variants.join(places, ["grp", "s"], "left_semi").select("grp", "s", "sample", F.lit(1).alias("rank"), F.col("s").alias("from"), F.struct(*more).alias("record"))
+    hit = overlap_join(places.withColumn("e", F.col("s") + 1), blocks.select("grp", "s", "e", "sample", *more))
+    over = hit.select("grp", F.col("as").alias("s"), F.col("b_sample").alias("sample"), F.lit(0).alias("rank"), F.col("bs").alias("from"), F.struct(*[F.col(f"b_{c}").alias(c) for c in more]).alias("record"))
+    best = own.unionByName(over).groupBy("grp", "s", "sample").agg(F.max(F.struct("rank", "from", "record")).alias("x"))
+    return best.select("grp", "s", "sample", F.when(F.col("x.rank") == 1, "variant").otherwise("block").alias("source"), F.col("x.record").alias("record"))

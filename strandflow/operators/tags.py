@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 Rule = tuple[str, tuple[str, ...], Callable[..., Column]]
 
 
-def tags(rules: list[Rule], params: dict[str, float | None]) -> Column:
-    """Sorted tags of the rules that hold; a rule takes part if all its parameters are set, a missing value never tags."""
+def tags(rules: list[Rule], params: dict[str, float | Column | None]) -> Column:
+    """Sorted tags of the rules that hold; a rule takes part if all its parameters are set, a missing value never tags.
+
+    A parameter may be a column: where it is null, its rules take no part.
+    """
     active = sorted((r for r in rules if all(params.get(p) is not None for p in r[1])), key=lambda r: r[0])
-    found = [F.when(F.coalesce(f(*[F.lit(params[p]) for p in needs]), F.lit(False)), F.lit(name)) for name, needs, f in active]
+    found = [F.when(F.coalesce(f(*[params[p] if isinstance(params[p], Column) else F.lit(params[p]) for p in needs]), F.lit(False)), F.lit(name)) for name, needs, f in active]
     return F.array_except(F.array(*found), F.array(F.lit(None).cast("string"))) if found else F.array().cast("array<string>")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..functions import genotypes, somatic
@@ -33,10 +31,32 @@ def somatic_rules(spark, sf):
         "l_returnflag", (F.col("l_extendedprice") / 1000).alias("qual"), info.alias("info"), tumor.alias("tumor"), F.when(n != 1, some(AF=text("l_tax"))).alias("normal"),
         F.array_compact(F.array(F.when(F.col("l_returnflag") == "R", "triallelic_site"), F.when(F.col("l_linestatus") == "F", "old"))).alias("filter"),
     )
-    cases = (somatic.PRESETS | {"none": EVERY}).items()
-    # a pass for each preset: all rules of all presets in one projection make a method too long for the JVM to compile
-    out = [d.select("l_returnflag", F.array_join(tags.merged(F.col("filter"), tags.tags(somatic.RULES, x), x["clear"]), ";").alias("filter")).groupBy("l_returnflag", "filter").agg(F.count("*").alias("n")).withColumn("preset", F.lit(p)) for p, x in cases]
-    return reduce(lambda a, b: a.unionByName(b), out)
+    cases = somatic.PRESETS | {"none": EVERY}
+    needs = sorted({p for _, names, _ in somatic.RULES for p in names})
+    # thresholds as columns: a row is crossed with one struct for each preset, and one set of rules looks at all
+    each = [F.struct(F.lit(name).alias("preset"), F.lit(x["clear"] == "all").alias("clear"), *[F.lit(x.get(p)).cast("double").alias(p) for p in needs]) for name, x in cases.items()]
+    d = d.select("*", F.inline(F.array(*each)))
+    old = F.when(F.col("clear"), F.array().cast("array<string>")).otherwise(F.col("filter"))
+    found = tags.merged(old, tags.tags(somatic.RULES, {p: F.col(p) for p in needs}), ["triallelic_site"])
+    return d.select("l_returnflag", "preset", F.array_join(found, ";").alias("filter")).groupBy("l_returnflag", "preset", "filter").agg(F.count("*").alias("n"))
+
+
+def tag_chain(spark, sf):
+    """Lines tagged by the chain for whole genomes, tags in the order of its steps."""
+    q, n = F.col("l_quantity").cast("int"), F.col("l_linenumber")
+    info = F.create_map(*[x for k, v in {"PV": F.col("l_discount") * 5, "PV2": F.col("l_tax") * 5, "SOR": n, "ECNT": q % 14, "RPA": F.concat_ws(",", q % 12, F.lit(3))}.items() for x in (F.lit(k), v.cast("string"))])
+    info = F.when(F.col("l_returnflag") == "A", F.map_concat(info, F.create_map(F.lit("STR"), F.lit(None).cast("string")))).otherwise(info)
+    tumor = F.create_map(F.lit("FOXOG"), (q % 3 / 2).cast("string"), F.lit("ReadPosRankSumPS"), F.when(n > 1, (-q / 4).cast("string")))
+    old = F.array_compact(F.array(F.when(F.col("l_returnflag") == "R", "triallelic_site"), F.when(F.col("l_linestatus") == "F", "old")))
+    d = somatic.unflag(lines(spark, sf).select("l_linestatus", (F.col("l_extendedprice") / 100).alias("qual"), info.alias("info"), tumor.alias("tumor"), old.alias("filter")), "triallelic_site")
+    d = somatic.flag(d, [(name, x) for name, x, _ in somatic.steps(somatic.WHOLE_GENOME, min_qual=300)])
+    return d.groupBy("l_linestatus", F.array_join("filter", ";").alias("filter")).agg(F.count("*").alias("n"))
+
+
+TAG_CHAIN = """SELECT l_linestatus, coalesce(nullif(array_to_string(list_filter([CASE WHEN l_linestatus = 'F' THEN 'old' END,
+  CASE WHEN (l_discount * 5 > 0.25 AND l_tax * 5 > 0.25) OR (l_returnflag = 'A' AND l_discount * 5 > 0.05) THEN 'insignificant' END, CASE WHEN q % 3 = 2 THEN 'orientation_bias' END, CASE WHEN l_linenumber > 3 THEN 'strand_bias' END,
+  CASE WHEN l_extendedprice / 100 < 300 THEN 'low_qual' END, CASE WHEN q % 12 >= 10 THEN 'short_tandem_repeat' END, CASE WHEN q % 14 > 5 THEN 'noisy_region' END, CASE WHEN l_linenumber > 1 AND q > 32 THEN 'read_pos_bias' END], lambda x: x IS NOT NULL), ';'), ''), 'PASS') AS filter, count(*) AS n
+FROM (SELECT *, l_quantity::INT AS q FROM lineitem) GROUP BY ALL"""
 
 
 def somatic_sql() -> str:
@@ -129,5 +149,5 @@ CODONS_COVERED = f"""WITH {ROWS}, p AS (SELECT id, grp, unnest(CASE WHEN q % 5 =
   c AS (SELECT DISTINCT id, grp || '-' || (place // 3) AS codon FROM p WHERE place % 7 > 0)
 SELECT i.id, coalesce(string_agg(codon, ',' ORDER BY codon), '') AS codons FROM i LEFT JOIN c USING (id) GROUP BY i.id"""
 
-QUERIES = {f.__name__: f for f in (somatic_rules, best_alleles, block_combine, copy_number_events, codons_covered)}
-ORACLES = {"somatic_rules": somatic_sql(), "best_alleles": BEST_ALLELES, "block_combine": BLOCK_COMBINE, "copy_number_events": COPY_NUMBER_EVENTS, "codons_covered": CODONS_COVERED}
+QUERIES = {f.__name__: f for f in (somatic_rules, tag_chain, best_alleles, block_combine, copy_number_events, codons_covered)}
+ORACLES = {"somatic_rules": somatic_sql(), "tag_chain": TAG_CHAIN, "best_alleles": BEST_ALLELES, "block_combine": BLOCK_COMBINE, "copy_number_events": COPY_NUMBER_EVENTS, "codons_covered": CODONS_COVERED}

@@ -132,6 +132,20 @@ SITE_UNION = f"""WITH k AS (SELECT o_custkey % 100 + 1 AS grp, date_diff('day',
 SELECT d.grp, d.s, samples, alleles, k.id FROM d LEFT JOIN k ON k.grp = d.grp AND k.s = d.s"""
 
 
+def site_fill(spark, sf):
+    """Each sample's record at every site of the union: lines of one supplier stand for four samples' variants and blocks."""
+    d = lines(spark, sf).withColumns({"sample": (F.col("l_orderkey") % 4), "id": F.col("l_orderkey") * 8 + F.col("l_linenumber"), "chrom": F.concat_ws(":", "l_suppkey", "l_returnflag")})
+    variants_, blocks_ = d.filter("l_linenumber = 1"), d.filter("l_linenumber > 1")
+    cols = [F.col("chrom").alias("grp"), "s", "sample", "id"]
+    got = positional.site_fill(variants_.select(*cols), variants_.select(*cols), blocks_.select(*cols, "e"))
+    return got.select("grp", "s", "sample", "source", F.col("record.id").alias("id"))
+
+
+SITE_FILL = f"""WITH d AS (SELECT l_suppkey || ':' || l_returnflag AS grp, s, e, l_orderkey % 4 AS sample, l_orderkey * 8 + l_linenumber AS id, l_linenumber = 1 AS own FROM {SPANS}), t AS (SELECT DISTINCT grp, s FROM d WHERE own),
+  j AS (SELECT t.grp, t.s, d.sample, d.own, d.s AS lo, d.id FROM t JOIN d ON d.grp = t.grp AND CASE WHEN own THEN d.s = t.s ELSE d.s <= t.s AND d.e > t.s END)
+SELECT grp, s, sample, CASE WHEN max(own) THEN 'variant' ELSE 'block' END AS source, arg_max(id, (own, lo, id)) AS id FROM j GROUP BY grp, s, sample"""
+
+
 def haplotype_join(spark, sf):
     m = _streams(spark, sf)[1]
     side = lambda v: F.when(v.isNotNull(), F.struct(v["ref"].alias("ref"), F.get(v["alt"], F.lit(0)).alias("alt"), v["gq"].alias("qual")))
@@ -208,5 +222,5 @@ def neighbour_merge(spark, sf):
     return neighbours.merge_neighbours(_neighbours(spark, sf)).select("chrom", "pos", "id", "ref", "alt", "qual", "merged", "members")
 
 
-QUERIES = {f.__name__: f for f in (allele_patch, haplotype_split, haplotype_join, phase_precedence, period_label, strata_count, bin_region_lookup, neighbour_merge, haploid_patches, codon_table, shard_memory, contig_presence, site_union)}
-ORACLES = {"allele_patch": ALLELE_PATCH, "haplotype_split": HAPLOTYPE_SPLIT, "haplotype_join": HAPLOTYPE_JOIN, "phase_precedence": PHASE_PRECEDENCE, "period_label": PERIOD_LABEL, "strata_count": STRATA_COUNT, "bin_region_lookup": BIN_REGION_LOOKUP, "haploid_patches": HAPLOID_PATCHES, "codon_table": CODON_TABLE, "shard_memory": SHARD_MEMORY, "contig_presence": CONTIG_PRESENCE, "site_union": SITE_UNION}
+QUERIES = {f.__name__: f for f in (allele_patch, haplotype_split, haplotype_join, phase_precedence, period_label, strata_count, bin_region_lookup, neighbour_merge, haploid_patches, codon_table, shard_memory, contig_presence, site_union, site_fill)}
+ORACLES = {"allele_patch": ALLELE_PATCH, "haplotype_split": HAPLOTYPE_SPLIT, "haplotype_join": HAPLOTYPE_JOIN, "phase_precedence": PHASE_PRECEDENCE, "period_label": PERIOD_LABEL, "strata_count": STRATA_COUNT, "bin_region_lookup": BIN_REGION_LOOKUP, "haploid_patches": HAPLOID_PATCHES, "codon_table": CODON_TABLE, "shard_memory": SHARD_MEMORY, "contig_presence": CONTIG_PRESENCE, "site_union": SITE_UNION, "site_fill": SITE_FILL}
