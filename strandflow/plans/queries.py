@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import evaluation, intervals, positional, tags
+from ..operators import evaluation, interval_index, intervals, positional, tags
 
 DAY = "date_diff('day', DATE '1970-01-01', l_shipdate::DATE)"
 SPANS = f"(SELECT *, l_suppkey AS grp, {DAY} AS s, {DAY} + floor(l_quantity / 10)::BIGINT + 1 AS e FROM lineitem)"
@@ -51,6 +51,12 @@ def interval_overlap_join(spark, sf):
     return j.groupBy("grp").agg(F.count("*").alias("pairs"), F.sum("overlap").alias("days"))
 
 
+def interval_overlap_small(spark, sf):
+    """The same pairs with the larger side's intervals probing arrays of the few largest ones, without a shuffle of either."""
+    j = interval_index.small_overlap_join(spans(spark, sf, A), spans(spark, sf, f"{R} AND l_quantity > 45"))
+    return j.groupBy("grp").agg(F.count("*").alias("pairs"), F.sum("overlap").alias("days"))
+
+
 def interval_intersect(spark, sf):
     return intervals.intersect(spans(spark, sf, A), spans(spark, sf, R))
 
@@ -191,12 +197,13 @@ def name_list_semi(spark, sf):
     return events.join(names, "user_id", "left_semi").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (interval_merge, interval_components, interval_overlap_join, interval_intersect, interval_subtract, point_in_interval, rule_tag, confusion, confusion_by_size, best_match, positional_merge_4way, precedence_merge, codon_numbering, slot_density, topk_sum, densest_slots, mark_duplicates, name_list_semi)}
+QUERIES = {f.__name__: f for f in (interval_merge, interval_components, interval_overlap_join, interval_overlap_small, interval_intersect, interval_subtract, point_in_interval, rule_tag, confusion, confusion_by_size, best_match, positional_merge_4way, precedence_merge, codon_numbering, slot_density, topk_sum, densest_slots, mark_duplicates, name_list_semi)}
 
 ORACLES = {
     "interval_merge": merged_sql(),
     "interval_components": merged_sql(op=">="),
     "interval_overlap_join": f"SELECT a.grp, count(*) AS pairs, sum(least(a.e, b.e) - greatest(a.s, b.s))::BIGINT AS days FROM {SPANS} a JOIN {SPANS} b ON a.grp = b.grp AND a.s < b.e AND b.s < a.e WHERE a.{A} AND b.{R} GROUP BY a.grp",
+    "interval_overlap_small": f"SELECT a.grp, count(*) AS pairs, sum(least(a.e, b.e) - greatest(a.s, b.s))::BIGINT AS days FROM {SPANS} a JOIN {SPANS} b ON a.grp = b.grp AND a.s < b.e AND b.s < a.e WHERE a.{A} AND b.{R} AND b.l_quantity > 45 GROUP BY a.grp",
     "interval_intersect": islands_sql(f"({days_sql(A)}) INTERSECT ({days_sql(R)})"),
     "interval_subtract": islands_sql(f"({days_sql(A)}) EXCEPT ({days_sql(R)})"),
     "point_in_interval": f"SELECT p.grp, m.s AS phase, count(*) AS points FROM {SPANS} p LEFT JOIN ({merged_sql(R)}) m ON p.grp = m.grp AND p.s >= m.s AND p.s < m.e WHERE p.l_returnflag = 'N' GROUP BY ALL",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluation, intervals, neighbours, positional, variants
 from ..sources import index
-from .queries import DENSITY, SPANS, A, lines, merged_sql, spans
+from .queries import DAY, DENSITY, SPANS, A, lines, merged_sql, spans
 
 ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
@@ -218,9 +218,33 @@ def _neighbours(spark, sf):
 
 
 def neighbour_merge(spark, sf):
-    """An ordered fold, which SQL cannot express: tests hold it against a plain version."""
+    """An ordered fold, inside the islands that variants in reach of each other make."""
     return neighbours.merge_neighbours(_neighbours(spark, sf)).select("chrom", "pos", "id", "ref", "alt", "qual", "merged", "members")
 
 
+def neighbour_merge_sql(reach: int = 5) -> str:
+    """Row by row over each chromosome for the stacks, then member by member over each stack for the chains."""
+    first = "{'done': false, 'pos': v.pos, 'ref': v.ref, 'after': v.after, 'phase': v.phase, 'rns': [v.rn], 'r': v.ref, 'a': v.alt, 'bad': false, 'q': v.qual, 'sv': v.sv}"
+    gap = "(u.pos - c.pos - length(c.ref))"
+    more = f"{{'done': false, 'pos': u.pos, 'ref': u.ref, 'after': u.after, 'phase': u.phase, 'rns': list_append(c.rns, u.rn), 'r': c.r || left(c.after, greatest({gap}, 0)) || u.ref, 'a': c.a || left(c.after, greatest({gap}, 0)) || u.alt, 'bad': c.bad OR {gap} < 0, 'q': c.q + u.qual, 'sv': u.sv}}"
+    same = "{'done': c.done OR far, 'pos': c.pos, 'ref': c.ref, 'after': c.after, 'phase': c.phase, 'rns': c.rns, 'r': c.r, 'a': c.a, 'bad': c.bad, 'q': c.q, 'sv': c.sv}".replace("far", f"u.pos - c.pos > {reach} + length(c.ref) - 1")
+    takes = f"NOT c.done AND u.pos - c.pos <= {reach} + length(c.ref) - 1 AND u.passed AND NOT u.sv AND NOT c.sv AND NOT list_contains(g.merged, u.rn) AND u.phase <> '' AND u.phase = c.phase"
+    chain = f"list_reduce(list_filter(m, lambda x: x.rn > v.rn), lambda c, u: CASE WHEN {takes} THEN {more} ELSE {same} END, {first})"
+    return f"""WITH RECURSIVE r AS (SELECT l_suppkey::VARCHAR AS chrom, ({DAY} * 3 + l_linenumber)::BIGINT AS pos, l_orderkey * 10 + l_linenumber AS id, substr('ACGTAACCGT', q % 5 + 1, q % 2 + 1) AS ref, substr('ACGTAACCGT', q % 7 + 1, q % 3 + 1) AS alt,
+      substr('ACGTAACCGT', q % 4 + 1, 5) AS after, l_extendedprice::DOUBLE AS qual, l_returnflag <> 'R' AS passed, q = 50 AS sv, l_linestatus AS phase FROM (SELECT *, l_quantity::INT AS q FROM lineitem)),
+  o AS (SELECT *, row_number() OVER (PARTITION BY chrom ORDER BY pos, id, ref, alt, qual) AS rn FROM r),
+  f AS (SELECT chrom, 0::BIGINT AS rn, 0 AS stack, false AS held, NULL::BIGINT AS stop FROM (SELECT DISTINCT chrom FROM o)
+    UNION ALL SELECT o.chrom, o.rn, CASE WHEN f.stop IS NOT NULL AND o.pos - f.stop <= {reach} THEN f.stack WHEN o.passed AND NOT o.sv THEN f.stack + 1 ELSE f.stack END, coalesce(o.pos - f.stop <= {reach}, false) OR (o.passed AND NOT o.sv),
+      CASE WHEN coalesce(o.pos - f.stop <= {reach}, false) OR (o.passed AND NOT o.sv) THEN CASE WHEN o.passed THEN o.pos + length(o.ref) - 1 ELSE f.stop END END FROM f JOIN o ON o.chrom = f.chrom AND o.rn = f.rn + 1),
+  s AS (SELECT chrom, stack, list(o ORDER BY o.rn) AS m FROM f JOIN o USING (chrom, rn) WHERE held GROUP BY chrom, stack HAVING count(*) > 1),
+  g AS (SELECT chrom, stack, 0 AS k, []::BIGINT[] AS merged, NULL::STRUCT(rns BIGINT[], r VARCHAR, a VARCHAR, q DOUBLE) AS made FROM s
+    UNION ALL SELECT chrom, stack, k, CASE WHEN good THEN merged || c.rns ELSE merged END, CASE WHEN good THEN {{'rns': c.rns, 'r': c.r, 'a': c.a, 'q': c.q}} END FROM (
+      SELECT *, v.passed AND NOT list_contains(merged, v.rn) AND len(c.rns) > 1 AND NOT c.bad AS good FROM (SELECT g.chrom, g.stack, g.k + 1 AS k, g.merged, v, {chain} AS c FROM (SELECT g.*, m, m[g.k + 1] AS v FROM g JOIN s USING (chrom, stack) WHERE g.k < len(m)) g))),
+  n AS (SELECT o.chrom, o.pos, o.id, made.r AS r, made.a AS a, made.q / len(made.rns) AS qual, len(made.rns) AS members FROM g JOIN o ON o.chrom = g.chrom AND o.rn = made.rns[1] WHERE made IS NOT NULL),
+  t AS (SELECT *, coalesce(list_max(list_filter(range(1, least(length(r), length(a))), lambda i: left(r, i::BIGINT) = left(a, i::BIGINT))), 0)::BIGINT AS c FROM n)
+SELECT chrom, pos, id, ref, alt, qual, (chrom, rn) IN (SELECT (chrom, unnest(made.rns)) FROM g WHERE made IS NOT NULL) AS merged, 1 AS members FROM o
+UNION ALL SELECT chrom, pos + c, id, substr(r, c + 1), substr(a, c + 1), qual, false, members::INT FROM t"""
+
+
 QUERIES = {f.__name__: f for f in (allele_patch, haplotype_split, haplotype_join, phase_precedence, period_label, strata_count, bin_region_lookup, neighbour_merge, haploid_patches, codon_table, shard_memory, contig_presence, site_union, site_fill)}
-ORACLES = {"allele_patch": ALLELE_PATCH, "haplotype_split": HAPLOTYPE_SPLIT, "haplotype_join": HAPLOTYPE_JOIN, "phase_precedence": PHASE_PRECEDENCE, "period_label": PERIOD_LABEL, "strata_count": STRATA_COUNT, "bin_region_lookup": BIN_REGION_LOOKUP, "haploid_patches": HAPLOID_PATCHES, "codon_table": CODON_TABLE, "shard_memory": SHARD_MEMORY, "contig_presence": CONTIG_PRESENCE, "site_union": SITE_UNION, "site_fill": SITE_FILL}
+ORACLES = {"allele_patch": ALLELE_PATCH, "haplotype_split": HAPLOTYPE_SPLIT, "haplotype_join": HAPLOTYPE_JOIN, "phase_precedence": PHASE_PRECEDENCE, "period_label": PERIOD_LABEL, "strata_count": STRATA_COUNT, "bin_region_lookup": BIN_REGION_LOOKUP, "haploid_patches": HAPLOID_PATCHES, "codon_table": CODON_TABLE, "shard_memory": SHARD_MEMORY, "contig_presence": CONTIG_PRESENCE, "site_union": SITE_UNION, "site_fill": SITE_FILL, "neighbour_merge": neighbour_merge_sql()}

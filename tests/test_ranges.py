@@ -96,3 +96,18 @@ def test_depth_summary(spark):
         d = sorted(in_a.get((g, x), 0) for x in range(s, e))
         want = (len(d), sum(d) / len(d), d[(len(d) + 1) // 2 - 1], sum(x >= 2 for x in d) / len(d)) if d else (0, None, None, None)
         assert got[n] == pytest.approx(want), n
+
+
+def test_small_side_as_arrays(spark):
+    from strandflow.operators import interval_index
+
+    a, b = made(21, 300, "aabc") + [("a", -5, 500)], made(22, 120, "abd") + [("a", 0, 390), (None, 1, 2), ("a", None, 3)]
+    x = spark.createDataFrame([(*r, i) for i, r in enumerate(a)], SCHEMA + ", id int").repartition(3)
+    y = spark.createDataFrame([(*r, f"n{i}") for i, r in enumerate(b)], SCHEMA + ", name string")
+    small, large = interval_index.small_overlap_join(x, y), interval_index.small_overlap_join(x, y, most_rows=5)
+    rows = lambda d: sorted((r["grp"], r["as"], r["ae"], r["a_id"], r["bs"], r["be"], r["b_name"], r["overlap"]) for r in d.collect())
+    assert sorted(small.columns) == sorted(large.columns) and rows(small) == rows(large) and len(rows(small)) > 500
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    only = interval_index.small_overlap_join(spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").selectExpr("'a' AS grp", "l_orderkey AS s", "l_orderkey + 3 AS e"), y)
+    assert "Exchange" not in plan(only) and "MapInArrow" in plan(only)
+    assert interval_index.small_overlap_join(x, y.limit(0)).count() == 0 == interval_index.small_overlap_join(x.limit(0), y).count()
