@@ -357,6 +357,25 @@ def test_suffix_dedup_repeated_rows(spark, small):
     assert sorted((-1 if r.doc_id is None else r.doc_id, tuple(r)[1:]) for r in got) == sorted((-1 if i is None else i, want[-1 if i is None else i]) for i, _ in rows)
 
 
+def test_suffix_dedup_of_strings_that_agree_modulo_a_power_of_two(spark):
+    """Two strings that a polynomial modulo 2 ** 64 cannot tell apart, between equal passages: their own bytes stay."""
+    one, two = "jiihihjhhlkmjlhhhhhh", "hhhlhmhhjhhhhhnihlij"
+    side = lambda n, k: " ".join(f"w{n}x{k}y{i}" for i in range(60))[:400]
+    rows = [(2 * n + k, side(n, "a") + x + side(n, "b")) for n in range(12) for k, x in enumerate((one, two))]
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute.repeated_bytes(rows) and got[1][1:3] == (800, 2)
+
+
+def test_anchors_do_not_depend_on_the_pieces(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = bytes(rng.integers(97, 100, 5000, dtype=np.uint8)) + b"a" * 700 + b"abc" * 300 + bytes(rng.integers(0, 255, 1500, dtype=np.uint8))
+    key = suffix_dedup.drawn_key()
+    whole = suffix_dedup.anchors(text, key)
+    for piece in (100, 137, 1000, 4999):
+        monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+        assert all((a == b).all() for a, b in zip(whole, suffix_dedup.anchors(text, key)))
+
+
 def packed_right(docs, pieces):
     """Every id of docs (id, text), by the vocabulary file's own library, in one piece; sequences without gaps or overflow."""
     from tokenizers import Tokenizer
