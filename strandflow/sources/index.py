@@ -90,27 +90,40 @@ def contig_density(dense: DataFrame, headers: DataFrame) -> tuple[DataFrame, Dat
     return named.groupBy("grp", "slot").agg(F.sum("density").alias("density")), contigs
 
 
+def _encoded(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """One contig's part of an index: bins by number, chunks by start, then the linear index (0 for slots without a row)."""
+    chunks = pdf[pdf["bin"].notna()].sort_values(["bin", "s", "e"])
+    bins = {int(n): x[["s", "e"]].to_numpy() for n, x in chunks.groupby("bin", sort=True)}
+    linear = pdf[pdf["bin"].isna()]
+    slots_ = dict(zip(linear["s"], linear["e"]))
+    n = max(slots_, default=-1) + 1
+    out = [struct.pack("<I", len(bins))]
+    for number, ends in bins.items():
+        out += [struct.pack("<II", number, len(ends)), ends.astype("<u8").tobytes()]
+    out += [struct.pack("<I", n), *(struct.pack("<Q", int(slots_.get(i, 0))) for i in range(n))]
+    return pd.DataFrame({"tid": [key[0]], "data": [b"".join(out)]})
+
+
 def write_bai(index: DataFrame, path: str) -> None:
-    """One alignment index file from rows of read_bai (of one path): bins by number, chunks by start, then the linear index (0 for slots without a row).
+    """One alignment index file, on any Hadoop file system, from rows of read_bai (of one path).
 
-    An index is a summary that any reader loads whole, so it is put together in one place.
+    Contigs are encoded by tasks; the driver takes their parts in order and writes one after the other. A contig's part
+    is bounded by the bins and slots of its length.
     """
-    rows = index.orderBy("tid", F.col("bin").asc_nulls_last(), "s").select("tid", "bin", "s", "e").collect()
-    refs: dict[int, tuple[dict, list]] = {}
-    for tid, number, s, e in rows:
-        bins, linear = refs.setdefault(tid, ({}, []))
-        linear.append((s, e)) if number is None else bins.setdefault(number, []).append((s, e))
-    out = [b"BAI\1", struct.pack("<I", max(refs, default=-1) + 1)]
-    for tid in range(max(refs, default=-1) + 1):
-        bins, linear = refs.get(tid, ({}, []))
-        out.append(struct.pack("<I", len(bins)))
-        for number, chunks in sorted(bins.items()):
-            out += [struct.pack("<II", number, len(chunks)), *(struct.pack("<QQ", *c) for c in chunks)]
-        slots_ = dict(linear)
-        n = max(slots_, default=-1) + 1
-        out += [struct.pack("<I", n), *(struct.pack("<Q", slots_.get(i, 0)) for i in range(n))]
-    with open(path, "wb") as f:
-        f.write(b"".join(out))
+    spark = index.sparkSession
+    parts = index.select("tid", "bin", "s", "e").groupBy("tid").applyInPandas(_encoded, "tid int, data binary").orderBy("tid")
+    last = index.agg(F.max("tid")).first()[0]
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(bytearray(b"BAI\1" + struct.pack("<I", 0 if last is None else last + 1)))
+        tid = 0
+        for r in parts.toLocalIterator():
+            out.write(bytearray(struct.pack("<II", 0, 0) * (r.tid - tid) + bytes(r.data)))
+            tid = r.tid + 1
+    finally:
+        out.close()
 
 
 def region_bins(s: Column, e: Column) -> Column:

@@ -39,7 +39,8 @@ def test_copy_number_evaluation(spark, tmp_path):
         ("chr1", 300001, "v", "N", "<DUP>", ".", "PASS", "END=310000;CN=2", "GT", "0/1"),
         ("chrX", 300001, "u", "N", "<DUP>", ".", "PASS", "END=310000;CN=4", "GT", "0/1"),
     )
-    (tmp_path / "odd.bed").write_text("chr1\t0\t100000\n")
+    # chrX is none of the truth set's contigs: its calls count nowhere, in strata neither
+    (tmp_path / "odd.bed").write_text("chr1\t0\t100000\nchrX\t0\t400000\n")
     (tmp_path / "strata.txt").write_text("low\todd.bed\n\n")
     got = flows.evaluate_copy_numbers(spark, t, c, strata=str(tmp_path / "strata.txt"), out=str(tmp_path / "out"), out_truth=str(tmp_path / "ot"), out_call=str(tmp_path / "oc"))
     table = {r.dir: (r.tp_t, r.fn, r.tp_c, r.fp) for r in got["summary"].collect()}
@@ -68,6 +69,21 @@ def test_somatic_filter(spark, tmp_path):
         flows.filter_somatic(spark, v, str(tmp_path / "p"), "nobody")
 
 
+def test_tag_chain(spark, tmp_path):
+    head = '##fileformat=VCFv4.2\n##contig=<ID=chr1>\n##FILTER=<ID=triallelic_site,Description="x">\n##FILTER=<ID=old,Description="y">\n'
+    v = vcf(
+        tmp_path / "v.vcf",
+        ("chr1", 5, ".", "A", "C", 300, "triallelic_site", "PV=0.3;PV2=0.3;SOR=1", "GT:FOXOG", "0/1:0.5"), ("chr1", 6, ".", "A", "C", 199, "old", "PV=0.06;STR;RPA=10,11", "GT:FOXOG", "0/1:1"),
+        ("chr1", 7, ".", "A", "C", ".", "PASS", "PV=.;SOR=3;ECNT=5", "GT:ReadPosRankSumPS", "0/1:-8"), ("chr1", 8, ".", "A", "C", 300, "PASS", "SOR=3.1;ECNT=6", "GT:ReadPosRankSumPS", "0/1:-8.5"), head=head,
+    )
+    flows.flag_somatic(spark, v, str(tmp_path / "o"), "s1")
+    assert [r[6] for r in lines(spark, tmp_path / "o")] == ["insignificant", "old;insignificant;orientation_bias;low_qual;short_tandem_repeat", "PASS", "strand_bias;noisy_region;read_pos_bias"]
+    out = [r.value for r in spark.read.text(str(tmp_path / "o")).collect()]
+    assert not any("triallelic" in x for x in out) and any(x.startswith("##FILTER=<ID=low_qual,") and "QUAL < 200" in x for x in out)
+    flows.flag_somatic(spark, v, str(tmp_path / "p"), "s1", min_qual=100)
+    assert "low_qual" not in [t for r in lines(spark, tmp_path / "p") for t in r[6].split(";")]
+
+
 def test_merge_neighbouring(spark, tmp_path):
     (tmp_path / "r.fa").write_text(">chr1 x\nACGTACGTAC\nGTACGT\n>chr2\nTTTT\n")
     v = vcf(

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from strandflow.operators import evaluation, neighbours, tags, variants
+from strandflow.operators import evaluation, neighbours, positional, tags, variants
 from strandflow.plans import record_queries
 from strandflow.plans.variant_queries import ORACLES, QUERIES, _neighbours
 from strandflow.sources import index
@@ -115,3 +115,12 @@ def test_binary_index(spark, tmp_path):
     assert {(r.tid, r.slot): r.density for r in index.density(d).collect()} == {(0, 0): 7.0, (0, 1): 6.0}
     got = spark.range(1).select(index.region_bins(F.lit(16000).cast("long"), F.lit(17000).cast("long")).alias("b")).first().b
     assert got == [4681, 4682, 585, 73, 9, 1, 0]
+
+
+def test_site_fill(spark):
+    variants_ = spark.createDataFrame([("a", 5, 1, "v1"), ("a", 5, 1, "v2"), ("a", 9, 2, "v3")], "grp string, s long, sample int, id string")
+    blocks_ = spark.createDataFrame([("a", 0, 6, 1, "b1"), ("a", 0, 10, 2, "b2"), ("a", 4, 8, 2, "b3"), ("a", 9, 9, 3, "b4"), ("b", 0, 99, 3, "b5"), ("a", 5, 6, 4, "b6")], "grp string, s long, e long, sample int, id string")
+    got = sorted((r.s, r["sample"], r.source, r.record.id) for r in positional.site_fill(variants_, variants_, blocks_).collect())
+    # of two variants the greater record, of two blocks the one that starts last; no row for a sample without a record there
+    assert got == [(5, 1, "variant", "v2"), (5, 2, "block", "b3"), (5, 4, "block", "b6"), (9, 2, "variant", "v3")]
+    assert positional.site_fill(variants_.limit(0), variants_, blocks_).count() == 0
