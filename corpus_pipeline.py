@@ -2,6 +2,12 @@
 
 Each stage works on all rows that the one before it left. All but the last return the
 columns of documents; the last returns the pieces of the packed sequences.
+
+Defined results: null, empty and white-space texts have too few words and go with the first
+stage; a null doc_id, source or lang stays as it is (a null source is a source of its own
+in the mix); of repeated rows and near copies one row stays; a text of any length is looked
+at whole; further columns pass through all stages but the last, whatever their names; an
+empty table gives no pieces.
 """
 
 from __future__ import annotations
