@@ -124,6 +124,25 @@ def plain_audit(docs, labels):
 
 
 LONG = " ".join(f"w{i}" for i in range(200))
+def test_pipeline_of_odd_rows(spark):
+    """Nulls in every column, repeated rows, a long text, clashing names, and an empty table go through all stages."""
+    import corpus_pipeline
+    from strandflow.llm.common import keep
+
+    prose = lambda n: " ".join(f"the word{i} of plain{i * n} text and number{i}" for i in range(40))
+    rows = [(1, prose(1), "en", "a", 9), (1, prose(1), "en", "a", 9), (None, prose(2), None, None, None), (2, None, "en", "a", 0), (3, "", "en", "b", 0), (4, " \n", "en", "b", 3), (5, " ".join(f"the long{i} text" for i in range(40_000)), "en", "b", 1), (6, prose(3) + " mail a.b@c.de", "en", None, 1)]
+    for table in (rows, []):
+        docs = spark.createDataFrame([(*r, 1, "w", "d", 2, "i", 3) for r in table], CLASHING)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            columns = docs.columns
+            docs = keep(stage(spark, docs, ""), "odd")
+            assert docs.columns == columns
+        texts = {r.text for r in docs.select("text").distinct().collect()}
+        assert texts == ({prose(1), prose(2), rows[6][1], prose(3) + " mail [EMAIL]"} if table else set())
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, "").collect()
+        assert {r.doc_id for r in pieces} == ({1, None, 5, 6} if table else set())
+
+
 DOCS = [
     (1, LONG, "en", None, 0), (2, LONG, "en", None, 0), (2, LONG, "de", None, 0), (1, LONG, "de", None, 0), (3, None, None, None, 0), (4, "", "", None, 0), (None, LONG, "en", None, 0), (None, "", None, None, 0),
     (5, "A" * 30 + " b #", "en", None, 0), (6, "word " * 150, "en", None, 0), (7, LONG + " $ É É", "fr", None, 0), (8, "x" * 300_000, "en", None, 0), (9, LONG.upper(), "en", None, 0), *[(20 + i, "same text", "en", None, 0) for i in range(30)],
