@@ -30,11 +30,11 @@ def accepted(tags: Column) -> Column:
     return F.coalesce(F.size(F.array_except(tags, F.array(*map(F.lit, ACCEPTED)))) <= 0, F.lit(True))
 
 
-def confident(events: DataFrame, regions: DataFrame | None) -> DataFrame:
-    """Adds fraction, inside and any: how much of an event (grp, s, e, id) lies in regions. Without regions all of it does."""
+def confident(events: DataFrame, regions: DataFrame | None, disjoint: bool = False) -> DataFrame:
+    """Adds fraction, inside and any: how much of an event (grp, s, e, id) lies in regions (known to be disjoint or not). Without regions all of it does."""
     if regions is None:
         return events.withColumns({"fraction": F.lit(1.0), "inside": F.lit(True), "any": F.lit(True)})
-    j = overlap_join(events.select("grp", "s", "e", "id"), kept(merge(regions).drop("n")))
+    j = overlap_join(events.select("grp", "s", "e", "id"), regions if disjoint else kept(merge(regions).drop("n")))
     within = j.groupBy(F.col("a_id").alias("id")).agg(F.sum("overlap").alias("within"))
     d = events.join(within, "id", "left").withColumn("fraction", F.coalesce(F.col("within") / F.nullif(F.greatest(F.col("e") - F.col("s"), F.lit(0)), F.lit(0)), F.lit(0.0))).drop("within")
     return d.withColumns({"inside": F.col("fraction") >= 1.0, "any": F.col("fraction") > 0})
@@ -113,14 +113,15 @@ def evaluate(truth: DataFrame, call: DataFrame, regions: DataFrame | None = None
     events count as one event; it is dropped if false and too small or not wholly confident, and so are its calls' verdicts.
     Calls of other components count one by one. contigs (grp) limits the calls, as a truth set's header does.
     """
-    t = confident(truth.filter((F.col("diff") != 0) & accepted(F.col("filter"))), regions)
+    held = kept(merge(regions).drop("n")) if regions is not None else None  # both sides look at one union
+    t = confident(truth.filter((F.col("diff") != 0) & accepted(F.col("filter"))), held, True)
     t = t.withColumns({"dir": event_class(F.col("diff") + neutral, neutral), "large": F.least(F.coalesce("period", "size"), F.col("size")) >= least_size})
     c = call.filter((F.col("cn") != neutral) & accepted(F.col("filter")))
-    c = confident(c.join(contigs.select("grp").distinct(), "grp", "left_semi") if contigs is not None else c, regions)
+    c = confident(c.join(contigs.select("grp").distinct(), "grp", "left_semi") if contigs is not None else c, held, True)
     # what several branches read below is written once; their plans would repeat it many times over
     t, c = kept(t), kept(c.withColumns({"dir": event_class(F.col("cn"), neutral), "large": F.col("size") >= least_size}))
     both = t.select("grp", "s", "e", "id", F.lit("truth").alias("side")).unionByName(c.select("grp", "s", "e", "id", F.lit("call").alias("side")))
-    both = kept(runs(both, touching_joins=False))
+    both = runs(both, touching_joins=False)
     n = lambda side: F.count(F.when(F.col("side") == side, 1)).alias(f"n_{side}")
     parts = both.groupBy("grp", "run").agg(F.min("s").alias("lo"), F.max("e").alias("hi"), n("truth"), n("call"))
     parts = parts.select("grp", "run", "n_truth", "n_call", F.format_string("%s:%d-%d", F.col("grp").cast("string"), "lo", "hi").alias("component"))
@@ -212,8 +213,9 @@ def labelled(truth: DataFrame, call: DataFrame, regions: DataFrame | None = None
     Only true events wholly within regions count, and overlaps of at least least_overlap of the call's size. A call
     without such an event is neutral if it lies in regions, and has no label otherwise.
     """
-    t = kept(confident(truth.filter((F.col("diff") != 0) & accepted(F.col("filter"))), regions).filter("inside"))
-    c = kept(confident(call, regions))
+    held = kept(merge(regions).drop("n")) if regions is not None else None
+    t = kept(confident(truth.filter((F.col("diff") != 0) & accepted(F.col("filter"))), held, True).filter("inside"))
+    c = kept(confident(call, held, True))
     pairs = overlap_join(t.select("grp", "s", "e", "id", "diff", "size", "period"), c.select("grp", "s", "e", "id", "size"))
     pairs = pairs.filter((F.col("b_size") <= 0) | (F.col("overlap") / F.nullif(F.col("b_size"), F.lit(0)) >= least_overlap))
     event = F.struct(F.col("overlap"), F.col("a_diff").alias("diff"), F.col("a_size").cast("double").alias("size"), F.col("a_period").cast("double").alias("period"))

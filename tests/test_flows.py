@@ -103,6 +103,20 @@ def test_merge_neighbouring(spark, tmp_path):
     assert [r[6] for r in lines(spark, tmp_path / "o2")] == ["PASS"] * 3
 
 
+def test_merged_means_of_every_sample(spark, tmp_path):
+    (tmp_path / "r.fa").write_text(">chr1\nACGTACGTACGT\n")
+    head = "##fileformat=VCFv4.2\n##contig=<ID=chr1>\n"
+    rows = [("chr1", 3, "a", "G", "A", 30, "PASS", ".", "GT:PS:AF:AD:AFDP", "0|1:7:0.5:10,5:9", "0|1:7:0.1:8,3:5"), ("chr1", 5, "b", "A", "T", 50, "PASS", ".", "GT:PS:AF:AD:AFDP", "0|1:7:0.25:5,4:2", "0|1:7:.:5,4:8")]
+    text_ = head + "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\n" + "".join("\t".join(map(str, r)) + "\n" for r in rows)
+    (tmp_path / "v.vcf").write_text(text_)
+    flows.merge_neighbouring(spark, str(tmp_path / "v.vcf"), str(tmp_path / "r.fa"), str(tmp_path / "o"))
+    got = lines(spark, tmp_path / "o")[0]
+    one, two = (dict(zip(got[8].split(":"), x.split(":"))) for x in got[9:])
+    assert (got[3], got[4]) == ("GTA", "ATT") and one == {"GT": "0|1", "PS": "7", "AF": "0.375", "AD": "7,4", "AFDP": "5"}
+    # a member without AF leaves the first one's
+    assert two == {"GT": "0|1", "PS": "7", "AF": "0.1", "AD": "6,3", "AFDP": "6"}
+
+
 def test_combine_blocks(spark, tmp_path):
     g = vcf(tmp_path / "g.vcf", ("chr1", 1, ".", "A", "<NON_REF>", ".", ".", "END=100", "GT", "0/0"), ("chr1", 120, ".", "A", "C,<NON_REF>", ".", ".", "DP=1", "GT", "0/1"), ("chr1", 130, ".", "A", "C,<NON_REF>", ".", ".", "DP=1", "GT", "0/1"))
     v = vcf(tmp_path / "v.vcf", ("chr1", 11, ".", "ACGTACGTAC", "A", 9, ".", ".", "GT", "0/1"), ("chr1", 16, ".", "ACGTACGTACACGTA", "A", 9, ".", ".", "GT", "0/1"), ("chr1", 120, ".", "A", "G", 9, ".", ".", "GT", "1/1"))
