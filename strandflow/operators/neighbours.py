@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import add
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -50,7 +52,7 @@ def _joined(chain: list[dict]) -> dict | None:
         same += 1
     quals = [v["qual"] for v in chain]
     alts = [x[same:] for x in alts]
-    return chain[0] | {"pos": chain[0]["pos"] + same, "ref": ref[same:], "alt": alts if several else alts[0], "qual": None if any(pd.isna(q) for q in quals) else sum(quals) / len(quals), "members": len(chain), "ids": [v["id"] for v in chain]}
+    return chain[0] | {"pos": chain[0]["pos"] + same, "ref": ref[same:], "alt": alts if several else alts[0], "qual": None if any(pd.isna(q) for q in quals) else reduce(add, quals) / len(quals), "members": len(chain), "ids": [v["id"] for v in chain]}
 
 
 def _stacks(rows: list[dict], reach: int) -> list[list[dict]]:
