@@ -30,7 +30,7 @@ MAX_BUCKETS = 8192
 RULES = (
     ("block", "com", "/en/"),
     ("allow", "example.com", "/en/7"),
-    ("block", "net", "/de/"),
+    ("allow", "net", "/de/"),
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 )

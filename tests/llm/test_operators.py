@@ -51,6 +51,20 @@ def test_url_filter(spark):
     assert got == sorted(want, key=str)
 
 
+def test_url_rules_of_the_contract(spark):
+    """Each rule's word, in the operator and in its SQL, on a url that only this rule decides."""
+    import duckdb
+
+    urls = [(1, "x://a.com/en/1"), (2, "x://example.com/en/71"), (3, "x://a.net/de/1"), (4, "x://net/de/"), (5, "x://example.net/de/1"), (6, "x://www.example.net/de/8"), (7, "x://a.org/es/1")]
+    want = [(1, "com/en/", "block"), (2, "example.com/en/7", "allow"), *((i, "net/de/", "allow") for i in (3, 4, 5)), (6, "example.net/de/8", "block"), (7, "org/es/", "block")]
+    rows = url_filter.url_filter(spark.createDataFrame(urls, "page_id long, url string"), url_filter.rule_frame(spark), default="neither")
+    assert sorted((r.page_id, r.rule, r.verdict) for r in rows.collect()) == want
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?)", urls)
+    assert sorted((r[0], r[3], r[4]) for r in con.execute(url_filter.oracle()).fetchall()) == want
+
+
 def test_warc_round_trip(spark):
     long_ = "é<p>" * 20_000
     rows = [(3, "http://a\nb", long_), (1, None, None), (2, "u", "short"), (4, "u", "short"), (9, "u", long_), (9, "u", long_), (None, "u", long_)]
