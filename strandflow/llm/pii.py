@@ -5,12 +5,15 @@ further, overlapping spans: written-out addresses, phone numbers without a count
 sign, cards and quads with other separators. Boosted trees see a candidate's format and
 context and select among them.
 
-What is sought has no labels, so it is made from what is known: each base match of a
-sample of at most SAMPLE_DOCS documents (and SAMPLE_ROWS examples of them) is rendered in forms that the base patterns miss,
+What is sought has no labels, so it is made from what is known: each base match of every
+document is rendered in forms that the base patterns miss,
 in its own context (positives), and gives way there to numbers and phrases of the same look
 that are nobody's (dates, prices, versions, book and order numbers: background). A
 document's own candidates outside base spans carry no label and are left out, so that
-nothing sought is taught as background. Each kind has its own threshold, calibrated by
+nothing sought is taught as background. Features are codes of whole numbers, so examples are
+counted by their codes, label and fold, and the trees grow from the counts of all of them: on the
+driver where at most DRIVER_ROWS different ones are left, else from sums that tasks add up, to
+the same trees. Each kind has its own threshold, calibrated by
 cross-fitting: of the scores that the folds' models give to the background of documents they have not
 seen, at most BACKGROUND_SHARE lie above it; it is never below MIN_SCORE. The final model is fitted on all folds.
 Selected spans overlap neither base spans nor better ones.
@@ -39,11 +42,14 @@ from . import gbdt
 from .common import keep
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents to learn from, and base matches of one document that are learnt from.
-SAMPLE_DOCS, SAMPLE_MATCHES = 20_000, 16
-#: Examples that the model is fitted on, on the driver: 165 bytes each.
-SAMPLE_ROWS = 20_000
+#: Different counted examples that are learnt from on the driver, of some 400 bytes each there; more are left in tasks.
+DRIVER_ROWS = 100_000
+#: Examples that a task holds at once.
+CHUNK = 5_000
 FOLDS = 4
+TREES = 60
+#: Parts of one to which margins are rounded up where scores of background are counted.
+MARGIN_STEPS = 64
 BACKGROUND_SHARE = 0.01
 MIN_SCORE = 0.5
 
@@ -134,17 +140,17 @@ _COUNTED = " -./:,()[]@"
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
-    """Format and context of a candidate. Candidates never match a base pattern, so none of these is its test."""
+    """Format and context of a candidate, whole numbers from 0. Candidates never match a base pattern, so none of these is its test."""
     s, before, after = text[start:end], text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
     digits = _only_digits(s)
     groups = re.findall(r"[0-9]+", s)
     sizes = [*map(len, groups)] or [0]
-    first = int(groups[0][:6]) if groups else -1
+    first = int(groups[0][:6]) if groups else 0
     edge = lambda c: 0 if not c else 1 if c.isspace() else 2 if c.isalpha() else 3 if c.isdigit() else 4
     words = re.findall(r"[A-Za-z]+", s.lower())
     return [
         float(KINDS.index(kind)), len(s), len(digits), len(groups), max(sizes), min(sizes), sizes[0], sizes[-1], *map(s.count, _COUNTED), sum(c.isalpha() for c in s), words.count("at"), words.count("dot"),
-        float(luhn(digits)) if len(digits) >= 13 else 0.5, float(all(int(g[:6]) <= 255 for g in groups)), float(first), float(s[:1] == "0"), float(s[:1] in "(+"), float(len(set(digits))),
+        2.0 * luhn(digits) if len(digits) >= 13 else 1.0, float(all(int(g[:6]) <= 255 for g in groups)), float(first), float(s[:1] == "0"), float(s[:1] in "(+"), float(len(set(digits))),
         float(any(len(g) == 4 and 1900 <= int(g) <= 2100 for g in groups)), float(all(len(g) == 4 for g in groups)), float(len(words[-1]) if words else 0),
         edge(before[-1:]), edge(after[:1]), *(float(bool(h.search(before))) for h in _HINTS.values()), float(before.rstrip()[-1:] in {"=", ":", "#"}), float(before.rstrip()[-1:] in {'"', "'"}),
     ]
@@ -214,9 +220,9 @@ def background(pick: random.Random) -> list[str]:
 
 
 def examples(text: str) -> Iterator[tuple[list[float], int]]:
-    """Candidates over renderings of base matches (1), and over what is nobody's in their place (0)."""
+    """Candidates over renderings of all base matches (1), and over what is nobody's in their place (0)."""
     base = base_spans(text)
-    found = sorted((s, e, k) for k in KINDS for s, e in base[k])[:SAMPLE_MATCHES]
+    found = sorted((s, e, k) for k in KINDS for s, e in base[k])
     pick = random.Random(f"{len(text)}:{found}")
     for s, e, kind in found:
         for y, forms in ((1, renderings(kind, text[s:e], pick)), (0, background(pick))):
@@ -247,7 +253,7 @@ class Selector:
         more = [x for x in proposals(text) if not taken.overlaps(*x[1:])] if self.model else []
         chosen = {k: list(base[k]) for k in KINDS}
         if more:
-            score = self.model.score(np.array([features(text, *x) for x in more]))
+            score = self.model.score(gbdt.coded(np.array([features(text, *x) for x in more])))
             for i in np.argsort(-score, kind="stable"):
                 k, s, e = more[i]
                 if score[i] > self.cuts[k] and not taken.overlaps(s, e):
@@ -256,55 +262,118 @@ class Selector:
         return base, {k: sorted(v) for k, v in chosen.items()}
 
 
-def training_rows(docs: DataFrame, most: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, labels and folds of examples of at most SAMPLE_DOCS different documents, in the order of a hash of theirs; of more than most examples, those of least hash."""
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("h"), "text")
-    chosen = keyed.select("h").distinct().orderBy(F.xxhash64("h"), "h").limit(SAMPLE_DOCS)
-    rows = keyed.join(F.broadcast(chosen), "h")  # at most SAMPLE_DOCS numbers
+N_FEATURES = len(features("", "email", 0, 0))
+
+
+def example_counts(docs: DataFrame) -> DataFrame:
+    """Codes (a byte each) and labels of the examples of all different documents, with their numbers in each fold."""
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("h"), "text")
+
+    def block(found: list[tuple[int, int, list[float], int]]) -> pd.DataFrame:
+        codes = gbdt.coded(np.array([x for _, _, x, _ in found]).reshape(-1, N_FEATURES))
+        return pd.DataFrame({"h": [f[0] for f in found], "n": [f[1] for f in found], "codes": [c.tobytes() for c in codes], "y": [f[3] for f in found]})
 
     def measure(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = []
         for pdf in parts:
-            out = []
             for h, t in zip(pdf["h"], pdf["text"]):
-                found = examples(t) if t and _ANY.search(t) else ()
-                out += [(h, n, np.array([*x, y], dtype=np.float32).tobytes()) for n, (x, y) in enumerate(found)]
-            yield pd.DataFrame(out, columns=["h", "n", "found"])
+                for n, (x, y) in enumerate(examples(t) if t and _ANY.search(t) else ()):
+                    found.append((h, n, x, y))
+                    if len(found) == CHUNK:
+                        yield block(found)
+                        found = []
+        yield block(found)
 
     # repeated rows count once
-    every = keep(rows.mapInPandas(measure, "h long, n long, found binary").dropDuplicates(["h", "n"]).withColumn("order", F.xxhash64("h", "n")), "pii-examples")
-    count = every.count()
-    if count > most:
-        # hashes are spread evenly: a bound on them lets about most rows through, and only those are sent
-        every = every.filter(F.col("order") <= int(-(2**63) + 2**64 * (most / count)))
-    got = every.toPandas().sort_values(["order", "h", "n"]).head(most)
-    if not len(got):
-        return np.zeros((0, N_FEATURES)), np.zeros(0), np.zeros(0, dtype=np.int64)
-    each = np.frombuffer(b"".join(got["found"]), dtype=np.float32).reshape(-1, N_FEATURES + 1)
-    return each[:, :-1], each[:, -1], got["h"].to_numpy() % FOLDS
+    every = rows.mapInPandas(measure, "h long, n long, codes binary, y int").distinct()
+    by_fold = [F.sum((F.pmod("h", F.lit(FOLDS)) == k).cast("long")).alias(f"n{k}") for k in range(FOLDS)]
+    return keep(every.groupBy("codes", "y").agg(*by_fold), "pii-examples")
 
 
-N_FEATURES = len(features("", "email", 0, 0))
+def unpacked(counted: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes (each feature's in one piece of memory), labels and numbers by fold."""
+    codes = np.frombuffer(b"".join(counted["codes"]), dtype=np.uint8).reshape(-1, N_FEATURES)
+    return np.asfortranarray(codes, dtype=np.int64), counted["y"].to_numpy(dtype=float), counted[[f"n{k}" for k in range(FOLDS)]].to_numpy(dtype=float)
 
 
-def fitted(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> Selector:
-    """A model of all rows, with thresholds from the scores that models of the other folds give to each fold's background."""
-    if not y.any():
-        return Selector(None, {})
-    other = np.zeros(len(y))
-    for k in range(FOLDS):
-        if (fold == k).any():
-            # a fold that holds everything is scored by the model of all rows
-            learn = fold != k if y[fold != k].any() else np.ones(len(y), dtype=bool)
-            other[fold == k] = gbdt.fit(x[learn], y[learn], trees=60, depth=4).score(x[fold == k])
+def training_rows(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different codes and labels of all examples, with their numbers by fold; for tables whose counted examples fit the driver."""
+    return unpacked(example_counts(docs).toPandas())
+
+
+def learners(positives: np.ndarray) -> np.ndarray:
+    """The folds (columns) that each model learns from: those other than its own, for the last one all. A fold that holds all positives is scored by a model of all rows."""
+    use = np.vstack([1 - np.eye(FOLDS), np.ones(FOLDS)])
+    use[use @ positives == 0] = 1
+    return use
+
+
+def background_margins(models: list[gbdt.Trees], x: np.ndarray, y: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+    """How much background of each kind has which margin, rounded up, with the model that has not seen it."""
+    x, n = x[y == 0], n[y == 0]
+    parts = [pd.DataFrame({"kind": x[:, 0], "step": np.ceil(np.clip(models[k].margin(x), -30, 30) * MARGIN_STEPS).astype(int), "n": n[:, k].astype(int)}) for k in range(FOLDS)]
+    return pd.concat(parts).query("n > 0").groupby(["kind", "step"], as_index=False)["n"].sum()
+
+
+def thresholds(margins: pd.DataFrame) -> dict[str, float]:
     cuts = {}
     for i, k in enumerate(KINDS):
-        rest = other[(x[:, 0] == i) & (y == 0)]
-        cuts[k] = max(MIN_SCORE, float(np.quantile(rest, 1 - BACKGROUND_SHARE)) if len(rest) else 0.0)
-    return Selector(gbdt.fit(x, y, trees=60, depth=4), cuts)
+        own = margins[margins["kind"] == i].sort_values("step", ascending=False)
+        above = own["n"].cumsum() - own["n"]
+        step = own["step"][above <= BACKGROUND_SHARE * own["n"].sum()].min() if len(own) else -30 * MARGIN_STEPS
+        cuts[k] = max(MIN_SCORE, float(1 / (1 + np.exp(-step / MARGIN_STEPS))))
+    return cuts
+
+
+def fitted(x: np.ndarray, y: np.ndarray, fold: np.ndarray, trees: int = TREES) -> Selector:
+    """A model of all rows, with thresholds from the scores that models of the other folds give to each fold's background. fold: one for each row, or each row's numbers by fold."""
+    n = np.eye(FOLDS)[fold] if fold.ndim == 1 else fold
+    by_class = np.stack([n[y == v].sum(axis=0) for v in (0, 1)], axis=1)
+    if not by_class[:, 1].any():
+        return Selector(None, {})
+    use = learners(by_class[:, 1])
+    models = gbdt.grown(gbdt.held_sums(x, y, use @ n.T), use @ by_class, trees)
+    return Selector(models[-1], thresholds(background_margins(models, x, y, n)))
+
+
+def fitted_in_tasks(counted: DataFrame, trees: int = TREES) -> Selector:
+    """fitted() for counted examples of any number: tasks add up what the trees grow from, and the driver gets the sums."""
+    got = {r.y: np.array(r[1:], dtype=float) for r in counted.groupBy("y").agg(*(F.sum(f"n{k}") for k in range(FOLDS))).collect()}
+    by_class = np.stack([got.get(v, np.zeros(FOLDS)) for v in (0, 1)], axis=1)
+    if not by_class[:, 1].any():
+        return Selector(None, {})
+    use = learners(by_class[:, 1])
+
+    def sums(models: list[gbdt.Trees], level: int) -> np.ndarray:
+        shape = (len(models), 1 << level, N_FEATURES, gbdt.CODES, 2)
+
+        def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros(shape)
+            for pdf in parts:
+                x, y, n = unpacked(pdf)
+                total += gbdt.level_sums(x, y, use @ n.T, models, [m.first(len(m.leaf) - 1).margin(x) for m in models], level)
+            yield pd.DataFrame({"node": range(shape[0] * shape[1]), "part": [a.tobytes() for a in total.reshape(-1, *shape[2:])]})
+
+        def joined(pdf: pd.DataFrame) -> pd.DataFrame:
+            total = sum(np.frombuffer(part) for part in pdf["part"])
+            return pd.DataFrame({"node": pdf["node"][:1], "part": [total.tobytes()]})
+
+        each = counted.mapInPandas(add, "node int, part binary").groupBy("node").applyInPandas(joined, "node int, part binary")
+        return np.frombuffer(b"".join(each.toPandas().sort_values("node")["part"])).reshape(shape)
+
+    models = gbdt.grown(sums, use @ by_class, trees)
+
+    def margins(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            yield background_margins(models, *unpacked(pdf))
+
+    tallied = counted.mapInPandas(margins, "kind long, step long, n long").groupBy("kind", "step").agg(F.sum("n").alias("n"))
+    return Selector(models[-1], thresholds(tallied.toPandas()))
 
 
-def train(docs: DataFrame) -> Selector:
-    return fitted(*training_rows(docs))
+def train(docs: DataFrame, driver_rows: int = DRIVER_ROWS, trees: int = TREES) -> Selector:
+    counted = example_counts(docs)
+    return fitted(*unpacked(counted.toPandas()), trees) if counted.count() <= driver_rows else fitted_in_tasks(counted, trees)
 
 
 def listed(spans: dict[str, list[tuple[int, int]]]) -> str:

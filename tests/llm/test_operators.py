@@ -190,6 +190,34 @@ def test_pii_selects_what_base_patterns_miss(spark):
     assert (hit & (t == 1)).sum() > 0.95 * t.sum() and (hit & (t == 1)).sum() > 0.95 * hit.sum()
 
 
+def test_pii_learns_from_every_match_of_every_document(spark):
+    """More matches of a document, and more examples, than were once looked at; repeated rows count once."""
+    texts = [" and ".join(f"host {i}.{j}.7.1" for j in range(30)) for i in range(30)]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, "no match"])] + [(0, texts[0])] * 3, "doc_id long, text string")
+    _, y, n = pii.training_rows(d)
+    plain = [v for t in texts for _, v in pii.examples(t)]
+    assert n.shape == (len(y), pii.FOLDS) and (n * (y == 1)[:, None]).sum() == sum(plain) == 30 * 30 * 5 and n.sum() == len(plain) > 30_000
+
+
+def test_pii_learns_the_same_in_tasks(spark):
+    d = spark.createDataFrame(pii_corpus(60), "doc_id long, text string").repartition(3)
+    here, there = pii.train(d, trees=3), pii.train(d, driver_rows=0, trees=3)
+    assert here.cuts == there.cuts and all(np.array_equal(getattr(here.model, a), getattr(there.model, a)) for a in ("base", "feature", "threshold", "leaf"))
+    none = spark.createDataFrame([(1, "no match"), (2, None)], "doc_id long, text string")
+    assert pii.train(none, driver_rows=-1).model is None
+
+
+def test_pii_thresholds_leave_a_hundredth_of_the_background(spark):
+    import pandas as pd
+
+    pick = np.random.default_rng(1)
+    margins = pick.normal(3, 2, 5000)
+    counted = pd.DataFrame({"kind": 2, "step": np.ceil(margins * pii.MARGIN_STEPS).astype(int), "n": 1}).groupby(["kind", "step"], as_index=False)["n"].sum()
+    cuts = pii.thresholds(counted)
+    above = (1 / (1 + np.exp(-margins)) > cuts["card"]).mean()
+    assert 0.008 < above <= pii.BACKGROUND_SHARE and cuts["ip"] == pii.MIN_SCORE
+
+
 def test_pii_learns_from_one_match_or_none(spark):
     d = spark.createDataFrame([(None, "mail a@b.cd"), (None, "mail a@b.cd"), (1, None)], "doc_id long, text string")
     assert sorted((r.n_email, r.n_spans) for r in pii.detect(d).collect()) == [(0, 0), (1, 1), (1, 1)]
