@@ -199,6 +199,17 @@ def test_pii_learns_from_every_match_of_every_document(spark):
     assert n.shape == (len(y), pii.FOLDS) and (n * (y == 1)[:, None]).sum() == sum(plain) == 30 * 30 * 5 and n.sum() == len(plain) > 30_000
 
 
+def test_pii_redacts_with_what_all_documents_teach(spark, monkeypatch):
+    """The pipeline's redaction learns from the same examples as op5, all of them."""
+    seen = []
+    fitted = pii.fitted
+    monkeypatch.setattr(pii, "fitted", lambda x, y, n, *more: seen.append(n.sum()) or fitted(x, y, n, *more))
+    d = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate([" and ".join(f"host {i}.{j}.7.1" for j in range(30)) for i in range(30)])], "doc_id long, text string, n_chars long")
+    got = corpus_pipeline.redact(spark, d, "").collect()
+    assert all(r.text == " and ".join(["host [IP]"] * 30) and r.n_chars == len(r.text) for r in got)
+    assert seen == [sum(1 for r in d.collect() for _ in pii.examples(r.text))] and seen[0] > 30_000
+
+
 def test_pii_learns_the_same_in_tasks(spark):
     d = spark.createDataFrame(pii_corpus(60), "doc_id long, text string").repartition(3)
     here, there = pii.train(d, trees=3), pii.train(d, driver_rows=0, trees=3)
