@@ -133,9 +133,33 @@ def region_bins(s: Column, e: Column) -> Column:
 
 
 def region_chunks(index: DataFrame, regions: DataFrame, keys: list[str]) -> DataFrame:
-    """Chunks (keys, id, s, e) to read for regions (keys, id, s, e, floor): of the bins that meet a region, ending after floor."""
-    r = regions.select(*keys, "id", "floor", F.explode(region_bins(F.col("s"), F.col("e"))).alias("bin"))
-    return index.filter("bin IS NOT NULL").join(r, [*keys, "bin"]).filter("e > floor").select(*keys, "id", "s", "e")
+    """Chunks (keys, id, s, e) to read for regions (keys, id, s, e, floor): of the bins that meet a region, ending after floor.
+
+    A region stands in the bins of its own level, the widest one no wider than itself, and of the wider levels: nine of a
+    level at most. A chunk looks for it in its own bin there, or in the bin of the region's level that holds its own one.
+    Both sides are shuffled: Spark's estimate for a broadcast leaves out how many rows the bins of regions make.
+    """
+    own = F.lit(SHIFTS[0])
+    for k in SHIFTS[1:]:
+        own = F.when(F.col("to") - F.col("from") >= 1 << k, k).otherwise(own)
+    r = regions.select(*keys, "id", "floor", F.col("s").alias("from"), F.col("e").alias("to")).withColumn("level", own)
+    place = lambda at, k: F.least(F.greatest(F.shiftright(at, k), F.lit(0)), F.lit((1 << SHIFTS[-1] - k) - 1))
+    met = lambda k: F.sequence(place(F.col("from"), k), place(F.greatest(F.col("to") - 1, F.col("from")), k))
+    each = [F.when(F.col("level") <= k, F.struct(F.lit(first_bin(k)).alias("first"), (F.col("level") == k).alias("home"), met(k).alias("places"))) for k in SHIFTS]
+    bins = r.select("*", F.inline(F.array_compact(F.array(*each)))).select(*keys, "id", "floor", "from", "to", "home", "first", F.explode("places").alias("place"))
+    bins = bins.withColumn("bin", F.col("first") + F.col("place")).drop("first", "place")
+
+    # for each depth of a bin in the tree of bins, the levels on which its chunks look: at most 21 rows
+    n = len(SHIFTS) - 1
+    looks = [F.struct(F.lit(n - i).cast("long").alias("depth"), F.lit(w).alias("own"), F.lit(first_bin(w)).cast("long").alias("own_first"), F.lit(k).alias("shift"), F.lit(first_bin(k)).cast("long").alias("first")) for i, w in enumerate(SHIFTS) for k in SHIFTS[i:]]
+    levels = r.select("level").distinct().select("level", F.inline(F.array(*looks)))
+    levels = levels.filter("CASE WHEN own = shift THEN level <= shift ELSE level = shift END").drop("level").distinct()
+    # bins of depth d are numbered from (8 ** d - 1) / 7
+    c = index.select(*keys, F.col("bin").alias("number"), "s", "e", F.floor(F.log2(F.col("bin") * 7 + 1.5) / 3).alias("depth")).join(F.broadcast(levels), "depth")
+    c = c.withColumns({"lo": F.expr("shiftleft(number - own_first, own)"), "hi": F.expr("shiftleft(number - own_first + 1, own)"), "mine": F.col("own") == F.col("shift")})
+    c = c.withColumn("bin", F.expr("first + shiftright(lo, shift)")).select(*keys, "bin", "s", "e", "lo", "hi", "mine")
+    j = c.join(bins.hint("merge"), [*keys, "bin"]).filter("(mine OR home) AND lo < to AND from < hi AND e > floor")
+    return j.select(*keys, "id", "s", "e")
 
 
 def _inflated(data: bytes) -> Iterator[bytes]:

@@ -2,6 +2,7 @@
 
 import glob
 import os
+import random
 import struct
 
 import duckdb
@@ -117,6 +118,28 @@ def test_binary_index(spark, tmp_path):
     assert got == [4681, 4682, 585, 73, 9, 1, 0]
 
 
+def test_region_chunks_of_every_level(spark):
+    number = random.Random(4)
+    starts = {k: [number.randrange(1 << 29) >> k << k for _ in range(60)] for k in index.SHIFTS}
+    rows = [(g, index.first_bin(k) + (a >> k), a + k, a + k + number.randrange(9)) for g in "ab" for k, at in starts.items() for a in at] + [("a", index.NO_BIN, 1, 99), ("a", None, 1, 99), ("a", 4681, 0, 9)]
+    wide = [1, 16384, 200_000, 9_000_000, 1 << 26, 300_000_000]
+    regions = [(g, i, a, a + w, a % 5) for i, (g, a, w) in enumerate((g, number.randrange(1 << 28), w) for g in "abc" for w in wide for _ in range(4))]
+    # past the last place no bin of another level is meant
+    regions += [("a", 900, (1 << 29) - 1, (1 << 29) + 5, 0)]
+    d = spark.createDataFrame(rows, "grp string, bin long, s long, e long")
+    got = index.region_chunks(d, spark.createDataFrame(regions, "grp string, id long, s long, e long, floor long"), ["grp"])
+
+    def meets(b, s, e):
+        k = next((k for k in index.SHIFTS if b is not None and index.first_bin(k) <= b <= 8 * index.first_bin(k)), None)
+        return k is not None and (b - index.first_bin(k) << k) < e and s < (b - index.first_bin(k) + 1 << k)
+
+    want = [(g, i, cs, ce) for g, i, s, e, floor in regions for h, b, cs, ce in rows if g == h and ce > floor and meets(b, s, e)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    # bins that regions make are never broadcast: their number is not in Spark's estimate
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+
+
 def test_site_fill(spark):
     variants_ = spark.createDataFrame([("a", 5, 1, "v1"), ("a", 5, 1, "v2"), ("a", 9, 2, "v3")], "grp string, s long, sample int, id string")
     blocks_ = spark.createDataFrame([("a", 0, 6, 1, "b1"), ("a", 0, 10, 2, "b2"), ("a", 4, 8, 2, "b3"), ("a", 9, 9, 3, "b4"), ("b", 0, 99, 3, "b5"), ("a", 5, 6, 4, "b6")], "grp string, s long, e long, sample int, id string")
