@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import kept
+from ..scratch import kept, step
 from . import evaluation
 from .intervals import intersect, merge, overlap_join, runs
 
@@ -34,7 +35,7 @@ def confident(events: DataFrame, regions: DataFrame | None, disjoint: bool = Fal
     """Adds fraction, inside and any: how much of an event (grp, s, e, id) lies in regions (known to be disjoint or not). Without regions all of it does."""
     if regions is None:
         return events.withColumns({"fraction": F.lit(1.0), "inside": F.lit(True), "any": F.lit(True)})
-    j = overlap_join(events.select("grp", "s", "e", "id"), regions if disjoint else kept(merge(regions).drop("n")))
+    j = overlap_join(events.select("grp", "s", "e", "id"), regions if disjoint else step(lambda: merge(regions).drop("n")))
     within = j.groupBy(F.col("a_id").alias("id")).agg(F.sum("overlap").alias("within"))
     d = events.join(within, "id", "left").withColumn("fraction", F.coalesce(F.col("within") / F.nullif(F.greatest(F.col("e") - F.col("s"), F.lit(0)), F.lit(0)), F.lit(0.0))).drop("within")
     return d.withColumns({"inside": F.col("fraction") >= 1.0, "any": F.col("fraction") > 0})
@@ -113,63 +114,77 @@ def evaluate(truth: DataFrame, call: DataFrame, regions: DataFrame | None = None
     events count as one event; it is dropped if false and too small or not wholly confident, and so are its calls' verdicts.
     Calls of other components count one by one. contigs (grp) limits the calls, as a truth set's header does.
     """
-    held = kept(merge(regions).drop("n")) if regions is not None else None  # both sides look at one union
-    t = confident(truth.filter((F.col("diff") != 0) & accepted(F.col("filter"))), held, True)
-    t = t.withColumns({"dir": event_class(F.col("diff") + neutral, neutral), "large": F.least(F.coalesce("period", "size"), F.col("size")) >= least_size})
-    c = call.filter((F.col("cn") != neutral) & accepted(F.col("filter")))
-    c = confident(c.join(contigs.select("grp").distinct(), "grp", "left_semi") if contigs is not None else c, held, True)
+    held = step(lambda: merge(regions).drop("n")) if regions is not None else None  # both sides look at one union
+    gain, large = F.col("cn") > neutral, F.coalesce(F.col("size") >= least_size, F.lit(False))
+    counts = truth_gate(F.col("size"), F.col("period"), F.col("inside"), least_size, F.col("distance"), least_distance)
+
     # what several branches read below is written once; their plans would repeat it many times over
-    t, c = kept(t), kept(c.withColumns({"dir": event_class(F.col("cn"), neutral), "large": F.col("size") >= least_size}))
-    both = t.select("grp", "s", "e", "id", F.lit("truth").alias("side")).unionByName(c.select("grp", "s", "e", "id", F.lit("call").alias("side")))
-    both = runs(both, touching_joins=False)
-    n = lambda side: F.count(F.when(F.col("side") == side, 1)).alias(f"n_{side}")
-    parts = both.groupBy("grp", "run").agg(F.min("s").alias("lo"), F.max("e").alias("hi"), n("truth"), n("call"))
-    parts = parts.select("grp", "run", "n_truth", "n_call", F.format_string("%s:%d-%d", F.col("grp").cast("string"), "lo", "hi").alias("component"))
-    both = kept(both.select("grp", "run", "id", "side").join(parts, ["grp", "run"]))
-    of = lambda d, side: d.join(both.filter(F.col("side") == side).drop("grp", "side"), "id")
-    t, c = of(t, "truth"), of(c, "call")
-
-    pairs = overlap_join(t.select("grp", "s", "e", "id", "dir", "size"), c.select("grp", "s", "e", "id", "dir", "size")).filter("a_dir = b_dir")
-    pairs = kept(pairs)
+    def true_ones() -> DataFrame:
+        d = kept(truth.filter((F.col("diff") != 0) & accepted(F.col("filter"))).select("grp", "s", "e", "id", "diff", "size", "period", "distance"))
+        d = confident(d, held, True).withColumns({"large": F.coalesce(F.least(F.coalesce("period", "size"), F.col("size")) >= least_size, F.lit(False)), "counts": F.coalesce(counts, F.lit(False))})
+        return d.select("grp", "s", "e", "id", (F.col("diff") + neutral).alias("cn"), "size", "large", "any", "counts")
+
+    def called_ones() -> DataFrame:
+        d = call.filter((F.col("cn") != neutral) & accepted(F.col("filter"))).select("grp", "s", "e", "id", "cn", "size")
+        d = kept(d.join(contigs.select("grp").distinct(), "grp", "left_semi") if contigs is not None else d)
+        return confident(d, held, True).select("grp", "s", "e", "id", "cn", "size", large.alias("large"), "any", "inside")
+
+    t, c = step(true_ones), step(called_ones)
+
+    def by_component() -> DataFrame:
+        """run, bounds, whether it has a true event, and what its calls are, in four bits for losses and four for gains: there, any, large, both in one."""
+        bit = lambda x, n: F.when(x, F.lit(1 << n)).otherwise(F.lit(0))
+        bits = bit(F.lit(True), 0) + bit(F.col("any"), 1) + bit(F.col("large"), 2) + bit(F.col("any") & F.col("large"), 3)
+        cols = ["grp", "s", "e", "id"]
+        d = t.select(*cols, F.lit(0).alias("seen")).unionByName(c.select(*cols, F.when(gain, bits * 16).otherwise(bits).alias("seen")))
+        d = step(partial(runs, d, touching_joins=False))
+        parts = d.groupBy("grp", "run").agg(F.min("s").alias("lo"), F.max("e").alias("hi"), F.bool_or(F.col("seen") == 0).alias("true"), F.bit_or("seen").alias("met"))
+        return d.select("grp", "run", "id", (F.col("seen") > 0).alias("called")).join(parts, ["grp", "run"]).withColumnRenamed("met", "seen")
+
+    both = step(by_component)
+    of = lambda d, called: d.join(both.filter(F.col("called") == called).drop("grp", "called"), "id")
+    component = F.format_string("%s:%d-%d", F.col("grp").cast("string"), "lo", "hi")
+
+    pairs = overlap_join(t.select("grp", "s", "e", "id", gain.alias("gain"), "size"), c.select("grp", "s", "e", "id", gain.alias("gain"), "size"))
+    pairs = kept(pairs.filter("a_gain = b_gain").drop("grp", "a_gain", "b_gain"))
     met = F.array_sort(F.collect_list(F.struct(F.col("bs").alias("s"), F.col("b_id").alias("id"), F.col("be").alias("e"), F.col("b_size").alias("size"))))
     cover = pairs.groupBy(F.col("a_id").alias("id")).agg(F.sum("overlap").alias("cover"), met.alias("met"))
-    some = lambda x: F.coalesce(F.bool_or(x), F.lit(False))
-    near = c.groupBy("grp", "run", "dir").agg(F.lit(True).alias("one"), some(F.col("any")).alias("c_any"), some(F.col("large")).alias("c_large"), some(F.col("any") & F.col("large")).alias("c_both"))
-    t = t.join(cover, "id", "left").join(near, ["grp", "run", "dir"], "left")
-    found = (F.col("n_call") > 0) & (F.col("size") > 0) & (F.coalesce("cover", F.lit(0)) / F.nullif(F.col("size"), F.lit(0)) >= least_overlap)
+    t = of(t, False).join(cover, "id", "left")
+    found = (F.col("seen") > 0) & (F.col("size") > 0) & (F.coalesce("cover", F.lit(0)) / F.nullif(F.col("size"), F.lit(0)) >= least_overlap)
     t = t.withColumn("found", F.coalesce(found, F.lit(False)))
-    deserved = F.when(F.col("large") & F.col("any"), F.col("one")).when(F.col("large"), F.col("c_any")).when(F.col("any"), F.col("c_large")).otherwise(F.col("c_both"))
-    counts = truth_gate(F.col("size"), F.col("period"), F.col("inside"), least_size, F.col("distance"), least_distance)
-    t = kept(t.withColumn("eval", F.when(F.col("found"), F.when(F.coalesce(deserved, F.lit(False)), "TP")).when(F.coalesce(counts, F.lit(False)), "FN")))
+    needed = F.when(F.col("large") & F.col("any"), 1).when(F.col("large"), 2).when(F.col("any"), 4).otherwise(8)
+    deserved = F.col("seen").bitwiseAND(F.when(gain, needed * 16).otherwise(needed)) > 0
+    t = t.withColumn("eval", F.when(F.col("found"), F.when(deserved, "TP")).when(F.col("counts"), "FN"))
+    t = kept(t.select("grp", "run", "lo", "hi", "id", "cn", "size", "large", "any", "found", "met", "eval"))
 
     hits = pairs.join(t.filter("found").select(F.col("id").alias("a_id"), F.struct("large", "any").alias("hit")), "a_id")
     first = F.struct("overlap", -F.col("as"), -F.col("a_id"))
     best = hits.groupBy(F.col("b_id").alias("id")).agg(F.max_by(F.struct("as", "ae", "a_size", "hit"), first).alias("best"))
-    c = c.join(best, "id", "left")
     rewarded = (F.col("best.hit.large") | F.col("large")) & (F.col("best.hit.any") | F.col("any"))
+    c = of(c, True).join(best, "id", "left")
     c = kept(c.withColumn("own", F.coalesce(F.col("best").isNotNull() & rewarded, F.lit(False))))
     largest = t.filter("found").groupBy("grp", "run").agg(F.max("size").alias("largest"))
-    events = c.filter("n_truth > 0").groupBy("grp", "run").agg(F.bool_or("own").alias("tp"), F.min_by("cn", F.struct("s", "id")).alias("cn"), F.sum("size").alias("size"), F.bool_and("inside").alias("inside"))
+    events = c.filter(F.col("true")).groupBy("grp", "run").agg(F.bool_or("own").alias("tp"), F.min_by("cn", F.struct("s", "id")).alias("cn"), F.sum("size").alias("size"), F.bool_and("inside").alias("inside"))
     events = events.filter((F.col("tp")) | ((F.col("size") >= least_size) & F.col("inside"))).join(largest, ["grp", "run"], "left")
     events = events.withColumn("truth_size", F.when(F.col("tp"), F.coalesce("largest", F.lit(0))).otherwise(F.lit(0)))
     events = kept(events)
     c = c.join(events.select("grp", "run", F.lit(True).alias("event")), ["grp", "run"], "left")
     alone = F.coalesce(call_gate(F.col("cn"), F.col("size"), F.col("inside"), least_size, neutral), F.lit(False))
-    verdict = F.when(F.col("n_truth") > 0, F.when(F.col("event"), F.when(F.col("own"), "TP").otherwise("FP"))).when(alone, "FP")
+    verdict = F.when(F.col("true"), F.when(F.col("event"), F.when(F.col("own"), "TP").otherwise("FP"))).when(alone, "FP")
     c = c.withColumn("eval", verdict)
 
     text = lambda f: F.when(F.col("eval") == "TP", F.array_join(F.transform("met", f), ","))
     listed = t.select(
-        "id", "eval", F.when(F.col("eval").isNotNull(), F.col("component")).alias("component"),
+        "id", "eval", F.when(F.col("eval").isNotNull(), component).alias("component"),
         text(lambda x: F.concat(x["s"].cast("string"), F.lit("-"), x["e"].cast("string"))).alias("call"), text(lambda x: x["size"].cast("string")).alias("call_size"),
     )
     mine = lambda x: F.when(F.col("eval") == "TP", x)
     calls = c.select(
-        "id", "eval", F.when(F.col("eval").isNotNull(), F.col("component")).alias("component"),
+        "id", "eval", F.when(F.col("eval").isNotNull(), component).alias("component"),
         mine(F.concat(F.col("best.as").cast("string"), F.lit("-"), F.col("best.ae").cast("string"))).alias("truth"), mine(F.col("best.a_size").cast("string")).alias("truth_size"),
     )
-    truth_stats = t.filter("eval IS NOT NULL").select("grp", (F.col("diff") + neutral).alias("cn"), "size", "eval")
-    apart = c.filter("n_truth = 0 AND eval IS NOT NULL").select("grp", "cn", "size", F.lit(0).cast("long").alias("truth_size"), "eval")
+    truth_stats = t.filter("eval IS NOT NULL").select("grp", "cn", "size", "eval")
+    apart = c.filter(~F.col("true") & F.col("eval").isNotNull()).select("grp", "cn", "size", F.lit(0).cast("long").alias("truth_size"), "eval")
     joint = events.select("grp", "cn", "size", F.col("truth_size").cast("long").alias("truth_size"), F.when(F.col("tp"), "TP").otherwise("FP").alias("eval"))
     return Evaluation(listed, calls, truth_stats, apart.unionByName(joint))
 
@@ -213,7 +228,7 @@ def labelled(truth: DataFrame, call: DataFrame, regions: DataFrame | None = None
     Only true events wholly within regions count, and overlaps of at least least_overlap of the call's size. A call
     without such an event is neutral if it lies in regions, and has no label otherwise.
     """
-    held = kept(merge(regions).drop("n")) if regions is not None else None
+    held = step(lambda: merge(regions).drop("n")) if regions is not None else None
     t = kept(confident(truth.filter((F.col("diff") != 0) & accepted(F.col("filter"))), held, True).filter("inside"))
     c = kept(confident(call, held, True))
     pairs = overlap_join(t.select("grp", "s", "e", "id", "diff", "size", "period"), c.select("grp", "s", "e", "id", "size"))

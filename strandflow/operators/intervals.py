@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import collected
 from . import ranges
 
 #: Powers of two of the widths of bins: an interval belongs to the first level as wide as itself.
@@ -43,8 +44,19 @@ def _level(s: Column, e: Column) -> Column:
     return F.least(F.lit(LEVELS[0]) + 3 * F.greatest(F.ceil((bits - LEVELS[0]) / 3), F.lit(0)), F.lit(LEVELS[-1])).cast("int")
 
 
-def _wide(level: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("long"), level)
+def _used(a: dict[int, tuple[int, int]], b: dict[int, tuple[int, int]]) -> list[int]:
+    """The levels to join on, in order, from the number of rows and the summed width of each side's levels.
+
+    The intervals of a level out of use stand in bins of the last used one below it. A level is out of use where they make
+    no more rows there than copies of the other side's narrower intervals would in it, and at most double their own side.
+    """
+    used: list[int] = []
+    for level in sorted({*a, *b}):
+        split = [2 * side[level][0] + side[level][1] / 2 ** used[-1] if used and level in side else 0 for side in (a, b)]
+        copied = sum(n for side, other in ((a, b), (b, a)) if level in side for k, (n, _) in other.items() if k < level)
+        if not used or sum(split) > copied or any(x > sum(n for n, _ in side.values()) for x, side in zip(split, (a, b))):
+            used.append(level)
+    return used or [LEVELS[0]]
 
 
 def overlap_join(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -53,31 +65,52 @@ def overlap_join(a: DataFrame, b: DataFrame) -> DataFrame:
     Bins come in widths that grow by eight. An interval belongs to the level as wide as itself,
     where it meets two bins at most, however long it is, and looks for shorter ones of the other
     side there. Those stand in the bins of every level that the other side's intervals belong to.
+    Both sides' levels are counted now, since those of few intervals only cost rows (_used).
     A pair is kept in the later of the two first bins only.
     """
+    down = lambda at, by: F.call_function("shiftright", at, by)
 
     def named(df: DataFrame, p: str) -> DataFrame:
         names = [F.col(c).alias(f"{p}{c}" if c in ("s", "e") else c if c == "grp" else f"{p}_{c}") for c in df.columns]
-        return df.filter("grp IS NOT NULL AND s IS NOT NULL AND e IS NOT NULL").withColumn("own", _level(F.col("s"), F.col("e"))).select(*names, F.col("own").alias(f"{p}_level"))
-
-    def bins(df: DataFrame, p: str) -> DataFrame:
-        wide = _wide(F.col("level"))
-        last = F.greatest(F.col(f"{p}e") - 1, F.col(f"{p}s"))
-        return df.withColumn("bin", F.explode(F.sequence(F.floor(F.col(f"{p}s") / wide), F.floor(last / wide))))
-
-    def met(x: DataFrame, y: DataFrame, p: str, q: str, strict: bool) -> DataFrame:
-        """Pairs whose x belongs to the pair's level; y belongs to it or, if strict, below it."""
-        own = bins(x.withColumn("level", F.col(f"{p}_level")), p)
-        levels = F.broadcast(x.select(F.col(f"{p}_level").alias("level")).distinct())  # at most len(LEVELS) rows
-        least = F.col(f"{q}_level") + (3 if strict else 0)
-        every = y.filter(least <= LEVELS[-1]).withColumn("level", F.explode(F.sequence(least, F.lit(LEVELS[-1]), F.lit(3)))).join(levels, "level", "left_semi")
-        j = own.join(bins(every, q), ["grp", "level", "bin"])
-        wide = _wide(F.col("level"))
-        return j.filter((F.col("as") < F.col("be")) & (F.col("bs") < F.col("ae"))).filter(F.col("bin") == F.floor(F.greatest("as", "bs") / wide))
+        return df.filter("grp IS NOT NULL AND s IS NOT NULL AND e IS NOT NULL").select(*names)
+
+    def counted(df: DataFrame, p: str) -> dict[int, tuple[int, int]]:
+        s, e = F.col(f"{p}s"), F.col(f"{p}e")
+        rows = collected(df.groupBy(_level(s, e).alias("level")).agg(F.count("*").alias("n"), F.sum((e - s).cast("double")).alias("wide")))
+        return {r.level: (r.n, int(r.wide)) for r in rows}  # at most len(LEVELS) rows
 
     x, y = named(a, "a"), named(b, "b")
-    j = met(x, y, "a", "b", False).unionByName(met(y, x, "b", "a", True))
-    return j.drop("bin", "level", "a_level", "b_level").withColumn("overlap", F.least("ae", "be") - F.greatest("as", "bs"))
+    of_x, of_y = counted(x, "a"), counted(y, "b")
+    used = _used(of_x, of_y)
+
+    def owned(counts: dict[int, tuple[int, int]]) -> list[int]:
+        return sorted({max((u for u in used if u <= k), default=used[0]) for k in counts}) or used[:1]
+
+    def bins(df: DataFrame, p: str, levels: list[int] | None = None, strict: bool = False) -> DataFrame:
+        """df in the bins of its own level, else of those of levels that are not below it (strict: above it). A bin's number ends in six bits for the level."""
+        s, e = F.col(f"{p}s").cast("long"), F.col(f"{p}e").cast("long")
+        own = F.lit(used[0])
+        for k in used[1:]:
+            own = F.when(_level(s, e) >= k, k).otherwise(own)
+        if levels is None:
+            d = df.withColumn("level", own)
+        else:
+            d = df.withColumn("level", F.explode(F.array(*map(F.lit, levels))) if len(levels) > 1 else F.lit(levels[0]))
+            d = d.filter(F.col("level") > own if strict else F.col("level") >= own)
+        places = F.sequence(down(s, F.col("level")), down(F.greatest(e - 1, s), F.col("level")))
+        return d.withColumn("place", F.explode(places)).withColumn("bin", F.call_function("shiftleft", F.col("place"), F.lit(6)) + F.col("level")).drop("place", "level")
+
+    def met(own: DataFrame, copied: DataFrame) -> DataFrame:
+        j = own.join(copied, ["grp", "bin"]).filter((F.col("as") < F.col("be")) & (F.col("bs") < F.col("ae")))
+        later = F.greatest(F.col("as").cast("long"), F.col("bs").cast("long"))
+        j = j.filter(down(later, F.col("bin").bitwiseAND(63).cast("int")) == down(F.col("bin"), F.lit(6)))
+        return j.select("grp", *[c for c in x.columns + y.columns if c != "grp"])
+
+    j = met(bins(x, "a"), bins(y, "b", owned(of_x)))
+    above = [k for k in owned(of_y) if k > owned(of_x)[0]]
+    if above:
+        j = j.unionByName(met(bins(y, "b"), bins(x, "a", above, True)))
+    return j.withColumn("overlap", F.least("ae", "be") - F.greatest("as", "bs"))
 
 
 def _swept(a: DataFrame, b: DataFrame, keep: str) -> DataFrame:
