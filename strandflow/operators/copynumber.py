@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -190,23 +190,23 @@ def evaluate(truth: DataFrame, call: DataFrame, regions: DataFrame | None = None
 
 
 def stratified(truth: DataFrame, call: DataFrame, strata: DataFrame, names: list[str], regions: DataFrame | None = None, **options) -> tuple[DataFrame, DataFrame]:
-    """The stats of evaluate() for each stratum (stratum, grp, s, e) in place of the regions, in one pass: with a column stratum.
+    """The stats of evaluate() for each stratum (stratum, grp, s, e) in place of the regions: with a column stratum.
 
-    Every event takes part once for each of the names; strata are limited to regions where those are given.
+    Every event takes part once for each of the names; strata are limited to regions where those are given. Strata are
+    evaluated one after the other, and only a stratum's stats stay: together they would need the disk of all at once.
     """
-    apart = "\u0001"
-
-    def spread(d: DataFrame) -> DataFrame:
-        d = d.select("*", F.posexplode(F.array(*map(F.lit, names))).alias("nth", "stratum"))
-        # ids stay unique and in their order, which decides ties
-        return d.withColumn("grp", F.concat("stratum", F.lit(apart), F.col("grp").cast("string"))).withColumn("id", F.col("id") * len(names) + F.col("nth")).drop("nth", "stratum")
-
-    held = strata.withColumn("grp", F.concat("stratum", F.lit(apart), F.col("grp").cast("string"))).select("grp", "s", "e")
-    if regions is not None:
-        held = intersect(held, spread(regions.withColumn("id", F.lit(0))).select("grp", "s", "e"))
-    got = evaluate(spread(truth), spread(call), held, **options)
-    name = lambda d: d.withColumn("stratum", F.substring_index("grp", apart, 1)).withColumn("grp", F.substring_index("grp", apart, -1))
-    return name(got.truth_stats), name(got.call_stats)
+    cols = ["grp", "cn", "size", "truth_size", "eval", "called"]
+
+    def stats(name: str) -> DataFrame:
+        held = strata.filter(F.col("stratum") == name).select("grp", "s", "e")
+        held = step(partial(intersect, held, regions)) if regions is not None else held
+        got = evaluate(truth, call, held, **options)
+        t = got.truth_stats.withColumns({"truth_size": F.lit(None).cast("long"), "called": F.lit(False)}).select(*cols)
+        return t.unionByName(got.call_stats.withColumn("called", F.lit(True)).select(*cols))
+
+    each = [step(partial(stats, name)).withColumn("stratum", F.lit(name)) for name in names or [""]]
+    d = reduce(DataFrame.unionByName, each) if names else each[0].limit(0)
+    return d.filter("NOT called").drop("truth_size", "called"), d.filter("called").drop("called")
 
 
 def summary(truth_stats: DataFrame, call_stats: DataFrame, *by: str, neutral: int = 2, groups: list[tuple] | None = None) -> DataFrame:

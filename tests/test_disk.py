@@ -7,7 +7,7 @@ import pytest
 from test_plans import SF
 
 from strandflow import scratch
-from strandflow.operators import intervals
+from strandflow.operators import copynumber, intervals
 from strandflow.plans import event_queries
 
 
@@ -36,7 +36,7 @@ def test_a_step_keeps_its_result_only(spark):
     assert [tuple(r) for r in d.collect()] == [("a", 0, 9, 2)] and tables(spark) == before + 1
 
 
-@pytest.mark.parametrize("name, most", [("event_summary", 10)])
+@pytest.mark.parametrize("name, most", [("event_summary", 10), ("event_strata", 2)])
 def test_evaluation_keeps_few_tables(spark, name, most):
     before = tables(spark)
     event_queries.QUERIES[name](spark, SF)
@@ -55,3 +55,9 @@ def test_rare_wide_intervals_add_no_level(spark):
     want = 2000 + sum(3 * i < e and s < 3 * i + 2 for s, e in ((100, 4000), (-70, 1)) for i in range(2000))
     assert j.count() == j.distinct().count() == want
     assert "level" not in j.columns and j._jdf.queryExecution().analyzed().toString().count("Union") == 1
+
+
+def test_no_strata_give_no_stats(spark):
+    t, c, r = event_queries._events(spark, SF)
+    strata = r.selectExpr("'x' AS stratum", "grp", "s", "e")
+    assert [d.count() for d in copynumber.stratified(t, c, strata, [], **event_queries.OPTIONS)] == [0, 0]
